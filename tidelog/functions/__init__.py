@@ -1,4 +1,5 @@
 from tidelog.functions.columns import (
+    compute_once,
     event_time,
     has_image,
     is_snapshot,
@@ -13,6 +14,7 @@ from tidelog.functions.columns import (
 )
 
 __all__ = [
+    "compute_once",
     "event_time",
     "has_image",
     "is_snapshot",

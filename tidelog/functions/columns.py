@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.schemas import OP_NAMES, PRIMARY_KEYS
@@ -19,6 +19,19 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add expensive columns so that each is evaluated once per row.
+
+    Spark moves a filter below the projection it reads from and repeats the projected
+    expression in it; for parsed JSON that means parsing again for every reference. A
+    filter on generated columns stays above the generator.
+    """
+    packed = F.struct(*[expr.alias(name) for name, expr in columns.items()])
+    names = [f"`{c}`" for c in df.columns]
+    out = df.select(*names, F.explode(F.array(packed)).alias("_once"))
+    return out.select(*names, *[F.col("_once")[name].alias(name) for name in columns])
+
+
 def op_name(code: str | Column) -> Column:
     """Operation code to name; a code without a name passes unchanged."""
     code = _col(code)
@@ -50,14 +63,12 @@ def primary_key(
     keys: Mapping[str, Sequence[str]] = PRIMARY_KEYS,
 ) -> Column:
     """Business key as text, parts joined by `:`; NULL if a part or the table is unknown."""
-    parts = list(dict.fromkeys(part for cols in keys.values() for part in cols))
-    parsed = F.from_json(_col(image), ", ".join(f"`{p}` string" for p in parts))
     key = F.lit(None).cast("string")
     for name, cols in keys.items():
         # concat is NULL if any part is; concat_ws would skip the part
-        pieces = [parsed[cols[0]]]
+        pieces = [F.get_json_object(_col(image), f"$.{cols[0]}")]
         for part in cols[1:]:
-            pieces += [F.lit(":"), parsed[part]]
+            pieces += [F.lit(":"), F.get_json_object(_col(image), f"$.{part}")]
         key = F.when(_col(table) == name, F.concat(*pieces)).otherwise(key)
     return key
 

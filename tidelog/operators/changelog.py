@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions import compute_once
 from tidelog.operators.ordered import HotKeys, over_history
 
 # JSON of an image names every column, unknown ones as null
@@ -98,9 +99,9 @@ def _messages(events: DataFrame, table: str, image: Sequence[str]) -> DataFrame:
         F.when(has_before, row_image(was)),
         F.when(now["op"] != "d", row_image(now)),
     )
-    return events.select(
+    return compute_once(events, value=value).select(
         F.lit(topic_name(table)).alias("topic"),
         F.lit(0).alias("partition"),
         now["kafka_offset"].alias("kafka_offset"),
-        value.alias("value"),
+        "value",
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog.functions import event_time, no_op_update
+from tidelog.functions import compute_once, event_time, no_op_update
 from tidelog.operators.ordered import HotKeys, over_history
 from tidelog.schemas import IMAGES
 
@@ -32,12 +32,12 @@ def typed_images(
     events: DataFrame, image: str, previous: Sequence[str] = (), prefix: str = "prev_"
 ) -> DataFrame:
     """Decode `after` in one parse to typed columns, and `before` to the columns in `previous`."""
-    decoded = events.withColumn("_after", F.from_json("after", image))
     kept = [c for c in events.columns if c not in ("before", "after")]
+    parsed = {"_after": F.from_json("after", image)}
     if previous:
         wanted = T.StructType([f for f in T.StructType.fromDDL(image) if f.name in previous])
-        decoded = decoded.withColumn("_before", F.from_json("before", wanted))
-    return decoded.select(
+        parsed["_before"] = F.from_json("before", wanted)
+    return compute_once(events, **parsed).select(
         *kept,
         "_after.*",
         *[F.col(f"_before.{c}").alias(prefix + c) for c in previous],

@@ -22,11 +22,9 @@ from tidelog.operators import (
     translate,
 )
 from tidelog.schemas import FALLBACK_ANCHOR_MS, IMAGES, MONEY, TABLES
-from tidelog.session import configure
-from tidelog.sources import decode_envelope, valid_events
+from tidelog.session import configure, scratch_dir
+from tidelog.sources import append_log, decode_envelope, read_log, valid_events
 
-HOUR_MS = 3_600_000
-DAY_MS = 24 * HOUR_MS
 OBSERVED_FROM_MS = 1_100_000_000_000
 LSN_FROM = 1_000_000
 
@@ -37,8 +35,16 @@ STEPS_MS = [
 ]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(
+    spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None
+) -> DataFrame:
+    """A given table. With `spread_by`, one held in fewer files than the session has cores
+    is spread over the cores first; larger tables already come in enough splits."""
+    frame = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by and len(frame.inputFiles()) < cores:
+        return frame.repartition(cores, spread_by)
+    return frame
 
 
 def image_fields(name: str) -> list[str]:
@@ -50,53 +56,42 @@ def image_fields(name: str) -> list[str]:
 
 def orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its lifecycle times (epoch millis) and final status."""
-    k, s = F.col("k"), F.col("s")
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("k"),
-        F.col("o_custkey").alias("c"),
-        F.col("o_orderstatus").alias("s"),
-        (
-            F.unix_millis(F.col("o_orderdate").cast("timestamp"))
-            + (F.col("o_orderkey") % 86400) * 1000
-        ).alias("purchased_ms"),
-    )
-    is_approved = k % 50 != 7
-    timed = (
-        orders.withColumn(
-            "approved_ms", F.when(is_approved, F.col("purchased_ms") + (k % 4) * HOUR_MS)
+    orders = table(spark, sf_dir, "orders", spread_by="o_orderkey")
+    return (
+        orders.selectExpr(
+            "o_orderkey AS k",
+            "o_custkey AS c",
+            "o_orderstatus AS s",
+            "unix_millis(cast(o_orderdate AS timestamp)) + o_orderkey % 86400 * 1000 AS purchased_ms",
         )
-        .withColumn(
+        .selectExpr(
+            "*",
+            "CASE WHEN k % 50 <> 7 THEN purchased_ms + k % 4 * 3600000L END AS approved_ms",
+            "CASE WHEN s IN ('F', 'P') AND k % 50 <> 7 "
+            "THEN purchased_ms + (k % 7 - 1) * 86400000L + 7200000L END AS shipped_ms",
+        )
+        .selectExpr("*", "CASE WHEN s = 'F' THEN shipped_ms + k % 11 * 86400000L END AS delivered_ms")
+        .selectExpr(
+            "cast(k AS string) AS order_id",
+            "concat('c', k) AS customer_id",
+            "cast(c AS string) AS customer_unique_id",
+            "k",
+            "c",
+            "purchased_ms",
+            "approved_ms",
             "shipped_ms",
-            F.when(
-                s.isin("F", "P") & is_approved,
-                F.col("purchased_ms") + (k % 7 - 1) * DAY_MS + 2 * HOUR_MS,
-            ),
+            "delivered_ms",
+            "purchased_ms + 8 * 86400000L AS estimated_ms",
+            "coalesce(delivered_ms, shipped_ms, approved_ms, purchased_ms) AS last_ms",
+            """CASE WHEN k % 97 = 5 THEN 'canceled'
+                    WHEN s = 'O' AND k % 89 = 3 THEN 'invoiced'
+                    WHEN s = 'O' AND k % 83 = 2 THEN 'processing'
+                    WHEN k % 100 = 57 THEN 'unavailable'
+                    WHEN k % 50 = 7 THEN 'created'
+                    WHEN s = 'F' THEN 'delivered'
+                    WHEN s = 'P' THEN 'shipped'
+                    ELSE 'approved' END AS final_status""",
         )
-        .withColumn("delivered_ms", F.when(s == "F", F.col("shipped_ms") + (k % 11) * DAY_MS))
-    )
-    final = (
-        F.when(k % 97 == 5, "canceled")
-        .when((s == "O") & (k % 89 == 3), "invoiced")
-        .when((s == "O") & (k % 83 == 2), "processing")
-        .when(k % 100 == 57, "unavailable")
-        .when(k % 50 == 7, "created")
-        .when(s == "F", "delivered")
-        .when(s == "P", "shipped")
-        .otherwise("approved")
-    )
-    return timed.select(
-        k.cast("string").alias("order_id"),
-        F.concat(F.lit("c"), k.cast("string")).alias("customer_id"),
-        F.col("c").cast("string").alias("customer_unique_id"),
-        "k",
-        "c",
-        "purchased_ms",
-        "approved_ms",
-        "shipped_ms",
-        "delivered_ms",
-        (F.col("purchased_ms") + 8 * DAY_MS).alias("estimated_ms"),
-        F.coalesce("delivered_ms", "shipped_ms", "approved_ms", "purchased_ms").alias("last_ms"),
-        final.alias("final_status"),
     )
 
 
@@ -127,7 +122,7 @@ ITEM_ORDER = [
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order items, numbered within their order; money as text, like the CSV export."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem", spread_by="l_orderkey")
     hot = find_hot_keys(lines, ["l_orderkey"], ITEM_ORDER[:2])
     numbered = over_history(lines, ["l_orderkey"], ITEM_ORDER, number="order_item_id", hot=hot)
     cents = (F.col("l_partkey") * 37) % 5000
@@ -212,25 +207,24 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- change messages ----------------------------------------------------------
 
 
-def _order_state(seq: Column, op: str, status, changed: Column, times: dict[str, Column]) -> Column:
-    number = F.col("k") * 8 + seq
-    return F.struct(
-        F.lit(op).alias("op"),
-        F.when(seq != 0, number + LSN_FROM).alias("lsn"),
-        number.alias("kafka_offset"),
-        (number + OBSERVED_FROM_MS).alias("ts_ms"),
-        F.col("k").alias("tx_id"),
-        "order_id",
-        "customer_id",
-        "customer_unique_id",
-        status.alias("order_status"),
-        F.col("purchased_ms").alias("purchased_at"),
-        times["approved_ms"].alias("approved_at"),
-        times["shipped_ms"].alias("delivered_carrier_at"),
-        times["delivered_ms"].alias("delivered_customer_at"),
-        F.col("estimated_ms").alias("estimated_delivery_at"),
-        changed.alias("updated_at"),
-    )
+def _order_state(seq: str, op: str, status: str, changed: str, reached: str) -> str:
+    """SQL of one event; `reached` is the last lifecycle position the order has reached."""
+    return f"""named_struct(
+        'op', '{op}',
+        'lsn', CASE WHEN {seq} > 0 THEN {LSN_FROM} + k * 8 + {seq} END,
+        'kafka_offset', k * 8 + {seq},
+        'ts_ms', {OBSERVED_FROM_MS} + k * 8 + {seq},
+        'tx_id', k,
+        'order_id', order_id,
+        'customer_id', customer_id,
+        'customer_unique_id', customer_unique_id,
+        'order_status', {status},
+        'purchased_at', purchased_ms,
+        'approved_at', CASE WHEN {reached} >= 0 THEN approved_ms END,
+        'delivered_carrier_at', CASE WHEN {reached} >= 1 THEN shipped_ms END,
+        'delivered_customer_at', CASE WHEN {reached} >= 2 THEN delivered_ms END,
+        'estimated_delivery_at', estimated_ms,
+        'updated_at', {changed})"""
 
 
 def order_states(spark: SparkSession, sf_dir: str, deletes: bool = False) -> DataFrame:
@@ -239,37 +233,24 @@ def order_states(spark: SparkSession, sf_dir: str, deletes: bool = False) -> Dat
     The number of an event within its order is fixed by its kind, so the log positions
     of an order are known without looking at other rows.
     """
-    k = F.col("k")
-    unknown = F.when(F.lit(False), F.col("purchased_ms"))
-    none = {c: unknown for c, _ in STEPS_MS}
-    known = {c: F.col(c) for c, _ in STEPS_MS}
-    final, last = F.col("final_status"), F.col("last_ms")
-
-    steps = F.transform(
-        lifecycle_steps(STEPS_MS, "final_status"),
-        lambda step: _order_state(
-            step["position"] + 1,
-            "u",
-            step["status"],
-            F.coalesce(step["at"], last),
-            {c: F.when(step["position"] >= i, F.col(c)) for i, (c, _) in enumerate(STEPS_MS)},
-        ),
+    step = _order_state(
+        "(x.position + 1)", "u", "x.status", "coalesce(x.at, last_ms)", "x.position"
     )
-
-    def only(condition: Column, state: Column) -> Column:
-        return F.when(condition, F.array(state)).otherwise(F.filter(F.array(state), lambda _: F.lit(False)))
-
-    parts = [
-        F.array(_order_state(F.lit(0), "r", F.lit("created"), F.col("purchased_ms"), none)),
-        steps,
-        only(k % 13 == 4, _order_state(F.lit(5), "u", final, last + 1000, known)),
-    ]
+    optional = [("k % 13 = 4", _order_state("5", "u", "final_status", "last_ms + 1000", "3"))]
     if deletes:
-        parts += [
-            only(k % 101 == 9, _order_state(F.lit(6), "d", final, last, known)),
-            only(k % 202 == 9, _order_state(F.lit(7), "c", F.lit("created"), last + 2000, none)),
+        optional += [
+            ("k % 101 = 9", _order_state("6", "d", "final_status", "last_ms", "3")),
+            ("k % 202 = 9", _order_state("7", "c", "'created'", "last_ms + 2000", "-1")),
         ]
-    return orders_wide(spark, sf_dir).select(F.concat(*parts).alias("states"))
+    parts = [
+        f"array({_order_state('0', 'r', "'created'", 'purchased_ms', '-1')})",
+        f"transform(steps, x -> {step})",
+        *[f"filter(array({state}), x -> {condition})" for condition, state in optional],
+    ]
+    walked = orders_wide(spark, sf_dir).withColumn(
+        "steps", lifecycle_steps(STEPS_MS, "final_status")
+    )
+    return walked.selectExpr(f"concat({', '.join(parts)}) AS states")
 
 
 def _reads(rows: DataFrame, name: str, offset: Column) -> DataFrame:
@@ -337,7 +318,25 @@ def messages(
 def event_log(
     spark: SparkSession, sf_dir: str, names: Sequence[str] = TABLES, deletes: bool = False
 ) -> dict[str, DataFrame]:
-    """The decoded log by table, so that a model reads only the tables it needs."""
+    """The decoded log by table, composed lazily."""
     return {
         n: valid_events(decode_envelope(table_messages(spark, sf_dir, n, deletes))) for n in names
     }
+
+
+_landed: dict[tuple, str] = {}
+
+
+def landed_log(
+    spark: SparkSession, sf_dir: str, names: Sequence[str] = TABLES, deletes: bool = False
+) -> dict[str, DataFrame]:
+    """The decoded log by table, written once per session below the shared scratch folder."""
+    logs = {}
+    for name in names:
+        key = (spark.sparkContext.applicationId, sf_dir, name, deletes and name == "order")
+        if key not in _landed:
+            path = scratch_dir(spark, f"log-{name}")
+            append_log(event_log(spark, sf_dir, [name], deletes)[name], path, batch_id=0)
+            _landed[key] = path
+        logs[name] = read_log(configure(spark), _landed[key])
+    return logs

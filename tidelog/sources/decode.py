@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions import has_image, is_snapshot, op_name, payload, primary_key
+from tidelog.functions import compute_once, has_image, is_snapshot, op_name, payload, primary_key
 from tidelog.schemas import ENVELOPE, EVENT_LOG, PRIMARY_KEYS
 
 LOG_COLUMNS = [field.split()[0] for field in EVENT_LOG.split(", ")]
@@ -22,18 +22,20 @@ def decode_envelope(
 
     Tombstones (no value) and events of other tables are skipped. A message that cannot
     become a log row keeps its text and says why in `problem`; see `quarantined`.
-    One parse of the envelope and one of the identifying image, no shuffle.
+    One parse of the envelope and one look into the identifying image, no shuffle.
     """
-    parsed = messages.filter(F.col(value_col).isNotNull()).select(
-        "topic",
-        "partition",
-        "kafka_offset",
-        F.col(value_col).alias("value"),
-        F.from_json(value_col, ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt"}).alias("e"),
+    parsed = compute_once(
+        messages.filter(F.col(value_col).isNotNull()).select(
+            "topic", "partition", "kafka_offset", F.col(value_col).alias("value")
+        ),
+        e=F.from_json("value", ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt"}),
     )
     malformed = F.col("e").isNull() | F.col("e._corrupt").isNotNull()
     known = F.col("e.source.table").isin(list(keys))
-    rows = parsed.filter(malformed | known).select(
+    image = payload("e.after", "e.before")
+    rows = compute_once(
+        parsed.filter(malformed | known), pk=primary_key("e.source.table", image, keys)
+    ).select(
         F.col("e.source.table").alias("source_table"),
         op_name("e.op").alias("op"),
         F.col("e.source.lsn").alias("lsn"),
@@ -43,7 +45,7 @@ def decode_envelope(
         "topic",
         "partition",
         "kafka_offset",
-        primary_key("e.source.table", payload("e.after", "e.before"), keys).alias("pk"),
+        "pk",
         has_image("e.before").alias("before"),
         has_image("e.after").alias("after"),
         "value",
