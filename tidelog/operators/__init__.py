@@ -9,6 +9,7 @@ from tidelog.operators.drift import changed_rows, detect_changes
 from tidelog.operators.events import (
     ORDER,
     event_order,
+    number_events,
     ordered_events,
     stage_events,
     typed_images,
@@ -24,13 +25,14 @@ from tidelog.operators.lifecycle import (
     transitions_by_status,
 )
 from tidelog.operators.lookup import first_activity, translate
-from tidelog.operators.ordered import HotKeys, find_hot_keys, over_history
+from tidelog.operators.ordered import HotKeys, by_heat, find_hot_keys, over_history
 from tidelog.operators.sampling import hash_sample
 
 __all__ = [
     "ORDER",
     "HotKeys",
     "as_of_join",
+    "by_heat",
     "changed_rows",
     "detect_changes",
     "event_order",
@@ -44,6 +46,7 @@ __all__ = [
     "lifecycle_steps",
     "message_value",
     "newest_event",
+    "number_events",
     "open_end",
     "ordered_events",
     "out_of_order_count",

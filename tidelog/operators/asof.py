@@ -117,16 +117,12 @@ def _merge(facts, dim, key, at, columns, how, hot):
     found = merged.withColumn("_seen", F.last("_version", ignorenulls=True).over(so_far))
     if hot is not None:
         # the version still open at the start of a chunk began in an earlier one
-        last_in_chunk = (
-            merged.filter("_hot and _side = 0")
-            .groupBy("_key", "_chunk")
-            .agg(F.max_by("_version", "_t").alias("_last"))
-        )
-        chunks = merged.filter("_hot").select("_key", "_chunk").distinct()
+        last_version = F.max_by("_version", F.when(F.col("_side") == 0, F.col("_t")))
+        chunks = merged.filter("_hot").groupBy("_key", "_chunk").agg(last_version.alias("_last"))
         earlier = (
             Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
         )
-        opening = chunks.join(last_in_chunk, ["_key", "_chunk"], "left").select(
+        opening = chunks.select(
             "_key", "_chunk", F.last("_last", ignorenulls=True).over(earlier).alias("_opening")
         )
         found = _join_small(found, opening, ["_key", "_chunk"], "left")

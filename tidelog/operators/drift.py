@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.operators.ordered import HotKeys, over_history
+from tidelog.operators.ordered import HotKeys, by_heat, over_history
 
 
 def _any(tests):
@@ -24,7 +24,11 @@ def with_previous(
 ) -> DataFrame:
     """Rows with their place in the key and the previous row's attributes (`prev_*`)."""
     lag = {f"prev_{c}": c for c in tracked}
-    return over_history(df, keys, order, number="_row", lag=lag, hot=hot)
+
+    def build(part: DataFrame, heat: HotKeys | None) -> DataFrame:
+        return over_history(part, keys, order, number="_row", lag=lag, hot=heat)
+
+    return by_heat(df, hot, build)
 
 
 def detect_changes(

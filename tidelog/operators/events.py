@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import compute_once, event_time, no_op_update
-from tidelog.operators.ordered import HotKeys, over_history
+from tidelog.operators.ordered import HotKeys, by_heat, over_history
 from tidelog.schemas import IMAGES
 
 ORDER = ["lsn", "kafka_offset"]
@@ -45,25 +45,28 @@ def typed_images(
 
 
 def stage_events(
-    log: DataFrame,
-    table: str,
-    key: str,
-    tracked: Sequence[str],
-    image: str | None = None,
-    hot: HotKeys | None = None,
+    log: DataFrame, table: str, key: str, tracked: Sequence[str], image: str | None = None
 ) -> DataFrame:
-    """One typed row per change event with its place in the key's history.
+    """One typed row per change event of a table, its key under the name `key`.
 
-    `event_seq` counts all events of the key; `is_no_op_update` marks updates that
-    left every tracked attribute unchanged.
+    `is_no_op_update` marks updates that left every tracked attribute unchanged. Each
+    row is made from one event alone, without a shuffle.
     """
     typed = typed_images(ordered_events(log, table), image or IMAGES[table], tracked)
-    numbered = over_history(typed, ["pk"], ORDER, number="event_seq", hot=hot)
     # the key comes from the event, not from the image, which is absent on deletes
-    return numbered.drop(key).withColumnRenamed("pk", key).withColumns(
+    return typed.drop(key).withColumnRenamed("pk", key).withColumns(
         {
             "event_at": event_time("event_ts_ms"),
             "changed_at": event_time("updated_at"),
             "is_no_op_update": no_op_update("op", tracked),
         }
     )
+
+
+def number_events(events: DataFrame, key: str, hot: HotKeys | None = None) -> DataFrame:
+    """Add `event_seq`, which counts all events of a key, no-op updates included."""
+
+    def build(part: DataFrame, heat: HotKeys | None) -> DataFrame:
+        return over_history(part, [key], ORDER, number="event_seq", hot=heat)
+
+    return by_heat(events, hot, build)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import seconds_between
-from tidelog.operators.ordered import HotKeys, over_history
+from tidelog.operators.ordered import HotKeys, by_heat, over_history
 from tidelog.schemas import OPEN_END_SECONDS
 
 
@@ -48,25 +48,30 @@ def scd2(
     if "is_no_op_update" in events.columns:
         versions = versions.filter(~F.col("is_no_op_update"))
 
-    if on_delete == "close":
-        marked = versions.withColumn("_deleted_at", F.when(F.col("op") == "delete", F.col(delete_at)))
-        versions = (
-            over_history(
-                marked,
-                keys,
-                order,
-                lead={"_next_op": "op", "_closed_at": "_deleted_at"},
-                hot=hot,
-            )
-            .filter("op <> 'delete'")
-            .withColumn("is_deleted", F.coalesce(F.col("_next_op") == "delete", F.lit(False)))
-            .drop("_deleted_at", "_next_op")
-        )
-    else:
-        versions = versions.withColumns(
-            {"is_deleted": F.lit(False), "_closed_at": F.lit(None).cast("timestamp")}
-        )
+    def build(part: DataFrame, heat: HotKeys | None) -> DataFrame:
+        if on_delete == "close":
+            part = _close_deleted(part, keys, order, delete_at, heat)
+        else:
+            unclosed = F.lit(None).cast("timestamp")
+            part = part.withColumns({"is_deleted": F.lit(False), "_closed_at": unclosed})
+        return _windows(part, keys, order, valid_from, clamp, end, heat)
+
+    return by_heat(versions, hot, build)
+
+
+def _close_deleted(events, keys, order, delete_at, hot) -> DataFrame:
+    """Drop deletes, leaving the time of each on the version it ends."""
+    marked = events.withColumn("_deleted_at", F.when(F.col("op") == "delete", F.col(delete_at)))
+    following = {"_next_op": "op", "_closed_at": "_deleted_at"}
+    return (
+        over_history(marked, keys, order, lead=following, hot=hot)
+        .filter("op <> 'delete'")
+        .withColumn("is_deleted", F.coalesce(F.col("_next_op") == "delete", F.lit(False)))
+        .drop("_deleted_at", "_next_op")
+    )
+
 
+def _windows(versions, keys, order, valid_from, clamp, end, hot) -> DataFrame:
     numbered = over_history(
         versions,
         keys,
@@ -74,19 +79,26 @@ def scd2(
         number="version",
         total="total_versions",
         running_max={"_start": valid_from} if clamp else {},
+        lead={"_next": valid_from},
         hot=hot,
     )
-    if not clamp:
+    if clamp:
+        # the next clamped start, without another pass: it is the later of the next
+        # version's own time and the maximum so far (greatest skips NULLs)
+        has_next = F.col("version") < F.col("total_versions")
+        next_start = F.when(has_next, F.greatest("_start", "_next"))
+    else:
         numbered = numbered.withColumn("_start", F.col(valid_from))
-    chained = over_history(numbered, keys, order, lead={"_next": "_start"}, hot=hot)
+        next_start = F.col("_next")
+    chained = numbered.withColumn("_next", next_start)
 
     # least and greatest skip NULLs: no next version leaves the delete's own time
     closed = F.least("_next", F.greatest("_closed_at", "_start"))
+    still_open = open_end() if end is None else end
     out = chained.withColumns(
         {
-            "valid_from": F.col("_start"),
             "valid_to": F.when(F.col("is_deleted"), closed).otherwise(
-                F.coalesce("_next", open_end() if end is None else end)
+                F.coalesce("_next", still_open)
             ),
             "is_current": F.col("_next").isNull() & ~F.col("is_deleted"),
             "has_history": F.col("total_versions") > 1,
@@ -95,7 +107,7 @@ def scd2(
     if clamp:
         moved = F.col(valid_from).isNotNull() & (F.col(valid_from) < F.col("_start"))
         out = out.withColumn("is_timestamp_clamped", moved)
-    return out.drop("_start", "_next", "_closed_at")
+    return out.withColumn("valid_from", F.col("_start")).drop("_start", "_next", "_closed_at")
 
 
 def with_duration(versions: DataFrame) -> DataFrame:

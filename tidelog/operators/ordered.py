@@ -10,13 +10,15 @@ Results are the same as those of the plain window.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.session import scratch_dir
+
 # A window partition of this many narrow rows sorts within one task's memory.
 ROWS_PER_CHUNK = 4_000_000
 MAX_CUTS = 10_000
@@ -133,6 +135,25 @@ def assign_chunk(df: DataFrame, hot: HotKeys, position: Column | None = None) ->
     )
 
 
+def by_heat(
+    df: DataFrame, hot: HotKeys | None, build: Callable[[DataFrame, HotKeys | None], DataFrame]
+) -> DataFrame:
+    """Build ordinary and hot keys apart and put the results together.
+
+    `build` works key by key. Hot rows are written to the shared scratch folder first:
+    the chunked form reads its input twice per pass, and that must not run everything
+    upstream again.
+    """
+    if hot is None:
+        return build(df, None)
+    ordinary = _join_small(df, hot.frame.drop(_CUTS), hot.keys, "left_anti")
+    busy = _join_small(df, hot.frame.drop(_CUTS), hot.keys, "left_semi")
+    path = scratch_dir(df.sparkSession, "hot-keys")
+    busy.write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    return build(ordinary, None).unionByName(build(kept, hot))
+
+
 def over_history(
     df: DataFrame,
     keys: Sequence[str],

@@ -224,7 +224,7 @@ def int_orders_current(spark, sf_dir):
 @query
 def latest_state_agg(spark, sf_dir):
     """Live orders by status, through the aggregate form."""
-    events = m.stg_order_events(_order_log(spark, sf_dir)).drop("event_seq")
+    events = m.order_events(_order_log(spark, sf_dir))
     live = latest_state(events, ["order_id"], ORDER, form="aggregate")
     return live.select("order_id", "order_status", "lsn", "kafka_offset")
 
@@ -232,7 +232,7 @@ def latest_state_agg(spark, sf_dir):
 @query
 def latest_state_resurrected(spark, sf_dir):
     """Orders that were deleted at some time: are they live, and in what state."""
-    events = m.stg_order_events(_order_log(spark, sf_dir)).drop("event_seq")
+    events = m.order_events(_order_log(spark, sf_dir))
     deleted = events.filter("op = 'delete'").groupBy("order_id").agg(F.count("*").alias("deletes"))
     newest = newest_event(events, ["order_id"], ORDER)
     return newest.join(deleted, "order_id").select(
@@ -606,7 +606,7 @@ def dq_generations(spark, sf_dir):
 
 def _resurrecting_state(log: DataFrame) -> DataFrame:
     """Current orders built the wrong way: deletes dropped before ranking."""
-    events = m.stg_order_events(log).filter("op <> 'delete'")
+    events = m.order_events(log).filter("op <> 'delete'")
     return newest_event(events, ["order_id"], ORDER)
 
 
@@ -614,7 +614,7 @@ def _resurrecting_state(log: DataFrame) -> DataFrame:
 def dq_deleted(spark, sf_dir):
     """Deleted orders in a model that drops deletes before ranking, and in the right one."""
     log = _order_log(spark, sf_dir)
-    right = m.int_orders_current(m.stg_order_events(log))
+    right = m.int_orders_current(m.order_events(log))
     wrong = {"order": ("wrong_orders", _resurrecting_state(log), ["order_id"])}
     good = {"order": ("int_orders_current", right, ["order_id"])}
     return q.deleted_do_not_reappear(log, wrong).unionByName(
@@ -786,7 +786,7 @@ def profile_findings(spark, sf_dir):
 
 @query
 def cdc_latency(spark, sf_dir):
-    events = m.stg_order_events(_order_log(spark, sf_dir)).drop("event_seq")
+    events = m.order_events(_order_log(spark, sf_dir))
     return q.cdc_latency(events)
 
 
@@ -846,7 +846,7 @@ def stream_scd2_incremental(spark, sf_dir):
 
     def take(batch: DataFrame, batch_id: int) -> None:
         nonlocal schema
-        staged = m.stg_order_events(batch.withColumn("source_table", F.lit("order"))).drop("event_seq")
+        staged = m.order_events(batch.withColumn("source_table", F.lit("order")))
         schema = schema or _ddl(build(staged))
         keep_history(staged, batch_id, f"{root}/history", ["order_id"], build, buckets=8)
 
@@ -861,7 +861,7 @@ def stream_latest_state(spark, sf_dir):
 
     def take(batch: DataFrame, batch_id: int) -> None:
         nonlocal schema
-        staged = m.stg_order_events(batch.withColumn("source_table", F.lit("order"))).drop("event_seq")
+        staged = m.order_events(batch.withColumn("source_table", F.lit("order")))
         schema = schema or _ddl(staged)
         keep_latest(staged, batch_id, f"{root}/latest", ["order_id"], ORDER, buckets=8)
 

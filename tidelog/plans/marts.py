@@ -20,6 +20,7 @@ from tidelog.operators import (
     find_hot_facts,
     find_hot_keys,
     latest_state,
+    number_events,
     ordered_events,
     scd2,
     stage_events,
@@ -39,19 +40,19 @@ LONG_HISTORY = 10_000
 # --- staging ----------------------------------------------------------------
 
 
-def stg_customer_events(log: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def customer_events(log: DataFrame) -> DataFrame:
     """One typed row per customer change event."""
-    staged = stage_events(log, "customer", "customer_unique_id", ADDRESS, hot=hot)
+    staged = stage_events(log, "customer", "customer_unique_id", ADDRESS)
     return staged.select(
         "customer_unique_id", "op", "is_snapshot", "event_at", "changed_at",
         *ADDRESS, *[f"prev_{c}" for c in ADDRESS],
-        "lsn", "kafka_offset", "tx_id", "event_seq", "is_no_op_update",
+        "lsn", "kafka_offset", "tx_id", "is_no_op_update",
     )
 
 
-def stg_order_events(log: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+def order_events(log: DataFrame) -> DataFrame:
     """One typed row per order change event."""
-    staged = stage_events(log, "order", "order_id", ["order_status"], hot=hot)
+    staged = stage_events(log, "order", "order_id", ["order_status"])
     return staged.select(
         "order_id", "customer_id", "customer_unique_id", "order_status", "prev_order_status",
         "op", "is_snapshot", "event_at", "changed_at",
@@ -60,10 +61,20 @@ def stg_order_events(log: DataFrame, hot: HotKeys | None = None) -> DataFrame:
         event_time("delivered_carrier_at").alias("shipped_at"),
         event_time("delivered_customer_at").alias("delivered_at"),
         event_time("estimated_delivery_at").cast("date").alias("estimated_delivery_date"),
-        "lsn", "kafka_offset", "tx_id", "event_seq", "is_no_op_update",
+        "lsn", "kafka_offset", "tx_id", "is_no_op_update",
     )
 
 
+def stg_customer_events(customer_events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Customer change events, numbered per person."""
+    return number_events(customer_events, "customer_unique_id", hot)
+
+
+def stg_order_events(order_events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Order change events, numbered per order."""
+    return number_events(order_events, "order_id", hot)
+
+
 def _live_images(log: DataFrame, table: str) -> DataFrame:
     """Newest images of live rows. Ranked on the raw text: only survivors are parsed."""
     return typed_images(latest_state(ordered_events(log, table), ["pk"], ORDER), IMAGES[table])
@@ -95,9 +106,9 @@ def stg_sellers(log: DataFrame) -> DataFrame:
     return _live_images(log, "seller").select("seller_id", *ADDRESS)
 
 
-def int_orders_current(stg_order_events: DataFrame) -> DataFrame:
+def int_orders_current(order_events: DataFrame) -> DataFrame:
     """Live orders in their newest state."""
-    return latest_state(stg_order_events, ["order_id"], ORDER).select(
+    return latest_state(order_events, ["order_id"], ORDER).select(
         "order_id", "customer_id", "customer_unique_id", "order_status",
         "purchased_at", "approved_at", "shipped_at", "delivered_at", "estimated_delivery_date",
         F.col("event_at").alias("last_changed_at"),
@@ -108,12 +119,11 @@ def int_orders_current(stg_order_events: DataFrame) -> DataFrame:
 
 
 def dim_customer(
-    stg_customer_events: DataFrame, hot: HotKeys | None = None, on_delete: str = "close"
+    customer_events: DataFrame, hot: HotKeys | None = None, on_delete: str = "close"
 ) -> DataFrame:
     """Address history per person, not per order alias."""
     key = "customer_unique_id"
-    hot = hot and hot.named(key)
-    versions = scd2(stg_customer_events, [key], ORDER, on_delete=on_delete, hot=hot)
+    versions = scd2(customer_events, [key], ORDER, on_delete=on_delete, hot=hot)
     return versions.select(
         surrogate_key(key, "version").alias("customer_key"),
         key, "version", *ADDRESS, "valid_from", "valid_to", "is_current", "is_deleted",
@@ -122,12 +132,11 @@ def dim_customer(
 
 
 def dim_order_status_history(
-    stg_order_events: DataFrame, hot: HotKeys | None = None, on_delete: str = "close"
+    order_events: DataFrame, hot: HotKeys | None = None, on_delete: str = "close"
 ) -> DataFrame:
     """Status history per order, its windows clamped so that none runs backwards."""
     key = "order_id"
-    hot = hot and hot.named(key)
-    versions = scd2(stg_order_events, [key], ORDER, clamp=True, on_delete=on_delete, hot=hot)
+    versions = scd2(order_events, [key], ORDER, clamp=True, on_delete=on_delete, hot=hot)
     defects = timestamp_defects("purchased_at", "approved_at", "shipped_at", "delivered_at")
     return with_duration(versions).select(
         surrogate_key(key, "version").alias("order_status_key"),
@@ -261,27 +270,37 @@ def fct_order_items(
 
 @dataclass(frozen=True)
 class Model:
-    """`build` takes the inputs in order; `log_table` names the log it reads or orders by."""
+    """`build` takes the inputs in order, or the log's rows of `source` if there are none.
+
+    A model ordered along a key's history names the table whose keys may be hot in
+    `hot_table`, and the key's column.
+    """
 
     build: Callable[..., DataFrame]
-    inputs: tuple[str, ...]
+    inputs: tuple[str, ...] = ()
     materialized: str = "table"
-    log_table: str | None = None
-    windowed: bool = False
+    source: str | None = None
+    hot_table: str | None = None
+    hot_key: str | None = None
+
 
+PERSON, ORDER_ID = ("customer", "customer_unique_id"), ("order", "order_id")
 
+# Inputs come before the models that read them.
 MODELS: dict[str, Model] = {
-    "stg_customer_events": Model(stg_customer_events, (), "view", "customer", windowed=True),
-    "stg_order_events": Model(stg_order_events, (), "view", "order", windowed=True),
+    "customer_events": Model(customer_events, (), "view", "customer"),
+    "order_events": Model(order_events, (), "view", "order"),
+    "stg_customer_events": Model(
+        stg_customer_events, ("customer_events",), "view", None, *PERSON
+    ),
+    "stg_order_events": Model(stg_order_events, ("order_events",), "view", None, *ORDER_ID),
     "stg_order_items": Model(stg_order_items, (), "view", "order_item"),
     "stg_products": Model(stg_products, (), "view", "product"),
     "stg_sellers": Model(stg_sellers, (), "view", "seller"),
-    "int_orders_current": Model(int_orders_current, ("stg_order_events",), "view"),
-    "dim_customer": Model(
-        dim_customer, ("stg_customer_events",), log_table="customer", windowed=True
-    ),
+    "int_orders_current": Model(int_orders_current, ("order_events",), "view"),
+    "dim_customer": Model(dim_customer, ("customer_events",), "table", None, *PERSON),
     "dim_order_status_history": Model(
-        dim_order_status_history, ("stg_order_events",), log_table="order", windowed=True
+        dim_order_status_history, ("order_events",), "table", None, *ORDER_ID
     ),
     "dim_product": Model(dim_product, ("stg_products",)),
     "dim_seller": Model(dim_seller, ("stg_sellers",)),
@@ -345,17 +364,17 @@ class Marts:
 
     def _compose(self, name: str) -> DataFrame:
         model = MODELS[name]
-        inputs = [self.ref(i) for i in model.inputs]
+        if not model.inputs:
+            return model.build(self.source(model.source))
         options = {}
-        if not inputs:
-            inputs = [self.source(model.log_table)]
-        if model.windowed:
-            options["hot"] = self.hot_keys(model.log_table)
-        if name.startswith("dim_") and model.windowed:
+        if model.hot_table:
+            hot = self.hot_keys(model.hot_table)
+            options["hot"] = hot and hot.named(model.hot_key)
+        if name in ("dim_customer", "dim_order_status_history"):
             options["on_delete"] = self.on_delete
         if name == "fct_order_items":
             options["hot_facts"] = self._hot_facts()
-        return model.build(*inputs, **options)
+        return model.build(*[self.ref(i) for i in model.inputs], **options)
 
     def _hot_facts(self) -> HotKeys | None:
         per_key = self.source("customer").groupBy("pk").agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.operators import ORDER, event_order, find_hot_keys, newest_event, over_history
+from tidelog.operators import (
+    ORDER,
+    HotKeys,
+    by_heat,
+    event_order,
+    find_hot_keys,
+    newest_event,
+    over_history,
+)
 from tidelog.operators.ordered import ROWS_PER_CHUNK
 from tidelog.quality.checks import expression_is_true
 
@@ -93,6 +101,13 @@ def op_reconcile(log: DataFrame, end_offsets: DataFrame) -> DataFrame:
     return mix.join(compared, "source_table", "full")
 
 
+def _following(messages: DataFrame, hot: HotKeys | None, lag: Mapping[str, str]) -> DataFrame:
+    def build(part: DataFrame, heat: HotKeys | None) -> DataFrame:
+        return over_history(part, PARTITION, ["kafka_offset"], lag=lag, hot=heat)
+
+    return by_heat(messages, hot, build)
+
+
 def offset_gaps(log: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Places where offsets of a topic partition are missing.
 
@@ -100,9 +115,7 @@ def offset_gaps(log: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFra
     """
     offsets = log.select(*PARTITION, "kafka_offset")
     hot = find_hot_keys(offsets, PARTITION, ["kafka_offset"], rows_per_chunk)
-    chained = over_history(
-        offsets, PARTITION, ["kafka_offset"], lag={"previous": "kafka_offset"}, hot=hot
-    )
+    chained = _following(offsets, hot, {"previous": "kafka_offset"})
     missing = F.col("kafka_offset") - F.col("previous") - 1
     return chained.withColumn("missing", missing).filter("missing > 0")
 
@@ -115,9 +128,7 @@ def order_key_sound(log: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> Dat
     """
     streamed = log.filter("lsn IS NOT NULL").select(*PARTITION, "kafka_offset", "lsn")
     hot = find_hot_keys(streamed, PARTITION, ["kafka_offset"], rows_per_chunk)
-    chained = over_history(
-        streamed, PARTITION, ["kafka_offset"], lag={"previous_lsn": "lsn"}, hot=hot
-    )
+    chained = _following(streamed, hot, {"previous_lsn": "lsn"})
     backwards = chained.filter("lsn < previous_lsn").select(
         F.lit("backwards").alias("problem"), *PARTITION, "lsn", F.lit(1).cast("bigint").alias("events")
     )
