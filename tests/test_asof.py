@@ -1,0 +1,90 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tidelog.operators import as_of_join, find_hot_facts
+
+
+def frames(spark, facts, versions):
+    f = spark.createDataFrame(facts, "id int, k string, t bigint").withColumn(
+        "at", F.timestamp_millis("t")
+    )
+    d = spark.createDataFrame(versions, "k string, version int, f bigint, t bigint").select(
+        "k",
+        "version",
+        F.timestamp_millis("f").alias("valid_from"),
+        F.timestamp_millis("t").alias("valid_to"),
+    )
+    return f.drop("t"), d
+
+
+def brute_force(facts, versions, how):
+    out = []
+    for i, key, t in facts:
+        found = [v for k, v, f, e in versions if k == key and t is not None and f <= t < e]
+        if not found and how == "left":
+            found = [None]
+        out += [(i, v) for v in found]
+    return sorted(out, key=repr)
+
+
+def random_case(seed):
+    draw = random.Random(seed)
+    versions = []
+    for key in ("hot", "a", "b"):
+        at, version = draw.randrange(50), 1
+        for _ in range(40 if key == "hot" else 4):
+            width = draw.choice([0, 0, draw.randrange(1, 60)])
+            versions.append((key, version, at, at + width))
+            # some gaps between windows
+            at += width + draw.choice([0, 0, 0, draw.randrange(5)])
+            version += 1
+    facts = [
+        (i, draw.choice(["hot"] * 5 + ["a", "b", "unknown"]), draw.choice([None, *range(0, 1500, 7)]))
+        for i in range(150)
+    ]
+    return facts, versions
+
+
+@pytest.mark.parametrize("strategy", ["range", "window"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("rows_per_chunk", [None, 10])
+def test_strategies_equal_brute_force(spark, strategy, how, rows_per_chunk):
+    facts, versions = random_case(3)
+    f, d = frames(spark, facts, versions)
+    hot = find_hot_facts(f, d, "k", "at", rows_per_chunk) if rows_per_chunk else None
+    assert (hot is not None) == (rows_per_chunk is not None)
+    joined = as_of_join(f, d, "k", "at", ["version"], how=how, strategy=strategy, hot=hot)
+    assert joined.columns == ["id", "k", "at", "version"]
+    assert rows(joined.select("id", "version")) == brute_force(facts, versions, how)
+
+
+@pytest.mark.parametrize("strategy", ["range", "window"])
+def test_windows_are_half_open(spark, strategy):
+    f, d = frames(
+        spark,
+        [(0, "a", 9), (1, "a", 10), (2, "a", 19), (3, "a", 20), (4, "a", 30)],
+        [("a", 1, 10, 20), ("a", 2, 20, 20), ("a", 3, 20, 30)],
+    )
+    joined = as_of_join(f, d, "k", "at", ["version"], strategy=strategy)
+    assert rows(joined.select("id", "version")) == [(0, None), (1, 1), (2, 1), (3, 3), (4, None)]
+
+
+@pytest.mark.parametrize("rows_per_chunk", [None, 4])
+def test_range_matches_every_overlapping_window(spark, rows_per_chunk):
+    facts = [(i, "a", i * 3) for i in range(20)]
+    versions = [("a", 1, 0, 40), ("a", 2, 10, 30), ("a", 3, 30, 10)]
+    f, d = frames(spark, facts, versions)
+    hot = find_hot_facts(f, d, "k", "at", rows_per_chunk) if rows_per_chunk else None
+    joined = as_of_join(f, d, "k", "at", ["version"], hot=hot)
+    assert rows(joined.select("id", "version")) == brute_force(facts, versions, "left")
+
+
+def test_unknown_options(spark):
+    f, d = frames(spark, [(0, "a", 1)], [("a", 1, 0, 2)])
+    with pytest.raises(ValueError):
+        as_of_join(f, d, "k", "at", ["version"], strategy="guess")
+    with pytest.raises(ValueError):
+        as_of_join(f, d, "k", "at", ["version"], how="full")

@@ -52,7 +52,7 @@ def position_value(columns: Sequence[str]) -> Column:
         return F.col(columns[0]).cast("double")
     major, minor = columns
     # exact before the one rounding step, so rounding may tie but never reorder
-    shifted = F.col(major).cast("decimal(19,0)") * F.lit(2**63).cast("decimal(19,0)")
+    shifted = F.col(major).cast("decimal(19,0)") * F.lit(str(2**63)).cast("decimal(19,0)")
     return (shifted + F.col(minor).cast("decimal(19,0)")).cast("double")
 
 
