@@ -1,0 +1,179 @@
+import json
+
+import pytest
+
+from conftest import rows
+from tidelog.plans import retail
+from tidelog.sources import (
+    append_log,
+    decode_envelope,
+    load_summary,
+    overwrite_log,
+    quarantined,
+    read_changes,
+    read_csv,
+    read_log,
+    valid_events,
+    write_messages,
+)
+
+MESSAGE = "topic string, partition int, kafka_offset bigint, value string"
+
+
+def envelope(op="r", table="customer", before=None, after=None, **other):
+    source = {"table": table, "lsn": other.pop("lsn", None), "txId": 3}
+    source["snapshot"] = other.pop("snapshot", "true")
+    return json.dumps({"op": op, "ts_ms": 8, "source": source, "before": before, "after": after} | other)
+
+
+def decode(spark, *values):
+    messages = [("t", 0, i, v) for i, v in enumerate(values)]
+    return decode_envelope(spark.createDataFrame(messages, MESSAGE))
+
+
+def test_decoded_columns(spark):
+    row = {"customer_unique_id": "p", "city": None}
+    found = valid_events(decode(spark, envelope("u", after=row, before=row, lsn=7, snapshot=False)))
+    (event,) = found.collect()
+    assert event.asDict() == {
+        "source_table": "customer", "op": "update", "lsn": 7, "tx_id": 3, "event_ts_ms": 8,
+        "is_snapshot": False, "topic": "t", "partition": 0, "kafka_offset": 0, "pk": "p",
+        "before": '{"customer_unique_id":"p","city":null}',
+        "after": '{"customer_unique_id":"p","city":null}',
+    }
+
+
+@pytest.mark.parametrize(
+    "flag, expected",
+    [("true", True), ("last", True), (True, True), ("false", False), (False, False), (None, False)],
+)
+def test_snapshot_forms(spark, flag, expected):
+    found = valid_events(decode(spark, envelope(after={"customer_unique_id": "p"}, snapshot=flag)))
+    assert [r["is_snapshot"] for r in found.collect()] == [expected]
+
+
+def test_key_comes_from_the_image_that_is_there(spark):
+    item = {"order_id": "o", "order_item_id": 2}
+    decoded = decode(
+        spark,
+        envelope("c", "order_item", after=item),
+        envelope("d", "order_item", before=item),
+        envelope("d", "order_item", before=item, after={}),
+    )
+    assert [r["pk"] for r in valid_events(decoded).collect()] == ["o:2"] * 3
+    assert [r["after"] is None for r in valid_events(decoded).collect()] == [False, True, True]
+
+
+def test_tombstones_and_other_tables_are_skipped(spark):
+    decoded = decode(spark, None, envelope(table="elsewhere", after={"id": 1}))
+    assert decoded.count() == 0
+
+
+def test_what_cannot_be_logged_is_quarantined_with_its_reason(spark):
+    good = {"customer_unique_id": "p"}
+    bad = {
+        "malformed message": ["{", "[1]", "null", "", envelope(after=good, ts_ms="soon")],
+        "no row image": [envelope(), envelope("d", before={}, after={})],
+        "no business key": [envelope(after={"city": "x"}), envelope(after={"customer_unique_id": None})],
+        "no operation": [envelope(None, after=good)],
+        "no observation time": [envelope(after=good, ts_ms=None)],
+    }
+    values = [v for listed in bad.values() for v in listed]
+    decoded = decode(spark, envelope(after=good), *values)
+    assert valid_events(decoded).count() == 1
+    found = quarantined(decoded).orderBy("kafka_offset").collect()
+    assert [r["problem"] for r in found] == [p for p, listed in bad.items() for _ in listed]
+    assert [r["value"] for r in found] == values
+
+
+def test_unknown_operation_passes(spark):
+    decoded = decode(spark, envelope("t", after={"customer_unique_id": "p"}))
+    assert [r["op"] for r in valid_events(decoded).collect()] == ["t"]
+
+
+def test_envelope_is_parsed_once(spark):
+    plan = valid_events(decode(spark, envelope()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_load_summary(spark):
+    log = spark.createDataFrame(
+        [("a", "read"), ("a", "read"), ("a", "update"), ("b", "read")], "source_table string, op string"
+    )
+    found = {(t, o): n for t, o, n in rows(load_summary(log))}
+    assert found == {
+        ("a", "read"): 2, ("a", "update"): 1, ("b", "read"): 1, ("a", None): 3, ("b", None): 1,
+        (None, "read"): 3, (None, "update"): 1, (None, None): 4,
+    }
+
+
+@pytest.fixture(scope="module")
+def log(spark, sf_dir):
+    return retail.event_log(spark, sf_dir, ["order"], deletes=True)["order"].drop("batch")
+
+
+def test_log_is_appended_without_second_copies(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    assert read_log(spark, path) is None
+    part = log.filter("kafka_offset % 3 = 0")
+    append_log(part, path)
+    append_log(log, path)  # holds the first part again
+    append_log(log, path)  # holds nothing new
+    stored = read_log(spark, path).drop("batch").select(log.columns)
+    assert rows(stored) == rows(log)
+
+
+def test_a_repeated_batch_replaces_itself(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    append_log(log, path, batch_id=4)
+    append_log(log, path, batch_id=4)
+    assert read_log(spark, path).count() == log.count()
+
+
+def test_overwrite_starts_from_nothing(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    append_log(log, path, batch_id=4)
+    overwrite_log(log.filter("op = 'read'"), path)
+    assert {r[0] for r in read_log(spark, path).select("op").distinct().collect()} == {"read"}
+
+
+def test_a_filter_on_the_table_prunes_folders(spark, log, tmp_path):
+    path = str(tmp_path / "log")
+    append_log(log, path, batch_id=0)
+    plan = read_log(spark, path).filter("source_table = 'order'").select("pk")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source_table" in text
+    assert "ReadSchema: struct<pk:string>" in text
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_messages_round_trip(spark, sf_dir, tmp_path, fmt):
+    messages = retail.messages(spark, sf_dir, ["seller", "product"])
+    path = str(tmp_path / "topics")
+    write_messages(messages, path, fmt, files=2)
+    source = {"format": fmt, "path": path}
+    assert rows(read_changes(spark, source)) == rows(messages)
+    only = read_changes(spark, source, ["seller"])
+    assert {r[0] for r in only.select("topic").distinct().collect()} == {"commerce.commerce.seller"}
+
+
+def test_unknown_source(spark):
+    with pytest.raises(ValueError):
+        read_changes(spark, {"format": "pigeon", "path": "/nowhere"})
+
+
+def test_csv_is_read_by_name_and_type(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text('"extra","zip","n","at"\n"q","01151","2","2018-01-02 03:04:05"\n"q","",,\n')
+    df = read_csv(spark, str(path), "at timestamp, zip string, n int")
+    assert df.dtypes == [("at", "timestamp"), ("zip", "string"), ("n", "int")]
+    first, second = df.collect()
+    assert (first["zip"], first["n"]) == ("01151", 2)
+    assert second["n"] is None and second["at"] is None
+
+
+def test_csv_does_not_swallow_bad_values(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text("n\nmany\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_csv(spark, str(path), "n int").collect()
