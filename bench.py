@@ -78,7 +78,7 @@ def main() -> None:
         contracts.all_checks(latest["marts"]).counts().collect()
 
     def build_all() -> None:
-        marts = Marts(log(), path=f"{root}/marts-{next(loads)}")
+        marts = Marts(log(), path=f"{root}/marts-{next(loads)}", store_views=True)
         for name in ("dim_product", "dim_seller", "fct_orders", "fct_order_items"):
             marts.ref(name)
         latest["marts"] = marts

@@ -10,8 +10,10 @@ from tidelog.operators import (
     find_hot_keys,
     first_activity,
     hash_sample,
+    large_keys,
     lifecycle_events,
     out_of_order_count,
+    parent_join,
     rewind,
     terminal_time,
     transitions_by_status,
@@ -119,6 +121,17 @@ def test_translate_keeps_what_has_no_translation(spark):
     assert found == [(1, "a", "A"), (2, "b", None), (3, None, None)]
 
 
+def test_parent_join_with_busy_keys(spark):
+    children = spark.createDataFrame([("a", i) for i in range(30)] + [("b", 1), ("c", 1)], "k string, n int")
+    parents = spark.createDataFrame([("a", "A"), ("b", "B"), ("d", "D")], "k string, name string")
+    busy = large_keys(children, ["k"], 10)
+    assert [r[0] for r in busy.collect()] == ["a"]
+    assert large_keys(children, ["k"], 30) is None
+    for how in ("inner", "left"):
+        found = parent_join(children, parents, "k", how, busy)
+        assert rows(found) == rows(children.join(parents, "k", how))
+
+
 def test_first_activity_falls_back(spark):
     sellers = spark.createDataFrame([("s",), ("idle",)], "seller string")
     lines = spark.createDataFrame([("s", 1), ("s", 2), ("s", 9)], "seller string, o int")

@@ -97,6 +97,15 @@ def test_hot_keys_give_the_same_models(spark, with_deletes):
         assert hot.ref(name).count() == plain.ref(name).count()
 
 
+def test_busy_orders_give_the_same_items(spark, marts, with_deletes):
+    hot = Marts(with_deletes, rows_per_chunk=9)
+    found = hot.ref("fct_order_items")
+    assert found._jdf.queryExecution().analyzed().toString().count("LeftAnti") == 1
+    plain = Marts(with_deletes).ref("fct_order_items")
+    assert found.exceptAll(plain).count() == 0
+    assert found.count() == plain.count()
+
+
 def test_history_is_one_shuffle_and_one_parse(with_deletes):
     plan = Marts(with_deletes).ref("dim_order_status_history")._jdf.queryExecution()
     text = plan.executedPlan().toString()

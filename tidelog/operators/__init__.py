@@ -24,8 +24,14 @@ from tidelog.operators.lifecycle import (
     terminal_time,
     transitions_by_status,
 )
-from tidelog.operators.lookup import first_activity, translate
-from tidelog.operators.ordered import HotKeys, by_heat, find_hot_keys, over_history
+from tidelog.operators.lookup import first_activity, parent_join, translate
+from tidelog.operators.ordered import (
+    HotKeys,
+    by_heat,
+    find_hot_keys,
+    large_keys,
+    over_history,
+)
 from tidelog.operators.sampling import hash_sample
 
 __all__ = [
@@ -41,6 +47,7 @@ __all__ = [
     "first_activity",
     "first_state",
     "hash_sample",
+    "large_keys",
     "latest_state",
     "lifecycle_events",
     "lifecycle_steps",
@@ -51,6 +58,7 @@ __all__ = [
     "ordered_events",
     "out_of_order_count",
     "over_history",
+    "parent_join",
     "rewind",
     "scd2",
     "stage_events",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.operators.ordered import HotKeys, assign_chunk, find_hot_keys, _join_small
+from tidelog.operators.ordered import HotKeys, assign_chunk, find_hot_keys, join_small
 
 
 def fact_position(at: str):
@@ -71,7 +71,7 @@ def _range(facts, dim, key, at, columns, how, hot):
     versions = _versions(dim, key, columns)
     on = [F.col(key) == F.col("_dim_key"), F.col(at) >= F.col("_from"), F.col(at) < F.col("_to")]
     if hot is not None:
-        lookup = _join_small(versions, hot.named("_dim_key").frame, ["_dim_key"], "left")
+        lookup = join_small(versions, hot.named("_dim_key").frame, ["_dim_key"], "left")
         cuts_before = "size(filter(_cuts, cut -> cut <= cast(unix_micros({}) as double)))"
         first, last = (F.expr(cuts_before.format(edge)) for edge in ("_from", "_to"))
         # windows of zero or negative width match nothing and need no copy
@@ -125,7 +125,7 @@ def _merge(facts, dim, key, at, columns, how, hot):
         opening = chunks.select(
             "_key", "_chunk", F.last("_last", ignorenulls=True).over(earlier).alias("_opening")
         )
-        found = _join_small(found, opening, ["_key", "_chunk"], "left")
+        found = join_small(found, opening, ["_key", "_chunk"], "left")
         found = found.withColumn("_seen", F.coalesce("_seen", "_opening"))
     valid = F.col("_t") < F.col("_seen.to")
     out = found.filter("_side = 1").select(

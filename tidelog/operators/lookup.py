@@ -1,10 +1,33 @@
-"""Code translation and anchors."""
+"""Joins to a side with one row per key: parents, translations, anchors."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.operators.ordered import join_small
+
+
+def parent_join(
+    children: DataFrame,
+    parents: DataFrame,
+    key: str,
+    how: str = "inner",
+    busy: DataFrame | None = None,
+) -> DataFrame:
+    """Children with their parent's columns; `parents` has one row per key.
+
+    `busy` lists the keys with too many children for one task (see `large_keys`). Their
+    parents, one row per listed key, are few enough to broadcast, so their children are
+    joined where they are; all others meet by key.
+    """
+    if busy is None:
+        return children.join(parents, key, how)
+    few = join_small(parents, busy, [key], "left_semi")
+    spread = join_small(children, busy, [key], "left_semi").join(F.broadcast(few), key, how)
+    others = join_small(children, busy, [key], "left_anti").join(parents, key, how)
+    return others.unionByName(spread)
+
 
 def translate(
     df: DataFrame, lookup: DataFrame, code: str, lookup_code: str, text: str, out: str

@@ -56,6 +56,23 @@ def position_value(columns: Sequence[str]) -> Column:
     return (shifted + F.col(minor).cast("decimal(19,0)")).cast("double")
 
 
+def _counted(df: DataFrame, keys: Sequence[str], limit: int) -> list:
+    """Keys with more than `limit` rows and their number of rows; at most rows / limit of them."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > limit).collect()
+
+
+def large_keys(
+    df: DataFrame, keys: Sequence[str], limit: int = ROWS_PER_CHUNK
+) -> DataFrame | None:
+    """The keys with more than `limit` rows, or None where there are none."""
+    found = _counted(df, keys, limit)
+    if not found:
+        return None
+    schema = T.StructType([df.schema[k] for k in keys])
+    return df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], schema)
+
+
 def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -67,8 +84,7 @@ def find_hot_keys(
     Runs one count per key (combined before the shuffle), and only if a key is hot
     a second pass over those keys for the cutting points.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > rows_per_chunk).collect()
+    hot = _counted(df, keys, rows_per_chunk)
     if not hot:
         return None
 
@@ -83,7 +99,7 @@ def find_hot_keys(
     quantiles = F.percentile_approx(
         "_pos", [i / cuts for i in range(1, cuts + 1)], max(10_000, 10 * cuts)
     )
-    located = _join_small(
+    located = join_small(
         df.select(*keys, position_value(position).alias("_pos")), sizes, keys, "inner"
     )
     measured = (
@@ -109,7 +125,7 @@ def find_hot_keys(
     )
 
 
-def _join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Null-safe equi join with a side whose size is bounded (see HotKeys)."""
     renamed = small.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
@@ -123,7 +139,7 @@ def _join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str)
 def assign_chunk(df: DataFrame, hot: HotKeys, position: Column | None = None) -> DataFrame:
     """Add `_chunk` (0 for ordinary keys) and `_hot`."""
     pos = position_value(hot.position) if position is None else position
-    joined = _join_small(df, hot.frame, hot.keys, "left")
+    joined = join_small(df, hot.frame, hot.keys, "left")
     is_hot = F.col(_CUTS).isNotNull()
     # the position is worked out once per hot row, then held against each cut
     cut_at = F.size(F.filter(_CUTS, lambda cut: cut <= F.col("_pos")))
@@ -146,8 +162,8 @@ def by_heat(
     """
     if hot is None:
         return build(df, None)
-    ordinary = _join_small(df, hot.frame.drop(_CUTS), hot.keys, "left_anti")
-    busy = _join_small(df, hot.frame.drop(_CUTS), hot.keys, "left_semi")
+    ordinary = join_small(df, hot.frame.drop(_CUTS), hot.keys, "left_anti")
+    busy = join_small(df, hot.frame.drop(_CUTS), hot.keys, "left_semi")
     path = scratch_dir(df.sparkSession, "hot-keys")
     busy.write.parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -191,7 +207,7 @@ def over_history(
             {f"_lag_{out}": c for out, c in lag.items()},
         )
     )
-    joined = _join_small(
+    joined = join_small(
         local, _carry(rows, keys, order, running_max, lead, lag), chunk_keys, "left"
     )
 

@@ -745,7 +745,7 @@ def dq_order_key(spark, sf_dir):
 def gate_counts(spark, sf_dir):
     """Offences per declared check on sound data."""
     path = scratch_dir(spark, "marts")
-    return contracts.all_checks(_marts(spark, sf_dir, path=path)).counts()
+    return contracts.all_checks(_marts(spark, sf_dir, path=path, store_views=True)).counts()
 
 
 # --- profile and latency -----------------------------------------------------------------

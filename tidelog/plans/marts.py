@@ -19,9 +19,11 @@ from tidelog.operators import (
     as_of_join,
     find_hot_facts,
     find_hot_keys,
+    large_keys,
     latest_state,
     number_events,
     ordered_events,
+    parent_join,
     scd2,
     stage_events,
     typed_images,
@@ -240,14 +242,17 @@ def fct_order_items(
     dim_product: DataFrame,
     dim_seller: DataFrame,
     hot_facts: HotKeys | None = None,
+    busy_orders: DataFrame | None = None,
 ) -> DataFrame:
     """One row per item of a live order, tied to the address at purchase time.
 
-    The as-of join runs on orders, before they meet their more numerous items.
+    The as-of join runs on orders, before they meet their more numerous items. Products
+    and sellers are shuffled for their join, so Spark splits a popular one itself; orders
+    may already lie by their key, without a shuffle to split, hence `busy_orders`.
     """
     orders = orders_with_customer_version(int_orders_current, dim_customer, hot=hot_facts)
     joined = (
-        stg_order_items.join(orders, "order_id")
+        parent_join(stg_order_items, orders, "order_id", busy=busy_orders)
         .join(dim_product.select("product_id", "product_key"), "product_id", "left")
         .join(dim_seller.select("seller_id", "seller_key"), "seller_id", "left")
     )
@@ -326,13 +331,16 @@ class Marts:
 
     `log` is the whole log or a mapping from table to its part. With `path`, tables are
     written there as Parquet the first time they are needed and read back; without, all
-    models are composed lazily. `on_delete` is passed to the history dimensions.
+    models are composed lazily. With `store_views` the staged views are written as well:
+    several models and checks read them, and each reading would decode the JSON images
+    again. `on_delete` is passed to the history dimensions.
     """
 
     log: DataFrame | Mapping[str, DataFrame]
     path: str | None = None
     rows_per_chunk: int = ROWS_PER_CHUNK
     on_delete: str = "close"
+    store_views: bool = False
     _built: dict[str, DataFrame] = field(default_factory=dict, repr=False)
     _hot: dict[str, HotKeys | None] = field(default_factory=dict, repr=False)
 
@@ -350,7 +358,7 @@ class Marts:
     def ref(self, name: str) -> DataFrame:
         if name not in self._built:
             frame = self._compose(name)
-            if self.path and MODELS[name].materialized == "table":
+            if self.path and (self.store_views or MODELS[name].materialized == "table"):
                 target = f"{self.path.rstrip('/')}/{name}"
                 frame.write.mode("overwrite").parquet(target)
                 frame = frame.sparkSession.read.parquet(target)
@@ -374,6 +382,9 @@ class Marts:
             options["on_delete"] = self.on_delete
         if name == "fct_order_items":
             options["hot_facts"] = self._hot_facts()
+            order_id = F.split_part("pk", F.lit(":"), F.lit(1)).alias("order_id")
+            items = self.source("order_item").select(order_id)
+            options["busy_orders"] = large_keys(items, ["order_id"], self.rows_per_chunk)
         return model.build(*[self.ref(i) for i in model.inputs], **options)
 
     def _hot_facts(self) -> HotKeys | None:
