@@ -427,6 +427,23 @@ ORDER BY actual DESC""",
 SELECT CAST(sum(abs(coalesce(a.n, 0) - coalesce(e.n, 0))) AS BIGINT) AS total_drift
 FROM (SELECT status AS s, count(*) AS n FROM od GROUP BY 1) a
 FULL JOIN (SELECT final_status AS s, count(*) AS n FROM ow GROUP BY 1) e ON e.s = a.s""",
+    "replayed_status_history": f"""
+SELECT order_id, version, status AS order_status, start_ms AS valid_from,
+       coalesce(next_ms, {OPEN_END_MS}) AS valid_to, next_ms IS NULL AS is_current,
+       FALSE AS is_deleted, next_ms // 1000 - start_ms // 1000 AS seconds_in_status,
+       changed_ms < start_ms AS is_timestamp_clamped, total AS total_status_versions FROM hv""",
+    "replayed_customer_history": """
+SELECT customer_key, customer_unique_id, version, zip_code_prefix, city, state, valid_from,
+       valid_to, is_current, FALSE AS is_deleted, has_history FROM cv""",
+    "replayed_items": """
+SELECT md5(i.order_id || '-' || i.order_item_id) AS order_item_key, i.order_id, i.order_item_id,
+       o.customer_key, md5(i.product_id) AS product_key, md5(i.seller_id) AS seller_key,
+       w.final_status AS order_status, CAST(i.price + i.freight AS DOUBLE) AS item_total,
+       w.purchased_ms AS purchased_at
+FROM it i JOIN ow w ON w.k = i.k JOIN ocv o ON o.k = i.k""",
+    "replayed_status_drift": """
+SELECT final_status AS order_status, count(*) AS actual, count(*) AS expected,
+       CAST(0 AS BIGINT) AS drift FROM ow GROUP BY 1""",
     "dq_not_null": "SELECT order_id FROM oc WHERE approved_ms IS NULL",
     "dq_unique": """
 SELECT customer_unique_id, count(*) AS rows FROM oc GROUP BY 1 HAVING count(*) > 1""",

@@ -1,9 +1,11 @@
 from tidelog.operators.asof import as_of_join, find_hot_facts
 from tidelog.operators.changelog import (
     message_value,
+    number_messages,
     synthesize_history,
     synthesize_log,
     topic_name,
+    unfold_states,
 )
 from tidelog.operators.drift import changed_rows, detect_changes
 from tidelog.operators.events import (
@@ -13,6 +15,7 @@ from tidelog.operators.events import (
     ordered_events,
     stage_events,
     typed_images,
+    unreadable_images,
 )
 from tidelog.operators.history import open_end, scd2, with_duration
 from tidelog.operators.latest import first_state, latest_state, newest_event
@@ -32,7 +35,7 @@ from tidelog.operators.ordered import (
     large_keys,
     over_history,
 )
-from tidelog.operators.sampling import hash_sample
+from tidelog.operators.sampling import hash_sample, sample_rule
 
 __all__ = [
     "ORDER",
@@ -54,12 +57,14 @@ __all__ = [
     "message_value",
     "newest_event",
     "number_events",
+    "number_messages",
     "open_end",
     "ordered_events",
     "out_of_order_count",
     "over_history",
     "parent_join",
     "rewind",
+    "sample_rule",
     "scd2",
     "stage_events",
     "synthesize_history",
@@ -69,5 +74,7 @@ __all__ = [
     "transitions_by_status",
     "translate",
     "typed_images",
+    "unfold_states",
+    "unreadable_images",
     "with_duration",
 ]

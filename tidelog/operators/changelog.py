@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import compute_once
-from tidelog.operators.ordered import HotKeys, over_history
+from tidelog.operators.ordered import HotKeys, find_hot_keys, over_history
 
 # JSON of an image names every column, unknown ones as null
 _ALL_FIELDS = {"ignoreNullFields": "false"}
@@ -45,19 +45,50 @@ def topic_name(table: str, prefix: str = "commerce", schema: str = "commerce") -
     return f"{prefix}.{schema}.{table}"
 
 
-def synthesize_log(states: DataFrame, table: str, image: Sequence[str]) -> DataFrame:
-    """Messages of one table from rows with an array column `states`.
+POSITION = ["op", "lsn", "partition", "kafka_offset", "ts_ms", "tx_id"]
 
-    Each element is one event: `op` code, `lsn`, `kafka_offset`, `ts_ms`, `tx_id` and the
-    `image` fields; elements are in order and a `d` element has no image after it. The
-    pre-image is the element before it, so no key has to be gathered by a shuffle. For
-    rows that each hold their own whole history; else use `synthesize_history`.
+
+def synthesize_log(events: DataFrame, table: str, image: Sequence[str]) -> DataFrame:
+    """Messages of one table from one row per event.
+
+    `op` is the operation code, `lsn`, `partition`, `kafka_offset`, `ts_ms` and `tx_id`
+    say where and when it was committed, `now` and `was` are structs that hold at least
+    the image columns after and before the event. Reads and inserts have no image before,
+    deletes none after.
     """
-    with_before = F.transform(
+    op, now, was = F.col("op"), F.col("now"), F.col("was")
+
+    def row_image(state: Column) -> Column:
+        return F.struct(*[state[c].alias(c) for c in image])
+
+    value = message_value(
+        table,
+        op,
+        F.col("ts_ms"),
+        F.col("lsn"),
+        F.col("tx_id"),
+        op == "r",
+        F.when(~op.isin("r", "c"), row_image(was)),
+        F.when(op != "d", row_image(now)),
+    )
+    return compute_once(events, value=value).select(
+        F.lit(topic_name(table)).alias("topic"), "partition", "kafka_offset", "value"
+    )
+
+
+def unfold_states(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per element of the array column `states`: `now`, `was` and its `pos`.
+
+    For rows that each hold their own whole history, so that the state before an event is
+    known without gathering a key by a shuffle.
+    """
+    paired = F.transform(
         "states",
-        lambda s, i: F.struct(s.alias("now"), F.get(F.col("states"), i - 1).alias("was")),
+        lambda s, i: F.struct(
+            s.alias("now"), F.get(F.col("states"), i - 1).alias("was"), i.alias("pos")
+        ),
     )
-    return _messages(states.select(F.explode(with_before).alias("e")).select("e.*"), table, image)
+    return df.select(*keep, F.inline(paired))
 
 
 def synthesize_history(
@@ -68,40 +99,35 @@ def synthesize_history(
     order: Sequence[str],
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Messages of one table from one row per event, with the columns named above.
+    """Messages of one table from one row per event, its image as plain columns.
 
-    The pre-image is the row before it in the key's order.
+    The image before an event is the row before it in the key's order.
     """
-    fields = ["op", "lsn", "kafka_offset", "ts_ms", "tx_id", *image]
-    rows = events.withColumn("now", F.struct(*fields)).select(*keys, *_extra(order, keys), "now")
+    kept = list(dict.fromkeys([*keys, *order, *POSITION]))
+    rows = events.select(*kept, F.struct(*image).alias("now"))
     paired = over_history(rows, keys, order, lag={"was": "now"}, hot=hot)
-    return _messages(paired.select("now", "was"), table, image)
-
-
-def _extra(order: Sequence[str], keys: Sequence[str]) -> list[str]:
-    return [c for c in order if c not in keys]
-
+    return synthesize_log(paired, table, image)
 
-def _messages(events: DataFrame, table: str, image: Sequence[str]) -> DataFrame:
-    now, was = F.col("now"), F.col("was")
 
-    def row_image(state: Column) -> Column:
-        return F.struct(*[state[c].alias(c) for c in image])
+def number_messages(
+    events: DataFrame, key: str, order: Sequence[str], partitions: int, observed_from_ms: int
+) -> DataFrame:
+    """Give events the positions a broker and a log would have given them.
 
-    has_before = ~now["op"].isin("r", "c")
-    value = message_value(
-        table,
-        now["op"],
-        now["ts_ms"],
-        now["lsn"],
-        now["tx_id"],
-        now["op"] == "r",
-        F.when(has_before, row_image(was)),
-        F.when(now["op"] != "d", row_image(now)),
-    )
-    return compute_once(events, value=value).select(
-        F.lit(topic_name(table)).alias("topic"),
-        F.lit(0).alias("partition"),
-        now["kafka_offset"].alias("kafka_offset"),
-        "value",
-    )
+    All events of a key go to one topic partition; offsets are dense per partition, along
+    `order`, whose first column must be a non-negative integer. Reads have no log
+    position, other events one that grows with the offset.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
+    keyed = events.withColumn("partition", slot)
+    hot = find_hot_keys(keyed, ["partition"], order[:1])
+    numbered = over_history(keyed, ["partition"], order, number="_n", hot=hot)
+    offset = F.col("_n").cast("bigint") - 1
+    return numbered.withColumns(
+        {
+            "kafka_offset": offset,
+            "lsn": F.when(F.col("op") != "r", offset + 1),
+            "ts_ms": offset + observed_from_ms,
+            "tx_id": offset,
+        }
+    ).drop("_n")

@@ -29,14 +29,22 @@ def ordered_events(log: DataFrame, table: str) -> DataFrame:
 
 
 def typed_images(
-    events: DataFrame, image: str, previous: Sequence[str] = (), prefix: str = "prev_"
+    events: DataFrame,
+    image: str,
+    previous: Sequence[str] = (),
+    prefix: str = "prev_",
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Decode `after` in one parse to typed columns, and `before` to the columns in `previous`."""
+    """Decode `after` in one parse to typed columns, and `before` to the columns in `previous`.
+
+    A value that does not fit its type stops the job; with mode `PERMISSIVE` it becomes
+    NULL, and `unreadable_images` lists the events it came from.
+    """
     kept = [c for c in events.columns if c not in ("before", "after")]
-    parsed = {"_after": F.from_json("after", image)}
+    parsed = {"_after": F.from_json("after", image, {"mode": mode})}
     if previous:
         wanted = T.StructType([f for f in T.StructType.fromDDL(image) if f.name in previous])
-        parsed["_before"] = F.from_json("before", wanted)
+        parsed["_before"] = F.from_json("before", wanted, {"mode": mode})
     return compute_once(events, **parsed).select(
         *kept,
         "_after.*",
@@ -44,15 +52,34 @@ def typed_images(
     )
 
 
+def unreadable_images(log: DataFrame, table: str, image: str | None = None) -> DataFrame:
+    """Events of a table whose images do not fit its columns."""
+    schema = f"{image or IMAGES[table]}, _corrupt string"
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    events = compute_once(
+        log.filter(F.col("source_table") == table),
+        _after=F.from_json("after", schema, options),
+        _before=F.from_json("before", schema, options),
+    )
+    corrupt = F.col("_after._corrupt").isNotNull() | F.col("_before._corrupt").isNotNull()
+    return events.filter(corrupt).drop("_after", "_before")
+
+
 def stage_events(
-    log: DataFrame, table: str, key: str, tracked: Sequence[str], image: str | None = None
+    log: DataFrame,
+    table: str,
+    key: str,
+    tracked: Sequence[str],
+    image: str | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """One typed row per change event of a table, its key under the name `key`.
 
     `is_no_op_update` marks updates that left every tracked attribute unchanged. Each
     row is made from one event alone, without a shuffle.
     """
-    typed = typed_images(ordered_events(log, table), image or IMAGES[table], tracked)
+    events = ordered_events(log, table)
+    typed = typed_images(events, image or IMAGES[table], tracked, mode=mode)
     # the key comes from the event, not from the image, which is absent on deletes
     return typed.drop(key).withColumnRenamed("pk", key).withColumns(
         {

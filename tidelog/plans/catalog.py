@@ -29,7 +29,7 @@ from tidelog.operators import (
 )
 from tidelog.operators.ordered import ROWS_PER_CHUNK
 from tidelog.plans import marts as m
-from tidelog.plans import retail
+from tidelog.plans import replay, retail
 from tidelog.plans.marts import ADDRESS, Marts
 from tidelog.quality import contracts
 from tidelog.quality.logs import union_all
@@ -37,6 +37,7 @@ from tidelog.quality.totals import total_drift
 from tidelog.schemas import CSV_TABLES, EVENT_LOG, ORDER_STATUSES, TABLES
 from tidelog.session import scratch_dir
 from tidelog.sources import (
+    append_log,
     decode_envelope,
     load_summary,
     quarantined,
@@ -500,6 +501,43 @@ def status_total_drift(spark, sf_dir):
     return total_drift(status_distribution_drift(spark, sf_dir))
 
 
+def _replayed(spark, sf_dir, names=TABLES) -> Marts:
+    """Models over the messages that lead from the export's initial to its end state."""
+    export, log = retail.export(spark, sf_dir), {}
+    for name in names:
+        path = scratch_dir(spark, f"replayed-{name}")
+        append_log(valid_events(decode_envelope(replay.change_messages(export, name))), path, 0)
+        log[name] = read_log(spark, path)
+    return Marts(log)
+
+
+@query
+def replayed_status_history(spark, sf_dir):
+    return _status_versions(_replayed(spark, sf_dir, ["order"]).ref("dim_order_status_history"))
+
+
+@query
+def replayed_customer_history(spark, sf_dir):
+    dim = _replayed(spark, sf_dir, ["customer"]).ref("dim_customer")
+    return dim.drop("cdc_observed_at")
+
+
+@query
+def replayed_items(spark, sf_dir):
+    items = _replayed(spark, sf_dir).ref("fct_order_items")
+    return items.select(
+        "order_item_key", "order_id", "order_item_id", "customer_key", "product_key",
+        "seller_key", "order_status", "item_total", "purchased_at",
+    )
+
+
+@query
+def replayed_status_drift(spark, sf_dir):
+    """No drift: the changes lead exactly to the export."""
+    live = _replayed(spark, sf_dir, ["order"]).ref("int_orders_current")
+    return replay.status_drift(live, retail.export(spark, sf_dir))
+
+
 # --- generic checks ---------------------------------------------------------------------
 
 

@@ -20,7 +20,9 @@ from tidelog.operators import (
     synthesize_history,
     synthesize_log,
     translate,
+    unfold_states,
 )
+from tidelog.operators.changelog import POSITION
 from tidelog.schemas import FALLBACK_ANCHOR_MS, IMAGES, MONEY, TABLES
 from tidelog.session import configure, scratch_dir
 from tidelog.sources import append_log, decode_envelope, read_log, valid_events
@@ -158,16 +160,17 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every category but one with its translation."""
+    kinds = table(spark, sf_dir, "part").select("p_type").distinct().filter("p_type <> 'PROMO'")
+    return kinds.select("p_type", F.lower("p_type").alias("english"))
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products with the translation of their category."""
     key, size = F.col("p_partkey"), F.col("p_size")
     parts = table(spark, sf_dir, "part")
-    translations = (
-        parts.select("p_type")
-        .distinct()
-        .filter("p_type <> 'PROMO'")
-        .select("p_type", F.lower("p_type").alias("english"))
-    )
+    translations = category_translation(spark, sf_dir)
     listed = parts.select(
         key.cast("string").alias("product_id"),
         F.when(key % 54 != 0, F.col("p_type")).alias("category_name"),
@@ -204,6 +207,47 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def export(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The wide tables in the shape of the CSV export."""
+
+    def at(column: str, name: str) -> Column:
+        return F.timestamp_millis(column).alias(name)
+
+    visits = addresses(spark, sf_dir)
+    measured = ["category_name", "weight_g", "length_cm", "height_cm", "width_cm"]
+    return {
+        "orders": orders_wide(spark, sf_dir).select(
+            "order_id",
+            "customer_id",
+            F.col("final_status").alias("order_status"),
+            at("purchased_ms", "order_purchase_timestamp"),
+            at("approved_ms", "order_approved_at"),
+            at("shipped_ms", "order_delivered_carrier_date"),
+            at("delivered_ms", "order_delivered_customer_date"),
+            at("estimated_ms", "order_estimated_delivery_date"),
+        ),
+        "customers": visits.select(
+            F.concat(F.lit("c"), "order_id").alias("customer_id"),
+            "customer_unique_id",
+            *[F.col(c).alias(f"customer_{c}") for c in ("zip_code_prefix", "city", "state")],
+        ),
+        "order_items": raw_items(spark, sf_dir)
+        .withColumn("shipping_limit_date", F.timestamp_millis("shipping_limit_ms"))
+        .drop("shipping_limit_ms", "k"),
+        "products": products(spark, sf_dir).select(
+            "product_id", *[F.col(c).alias(f"product_{c}") for c in measured]
+        ),
+        "sellers": sellers(spark, sf_dir).select(
+            "seller_id",
+            *[F.col(c).alias(f"seller_{c}") for c in ("zip_code_prefix", "city", "state")],
+        ),
+        "category_translation": category_translation(spark, sf_dir).select(
+            F.col("p_type").alias("product_category_name"),
+            F.col("english").alias("product_category_name_english"),
+        ),
+    }
+
+
 # --- change messages ----------------------------------------------------------
 
 
@@ -211,6 +255,7 @@ def _order_state(seq: str, op: str, status: str, changed: str, reached: str) ->
     """SQL of one event; `reached` is the last lifecycle position the order has reached."""
     return f"""named_struct(
         'op', '{op}',
+        'partition', 0,
         'lsn', CASE WHEN {seq} > 0 THEN {LSN_FROM} + k * 8 + {seq} END,
         'kafka_offset', k * 8 + {seq},
         'ts_ms', {OBSERVED_FROM_MS} + k * 8 + {seq},
@@ -254,18 +299,20 @@ def order_states(spark: SparkSession, sf_dir: str, deletes: bool = False) -> Dat
 
 
 def _reads(rows: DataFrame, name: str, offset: Column) -> DataFrame:
-    state = F.struct(
+    """Snapshot messages of a table whose rows never change."""
+    image = [
+        (F.unix_millis(c) if c.endswith("_at") else F.col(c)).alias(c) for c in image_fields(name)
+    ]
+    events = rows.select(
         F.lit("r").alias("op"),
         F.lit(None).cast("bigint").alias("lsn"),
+        F.lit(0).alias("partition"),
         offset.alias("kafka_offset"),
         (offset + OBSERVED_FROM_MS).alias("ts_ms"),
         offset.alias("tx_id"),
-        *[
-            (F.unix_millis(c) if c.endswith("_at") else F.col(c)).alias(c)
-            for c in image_fields(name)
-        ],
+        F.struct(*image).alias("now"),
     )
-    return synthesize_log(rows.select(F.array(state).alias("states")), name, image_fields(name))
+    return synthesize_log(events.withColumn("was", F.col("now")), name, image_fields(name))
 
 
 def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,6 +326,7 @@ def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = changes.select(
         *person, "purchased_ms", "k", *tracked,
         F.when(first, "r").otherwise("u").alias("op"),
+        F.lit(0).alias("partition"),
         F.when(~first, F.col("purchased_ms")).alias("lsn"),
         F.col("k").alias("kafka_offset"),
         (F.col("k") + OBSERVED_FROM_MS).alias("ts_ms"),
@@ -290,7 +338,10 @@ def customer_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_messages(spark: SparkSession, sf_dir: str, name: str, deletes: bool = False) -> DataFrame:
     if name == "order":
-        return synthesize_log(order_states(spark, sf_dir, deletes), "order", image_fields("order"))
+        events = unfold_states(order_states(spark, sf_dir, deletes)).select(
+            *[F.col("now")[c].alias(c) for c in POSITION], "now", "was"
+        )
+        return synthesize_log(events, "order", image_fields("order"))
     if name == "customer":
         return customer_messages(spark, sf_dir)
     if name == "order_item":

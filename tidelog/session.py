@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 RUNTIME_SETTINGS = {
     # dates are cut from instants, so every engine must cut at the same midnight
     "spark.sql.session.timeZone": "UTC",
+    # a value that does not fit its type stops the job instead of turning into NULL
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join even where that costs one more exchange downstream
@@ -27,9 +29,11 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only where the session names none (tests, a laptop) a temporary folder is used.
+    Only a local session that names none (tests, a laptop) uses a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tidelog-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
