@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidelog import quality as q
 from tidelog.plans import retail
-from tidelog.plans.marts import Marts
+from tidelog.plans.marts import MODELS, Marts
 from tidelog.quality import contracts
 from tidelog.quality.totals import total_drift
 
@@ -87,7 +87,9 @@ MUTATIONS = [
 def test_each_corruption_fails_its_check(sound, model, corrupt, check):
     built, _ = sound
     broken = Marts(built.log)
-    broken._built = {**built._built, model: corrupt(built.ref(model))}
+    for name in MODELS:
+        broken.use(name, built.ref(name))
+    broken.use(model, corrupt(built.ref(model)))
     suite = q.Suite()
     if "." in check:
         contracts.table_checks(broken, model, suite)

@@ -365,6 +365,10 @@ class Marts:
             self._built[name] = frame
         return self._built[name]
 
+    def use(self, name: str, frame: DataFrame) -> None:
+        """Take a model that is already built."""
+        self._built[name] = frame
+
     def create_views(self, *names: str) -> None:
         """Register models as temporary views for SQL users."""
         for name in names or MODELS:
