@@ -6,6 +6,8 @@ log, so decoding is checked as well.
 
 from __future__ import annotations
 
+from tidelog.quality import contracts
+
 OPEN_END_MS = 253402300799000
 
 # Common tables: wide orders (ow), order events (oe), status versions (hv: without
@@ -486,7 +488,7 @@ FROM (SELECT customer_unique_id, count(*) AS n FROM ce GROUP BY 1) e
 FULL JOIN (SELECT customer_unique_id, count(*) AS n FROM cv
            WHERE NOT (version = 2 AND c % 20 = 0) GROUP BY 1) v
   ON v.customer_unique_id = e.customer_unique_id
-WHERE coalesce(e.n, -1) <> coalesce(v.n, -1)""",
+WHERE e.n IS DISTINCT FROM v.n""",
     "dq_generations": """
 SELECT 'order' AS source_table, order_id AS pk, count(*) AS snapshot_reads FROM (
   SELECT order_id FROM oe WHERE op = 'read'
@@ -595,5 +597,103 @@ FROM ce""",
 }
 
 
+# The delete-free log and the models as tables, for the declared checks.
+GATE_TABLES = f"""
+cdc_events AS (
+  SELECT source_table, pk, op, kafka_offset, op = 'read' AS is_snapshot,
+         CASE WHEN op <> 'read' THEN kafka_offset END AS lsn
+  FROM logk WHERE source_table <> 'order'
+  UNION ALL SELECT 'order', order_id, op, kafka_offset, seq = 0, raw_lsn FROM oe WHERE seq <= 5),
+stg_order_events AS (SELECT * FROM ({SELECTS["stg_order_events"]}) WHERE op NOT IN ('insert', 'delete')),
+int_orders_current AS (
+  SELECT order_id, status AS order_status, customer_unique_id, purchased_ms AS purchased_at FROM oc),
+""" + ",\n".join(
+    f"{name} AS ({SELECTS[name]})"
+    for name in (
+        "stg_customer_events", "stg_order_items", "stg_products", "stg_sellers", "dim_customer",
+        "dim_order_status_history", "dim_product", "dim_seller", "fct_orders", "fct_order_items",
+    )
+)
+
+
+def _tiling(model: str, key: str) -> str:
+    return f"""SELECT 1 FROM (SELECT valid_to, lead(valid_from) OVER (
+        PARTITION BY {key} ORDER BY version) AS following FROM {model}) WHERE valid_to <> following"""
+
+
+def _not_one_current(model: str, key: str) -> str:
+    return f"SELECT 1 FROM {model} GROUP BY {key} HAVING count(*) FILTER (is_current) <> 1"
+
+
+NEWEST = """(SELECT source_table, pk, op, row_number() OVER (PARTITION BY source_table, pk
+    ORDER BY coalesce(lsn, 0) DESC, kafka_offset DESC) AS rn FROM cdc_events)"""
+
+SPANNING_CHECKS = {
+    "no_duplicate_generations": """SELECT 1 FROM cdc_events WHERE op = 'read'
+        GROUP BY source_table, pk HAVING count(*) > 1""",
+    "deleted_rows_do_not_reappear": f"""SELECT 1 FROM {NEWEST} WHERE rn = 1 AND op = 'delete' AND pk IN (
+        SELECT order_id FROM fct_orders UNION ALL SELECT product_id FROM dim_product
+        UNION ALL SELECT seller_id FROM dim_seller
+        UNION ALL SELECT order_id || ':' || order_item_id FROM fct_order_items)""",
+    "fct_orders_reconciles_to_log": f"""SELECT 1
+        WHERE (SELECT count(*) FROM {NEWEST} WHERE source_table = 'order' AND rn = 1 AND op <> 'delete')
+           <> (SELECT count(*) FROM fct_orders)""",
+    "facts_reconcile": """SELECT 1 FROM fct_orders o LEFT JOIN (
+        SELECT order_id, count(*) AS n FROM fct_order_items GROUP BY 1) i ON i.order_id = o.order_id
+        WHERE o.item_count <> coalesce(i.n, 0)""",
+    "exactly_one_current_version": _not_one_current("dim_customer", "customer_unique_id")
+    + " UNION ALL " + _not_one_current("dim_order_status_history", "order_id"),
+    "windows_have_no_gaps_or_overlaps": _tiling("dim_customer", "customer_unique_id")
+    + " UNION ALL " + _tiling("dim_order_status_history", "order_id"),
+    "as_of_join_does_not_fan_out": """SELECT 1 FROM int_orders_current o LEFT JOIN dim_customer c
+        ON c.customer_unique_id = o.customer_unique_id
+       AND o.purchased_at >= c.valid_from AND o.purchased_at < c.valid_to
+        GROUP BY o.order_id HAVING count(c.version) <> 1""",
+    "version_counts_match_log": """SELECT 1 FROM (
+        SELECT customer_unique_id, count(*) AS n FROM stg_customer_events
+        WHERE NOT is_no_op_update GROUP BY 1) e
+        FULL JOIN (SELECT customer_unique_id, count(*) AS n FROM dim_customer GROUP BY 1) v
+        ON v.customer_unique_id = e.customer_unique_id
+        WHERE e.n IS DISTINCT FROM v.n""",
+}
+
+
+def _gate() -> str:
+    """Offences of every declared check, counted one check at a time."""
+    checks = {}
+    for t, columns in contracts.NOT_NULL.items():
+        checks |= {f"{t}.not_null_{c}": f"SELECT 1 FROM {t} WHERE {c} IS NULL" for c in columns}
+    for t, columns in contracts.UNIQUE.items():
+        for c in columns:
+            checks[f"{t}.unique_{c}"] = (
+                f"SELECT 1 FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
+            )
+    for t, columns in contracts.UNIQUE_COMBINATION.items():
+        checks[f"{t}.unique_{'_'.join(columns)}"] = (
+            f"SELECT 1 FROM {t} GROUP BY {', '.join(columns)} HAVING count(*) > 1"
+        )
+    for t, columns in contracts.ACCEPTED_VALUES.items():
+        for c, values in columns.items():
+            listed = ", ".join(f"'{v}'" for v in values)
+            checks[f"{t}.accepted_values_{c}"] = f"SELECT 1 FROM {t} WHERE {c} NOT IN ({listed})"
+    for t, expressions in contracts.EXPRESSIONS.items():
+        for label, expression in expressions.items():
+            checks[f"{t}.{label}"] = f"SELECT 1 FROM {t} WHERE NOT ({expression})"
+    for t, links in contracts.RELATIONSHIPS.items():
+        for c, parent, p in links:
+            checks[f"{t}.relationship_{c}"] = (
+                f"SELECT {c} FROM {t} WHERE {c} NOT IN (SELECT {p} FROM {parent}) GROUP BY 1"
+            )
+    checks["fct_order_items.price_is_positive"] = "SELECT 1 FROM fct_order_items WHERE price <= 0"
+    checks |= SPANNING_CHECKS
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS \"check\", (SELECT count(*) FROM ({sql})) AS violations"
+        for name, sql in checks.items()
+    )
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: f"WITH {CTES.strip()}\n{select.strip()}" for name, select in SELECTS.items()}
+    common = CTES.strip()
+    sql = {name: f"WITH {common}\n{select.strip()}" for name, select in SELECTS.items()}
+    sql["gate_counts"] = f"WITH {common},\n{GATE_TABLES.strip()}\n{_gate()}"
+    return sql

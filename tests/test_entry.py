@@ -24,7 +24,7 @@ def duck():
 
 
 def test_names():
-    assert set(ORACLE) == set(QUERIES) - {"gate_counts"}
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_flagship(spark):
