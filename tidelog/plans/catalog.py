@@ -652,7 +652,7 @@ def _resurrecting_state(log: DataFrame) -> DataFrame:
 def dq_deleted(spark, sf_dir):
     """Deleted orders in a model that drops deletes before ranking, and in the right one."""
     log = _order_log(spark, sf_dir)
-    right = m.int_orders_current(m.order_events(log))
+    right = m.int_orders_current(log)
     wrong = {"order": ("wrong_orders", _resurrecting_state(log), ["order_id"])}
     good = {"order": ("int_orders_current", right, ["order_id"])}
     return q.deleted_do_not_reappear(log, wrong).unionByName(
