@@ -27,7 +27,7 @@ c1,u1,01151,a,SP
 c2,u1,02222,b,SP
 c3,u2,03333,c,RJ
 """,
-    "products": """product_id,product_category_name,product_name_lenght,product_weight_g,product_length_cm,product_height_cm,product_width_cm
+    "products": """product_id,product_category_name,extra,product_weight_g,product_length_cm,product_height_cm,product_width_cm
 p1,livros,9,100,10,5,7
 p2,,9,,10,5,7
 """,

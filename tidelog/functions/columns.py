@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelog.schemas import OP_NAMES, PRIMARY_KEYS
 
-# --- fixed values: format of a surrogate key --------------------------------
+# --- fixed values: format of a surrogate key; the words for NULL must stay as they are ---
 KEY_SEPARATOR = "-"
 KEY_NULL = "_dbt_utils_surrogate_key_null_"
 
