@@ -3,21 +3,41 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidelog.llm import jaccard
+from tidelog.llm import bpe, jaccard, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document encoded and decoded again."""
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), ["doc_id"], decode_too=True)
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under a shingle similarity of 0.9."""
     return jaccard.jaccard_components(spark, _table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.judge(spark, docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
