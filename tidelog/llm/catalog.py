@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, jaccard, toxicity
+from tidelog.llm import bpe, decontaminate, jaccard, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,21 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(spark, _table(spark, sf_dir, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark text in every whole document."""
+    found = decontaminate.contamination(
+        spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -37,7 +52,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_decontamination": op4_decontamination,
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# words as in the operator: ASCII letters lowered, other ASCII but digits separates
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS t
+    FROM b, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS u(s) WHERE len(w) > 0
+), occ AS (
+    SELECT doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') AS t
+    FROM d, (SELECT DISTINCT size FROM win), unnest(range(1, len(w) - size + 2)) AS u(s)
+), hit AS (
+    SELECT DISTINCT doc_id, p FROM occ SEMI JOIN win USING (size, t), unnest(range(s, s + size)) AS u(p)
+), items AS (
+    SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ JOIN win USING (size, t)
+), listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM items GROUP BY doc_id
+), counted AS (SELECT doc_id, count(*) AS n_hit FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontamination": DECONTAMINATION_SQL,
+}
