@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, jaccard, toxicity
+from tidelog.llm import bpe, decontaminate, jaccard, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,21 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the rules that the query is asked for: (host, path, verdict)
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url, by rule or else by its path template."""
+    judged = url_filter.judge_urls(spark, _table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -53,6 +68,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_decontamination": op4_decontamination,
+    "op7_url_filter": op7_url_filter,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -83,6 +99,66 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+
+
+def _url_sql() -> str:
+    """The tree level by level; constants as in the operator."""
+    u = "coalesce(url, '')"
+    paths = """paths0 AS (
+        SELECT host, path, count(*) AS urls, any_value(verdict) AS verdict, '' AS template,
+            list_filter(string_split(regexp_replace(path, '[0-9]+', '*', 'g'), '/'), lambda s: s <> '') AS parts
+        FROM u GROUP BY host, path
+    ), grown0 AS (
+        SELECT host, path, template, CASE WHEN verdict IS NULL THEN 0 ELSE urls END AS labels,
+            CASE WHEN verdict = 'block' THEN urls ELSE 0 END AS blocked, urls,
+            CASE WHEN len(parts) > 4 THEN list_append(parts[1:4], '**') ELSE parts END AS segments
+        FROM paths0
+    )"""
+    for i in range(5):
+        paths += f""", varied{i} AS (
+            SELECT host, template FROM (
+                SELECT host, template, segments[{i + 1}] AS part, sum(urls) AS urls FROM grown{i}
+                WHERE len(segments) > {i} GROUP BY ALL
+            ) GROUP BY host, template HAVING count(*) >= 8 AND 2 * count(*) > sum(urls)
+        ), grown{i + 1} AS (
+            SELECT g.* EXCLUDE (template), g.template || CASE WHEN len(segments) <= {i} THEN ''
+                WHEN v.host IS NOT NULL THEN '/*' ELSE '/' || segments[{i + 1}] END AS template
+            FROM grown{i} g LEFT JOIN varied{i} v ON g.host = v.host AND g.template = v.template
+        )"""
+    return f"""
+    WITH h AS (
+        SELECT page_id, translate(regexp_extract({u}, '(?s)^.*?://([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+            regexp_extract({u}, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+    ), u AS (
+        SELECT *, CASE rule WHEN 'net/' THEN 'block' WHEN 'example.net/en/' THEN 'allow'
+            WHEN 'example.com/de/' THEN 'block' WHEN 'org/fr/' THEN 'allow' END AS verdict
+        FROM (SELECT *, CASE
+            WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM h)
+    ), {paths}, overall AS (
+        SELECT (coalesce(sum(blocked), 0)::DOUBLE + 2.0::DOUBLE) / (coalesce(sum(labels), 0)::DOUBLE + 4.0::DOUBLE) AS share FROM grown5
+    ), hosts AS (
+        SELECT host, (sum(blocked)::DOUBLE + any_value(share) * 4.0::DOUBLE) / (sum(labels)::DOUBLE + 4.0::DOUBLE) AS of_host
+        FROM grown5, overall GROUP BY host
+    ), templates AS (
+        SELECT host, template, max(len(segments)) AS depth, sum(labels)::DOUBLE AS labels, sum(blocked)::DOUBLE AS blocked,
+            any_value(of_host) AS of_host,
+            floor((sum(blocked)::DOUBLE + any_value(of_host) * 4.0::DOUBLE) / (sum(labels)::DOUBLE + 4.0::DOUBLE) * 10.0::DOUBLE) AS alike
+        FROM grown5 JOIN hosts USING (host) GROUP BY host, template
+    ), branches AS (
+        SELECT host, depth, alike, 1 - (sum(blocked) + max(of_host) * 4.0::DOUBLE) / (sum(labels) + 4.0::DOUBLE) AS purity
+        FROM templates GROUP BY host, depth, alike
+    )
+    SELECT page_id, host, path, rule,
+        coalesce(u.verdict, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+    FROM u JOIN grown5 g USING (host, path) JOIN templates USING (host, template) JOIN branches USING (host, depth, alike)
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op7_url_filter": _url_sql(),
     "op4_decontamination": DECONTAMINATION_SQL,
 }
