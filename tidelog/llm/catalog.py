@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, jaccard, toxicity, url_filter
+from tidelog.llm import bpe, decontaminate, jaccard, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, normalised and read back."""
+    return warc.round_trip(spark, _table(spark, sf_dir, "pages")).drop("url")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document encoded and decoded again."""
     coded = bpe.encode(_table(spark, sf_dir, "documents"), ["doc_id"], decode_too=True)
@@ -65,6 +70,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_decontamination": op4_decontamination,
@@ -158,7 +164,23 @@ def _url_sql() -> str:
     """
 
 
+# base32 of a SHA-1: five hexadecimal digits make four characters
+WARC_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+), answer AS (SELECT h, max(page_id) AS answer FROM p GROUP BY h)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(h, i // 4 * 5 + 1, 5) AS INTEGER) >> CAST(15 - i % 4 * 5 AS INTEGER)) & 31 AS INTEGER) + 1, 1)
+        for i in range(32)], '') AS payload_digest,
+    CASE WHEN page_id = answer THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> answer THEN answer END AS refers_to
+FROM p JOIN answer USING (h)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc": WARC_SQL,
     "op7_url_filter": _url_sql(),
     "op4_decontamination": DECONTAMINATION_SQL,
 }
