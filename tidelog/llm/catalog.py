@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, jaccard, toxicity, url_filter, warc
+from tidelog.llm import bpe, decontaminate, jaccard, preference, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,27 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _joined_spans(spans: str):
+    parts = F.transform(spans, lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return F.array_join(parts, ",").alias(spans)
+
+
+def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with another last answer."""
+    convs = preference.conversations(_table(spark, sf_dir, "conversations"))
+    pairs = preference.format_pairs(preference.swapped_answers(convs))
+    return pairs.select(
+        "pair_id",
+        "prompt_turns",
+        "prompt",
+        "chosen",
+        "rejected",
+        _joined_spans("chosen_spans"),
+        _joined_spans("rejected_spans"),
+        "tied",
+    )
+
+
 # the rules that the query is asked for: (host, path, verdict)
 URL_RULES = [
     ("net", "/", "block"),
@@ -74,6 +95,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_decontamination": op4_decontamination,
+    "op5_preference_pairs": op5_preference_pairs,
     "op7_url_filter": op7_url_filter,
     "op10_toxicity": op10_toxicity,
 }
@@ -179,7 +201,51 @@ FROM p JOIN answer USING (h)
 """
 
 
+PREFERENCE_SQL = """
+WITH t AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i
+    FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL)
+), ending AS (SELECT conv_id, max(i) AS i FROM t WHERE role = 'assistant' GROUP BY conv_id
+), answer AS (SELECT xor(conv_id, 1) AS conv_id, t.role, t.text FROM t JOIN ending USING (conv_id, i)
+), kept AS (
+    SELECT t.conv_id, t.i, CASE WHEN t.i = l.i THEN a.role ELSE t.role END AS role,
+        CASE WHEN t.i = l.i THEN a.text ELSE t.text END AS text
+    FROM t LEFT JOIN ending l ON t.conv_id = l.conv_id LEFT JOIN answer a ON t.conv_id = a.conv_id
+    WHERE t.i IS DISTINCT FROM l.i OR a.conv_id IS NOT NULL
+), r AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS i FROM kept
+), sides AS (
+    SELECT 'c' AS side, * FROM t UNION ALL SELECT 'r' AS side, conv_id, role, text, i FROM r
+), differs AS (
+    SELECT coalesce(t.conv_id, r.conv_id) AS conv_id, min(coalesce(t.i, r.i)) AS i
+    FROM t FULL JOIN r ON t.conv_id = r.conv_id AND t.i = r.i
+    WHERE t.i IS NULL OR r.i IS NULL OR t.role IS DISTINCT FROM r.role OR t.text IS DISTINCT FROM r.text
+    GROUP BY 1
+), shown AS (
+    SELECT b.*, d.i AS cut, '<|im_start|>' || replace(coalesce(role, ''), '<|', '< |') || chr(10)
+        || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10) AS s
+    FROM sides b LEFT JOIN differs d USING (conv_id)
+), placed AS (
+    SELECT *, i >= coalesce(cut, 1e9) AS late,
+        coalesce(sum(length(s)) OVER (PARTITION BY side, conv_id, i >= coalesce(cut, 1e9) ORDER BY i
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+    FROM shown
+)
+SELECT conv_id AS pair_id, CAST(count(*) FILTER (WHERE side = 'c' AND NOT late) AS INTEGER) AS prompt_turns,
+    coalesce(string_agg(s, '' ORDER BY i) FILTER (WHERE side = 'c' AND NOT late), '') AS prompt,
+    coalesce(string_agg(s, '' ORDER BY i) FILTER (WHERE side = 'c' AND late), '') AS chosen,
+    coalesce(string_agg(s, '' ORDER BY i) FILTER (WHERE side = 'r' AND late), '') AS rejected,
+    coalesce(string_agg((pos + 22)::BIGINT || '-' || (pos + length(s) - 1)::BIGINT, ',' ORDER BY i)
+        FILTER (WHERE side = 'c' AND late AND role = 'assistant'), '') AS chosen_spans,
+    coalesce(string_agg((pos + 22)::BIGINT || '-' || (pos + length(s) - 1)::BIGINT, ',' ORDER BY i)
+        FILTER (WHERE side = 'r' AND late AND role = 'assistant'), '') AS rejected_spans,
+    NOT bool_or(late) AS tied
+FROM placed GROUP BY conv_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_preference_pairs": PREFERENCE_SQL,
     "op1_warc": WARC_SQL,
     "op7_url_filter": _url_sql(),
     "op4_decontamination": DECONTAMINATION_SQL,
