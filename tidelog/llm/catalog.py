@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, jaccard, preference, toxicity, url_filter, warc
+from tidelog.llm import bpe, decontaminate, embedding, jaccard, preference, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +84,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at a cosine of 0.95."""
+    return embedding.embedding_components(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -97,6 +102,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_preference_pairs": op5_preference_pairs,
     "op7_url_filter": op7_url_filter,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
