@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, embedding, jaccard, preference, toxicity, url_filter, warc
+from tidelog.llm import bpe, decontaminate, embedding, jaccard, language_model, preference, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,13 @@ def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every whole document."""
+    return language_model.score_documents(spark, _table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 # the rules that the query is asked for: (host, path, verdict)
 URL_RULES = [
     ("net", "/", "block"),
@@ -101,6 +108,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_decontamination": op4_decontamination,
     "op5_preference_pairs": op5_preference_pairs,
+    "op6_recurrent_lm": op6_recurrent_lm,
     "op7_url_filter": op7_url_filter,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op10_toxicity": op10_toxicity,
