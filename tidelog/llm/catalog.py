@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, embedding, jaccard, language_model, preference, toxicity, url_filter, warc
+from tidelog.llm import bpe, decontaminate, embedding, jaccard, language_model, preference, token_counts, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,6 +96,14 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.embedding_components(spark, _table(spark, sf_dir, "embeddings"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every whole document; a token across lines belongs to the first of them."""
+    counted = token_counts.section_token_counts(_table(spark, sf_dir, "documents"), ["doc_id"], ["text"], "start")
+    return counted.select(
+        "doc_id", "section", "first_char", "end_char", F.col("n_tokens").cast("long").alias("n_tokens")
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole document."""
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -111,6 +119,7 @@ QUERIES = {
     "op6_recurrent_lm": op6_recurrent_lm,
     "op7_url_filter": op7_url_filter,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
 }
 
