@@ -1,0 +1,150 @@
+import random
+
+import numpy as np
+import pytest
+from llm_tables import awkward, documents  # noqa: F401
+from reference_forms import jaccard_components
+
+from tidelog.llm import embedding, jaccard
+from tidelog.llm.components import components
+from tidelog.llm.words import shingles, word_hashes
+
+
+def as_rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def plain(docs):
+    given = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    return sorted(jaccard_components(given), key=repr)
+
+
+def test_components_of_paths_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 120)] + [(7, 7), (200, 200), (119, 100)]
+    found = dict(map(tuple, components(spark, spark.createDataFrame(edges, "src long, dst long")).collect()))
+    assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 120)}
+
+
+def test_components_of_nothing(spark):
+    assert components(spark, spark.createDataFrame([], "src long, dst long")).collect() == []
+
+
+def test_join_equals_brute_force(spark, documents):
+    assert as_rows(jaccard.jaccard_components(spark, documents)) == plain(documents)
+
+
+def test_awkward_rows(spark, awkward):
+    docs = awkward.where("doc_id IS NOT NULL")
+    assert as_rows(jaccard.jaccard_components(spark, docs)) == plain(docs)
+
+
+def test_rows_without_id(spark):
+    rows = [(None, "a b c d"), (5, "a b c d"), (None, "only mine"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(map(tuple, jaccard.jaccard_components(spark, docs).collect()), key=repr)
+    assert found == sorted([(None, 2, 5), (5, 2, 5), (None, 1, None), (None, 0, None)], key=repr)
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert jaccard.jaccard_components(spark, docs).collect() == []
+
+
+@pytest.fixture(scope="module")
+def crowd(spark):
+    """Copies of one text with random edits: a dense group without a centre, and a loose one."""
+    rng = random.Random(3)
+    base = [f"t{i}" for i in range(150)]
+    rows = []
+    for i in range(110):
+        text = list(base)
+        for _ in range(rng.choice((1, 2, 2, 3))):
+            text[rng.randrange(len(text))] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    rows += [(1000 + i, " ".join(base[:60] + [f"o{i}x{j}" for j in range(60)])) for i in range(40)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize(("leaf", "rounds", "block"), [(32, 2, 256), (4, 1, 8), (4, 0, 8)])
+def test_crowded_regions(spark, crowd, monkeypatch, leaf, rounds, block):
+    monkeypatch.setattr(jaccard, "LEAF", leaf)
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    assert as_rows(jaccard.jaccard_components(spark, crowd)) == plain(crowd)
+
+
+def test_prefix_shares_a_pivot():
+    """Any pair at the threshold shares one of the first pivots."""
+    for n in range(1, 200):
+        for m in range(n, 2 * n):
+            least = -(-90 * (n + m) // 190)
+            if 10 * n >= 9 * m and least <= n:
+                assert n - least < jaccard._prefix(n, (90, 100))
+                assert m - least < jaccard._prefix(m, (90, 100))
+
+
+def test_hashes_do_not_depend_on_pieces(monkeypatch):
+    import pyarrow as pa
+
+    from tidelog.llm import words
+
+    texts = pa.array(["One two\tTHREE four", None, "", "one two three", "x" * 300 + " two three four"])
+    whole = [h[a:b].tolist() for _, _, h, at in word_hashes(texts) for a, b in zip(at, at[1:])]
+    monkeypatch.setattr(words, "CHUNK_BYTES", 8)
+    pieces = [h[a:b].tolist() for _, _, h, at in word_hashes(texts) for a, b in zip(at, at[1:])]
+    assert whole == pieces
+    assert whole[0][:3] == whole[3] and whole[1] == whole[2] == []
+    assert len(shingles(np.array([], np.uint64), 3)) == 0
+
+
+def near_vectors(seed=1, n=400, dim=24):
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((20, dim))
+    near = base[rng.integers(0, 20, n)] + 0.12 * rng.standard_normal((n, dim))
+    return [(i, [float(x) for x in v], 0) for i, v in enumerate(near)]
+
+
+def brute(rows, threshold=0.95):
+    good = [(i, np.array(v)) for i, v, _ in rows if v and None not in v and np.isfinite(v).all() and any(v)]
+    unit = {i: v / np.linalg.norm(v) for i, v in good}
+    links = {i: {j for j, w in unit.items() if j != i and len(v) == len(w) and v @ w >= threshold} for i, v in unit.items()}
+    root = {i: i for i, _, _ in rows}
+    changed = True
+    while changed:
+        changed = False
+        for i, js in links.items():
+            low = min([root[i], *(root[j] for j in js)])
+            for j in (i, *js):
+                changed |= root[j] != low
+                root[j] = low
+    return {i: (len(links.get(i, ())), root[i]) for i, _, _ in rows}
+
+
+@pytest.mark.parametrize("block", [256, 16])
+def test_embedding_links(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding, "BLOCK", block)
+    rows = near_vectors() + [(1000 + i, [1.0] + [0.0] * 23, 1) for i in range(60)]
+    want = brute(rows)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding.embedding_components(spark, df).collect()}
+    assert len(found) == len(rows)
+    total = sum(n for n, _ in want.values())
+    assert sum(n for n, _, _ in found.values()) >= 0.97 * total
+    assert all(found[i][0] <= n for i, (n, _) in want.items())
+    assert all(k == (i == c) for i, (_, c, k) in found.items())
+    assert {found[i][1] for i in range(1000, 1060)} == {1000}
+    assert all(found[i][0] == 59 for i in range(1000, 1060))
+
+
+def test_awkward_vectors(spark):
+    rows = [
+        (1, None), (2, []), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]),
+        (6, [float("inf"), 1.0]), (7, [1.0, 0.0]), (8, [2.0, 0.0]), (8, [2.0, 0.0]), (9, [1.0, 0.0, 0.0]),
+        (None, [1.0, 0.0]), (None, None), (10, [1e300, 0.0]), (11, [-1.0, 0.0]),
+    ]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, links string")
+    found = as_rows(embedding.embedding_components(spark, df))
+    alone = [(i, 0, i, True) for i in (1, 2, 3, 4, 5, 6, 9, 11)]
+    linked = [(7, 4, 7, True), (8, 4, 7, False), (8, 4, 7, False), (10, 4, 7, False), (None, 4, 7, False)]
+    assert found == sorted([*alone, *linked, (None, 0, None, True)], key=repr)
+    assert embedding.embedding_components(spark, df.limit(0)).collect() == []
