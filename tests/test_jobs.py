@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from test_replay import FILES
 from tidelog import jobs
+from tidelog.schemas import MESSAGE
 from tidelog.sources import read_log
 
 
@@ -31,10 +32,10 @@ def test_jobs_from_csv_to_checked_models(spark, root, capsys):
     assert load(root, *stream) == 0  # nothing new
     assert rows(read_log(spark, f"{root}/log").drop("batch")) == first
 
-    where = ["--log", f"{root}/log", "--marts", f"{root}/marts"]
+    where = ["--log", f"{root}/log", "--marts", f"{root}/marts", "--quarantine", f"{root}/quarantine"]
     assert jobs.main(["build", *where, "--store-views"]) == 0
     assert jobs.main(["verify", *where]) == 0
-    assert "88 checks passed" in capsys.readouterr().out
+    assert "89 checks passed" in capsys.readouterr().out
 
     items = f"{root}/marts/fct_order_items"
     spark.read.parquet(items).write.mode("append").parquet(items)
@@ -43,10 +44,23 @@ def test_jobs_from_csv_to_checked_models(spark, root, capsys):
 
 def test_rebuild_gives_the_same_log(spark, root):
     before = rows(read_log(spark, f"{root}/log").drop("batch"))
-    assert load(root, "--rebuild") == 0
+    assert load(root, "--rebuild", "--quarantine", f"{root}/quarantine") == 0
     assert rows(read_log(spark, f"{root}/log").drop("batch")) == before
 
 
 def test_load_needs_its_folders(root):
     with pytest.raises(SystemExit):
         load(root)
+
+
+def test_quarantine_stops_the_build(spark, root, tmp_path):
+    value = '{"op": "r", "ts_ms": 1, "source": {}, "after": {"customer_unique_id": "p"}}'
+    topic = spark.read.parquet(f"{root}/topics").first()["topic"]
+    row = spark.createDataFrame([(topic, 0, 10**9, value)], MESSAGE)
+    row.write.parquet(f"{tmp_path}/topics")
+    spark.read.parquet(f"{root}/topics").write.mode("append").parquet(f"{tmp_path}/topics")
+    where = ["--log", f"{tmp_path}/log", "--quarantine", f"{tmp_path}/quarantine"]
+    assert jobs.main(["load", "--path", f"{tmp_path}/topics", "--rebuild", *where]) == 0
+    build = ["build", *where, "--marts", f"{tmp_path}/marts", "--store-views"]
+    assert jobs.main(build) == 1
+    assert jobs.main([*build, "--allow-quarantined"]) == 0

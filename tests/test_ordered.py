@@ -7,7 +7,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
+from pyspark.sql import functions as F
+
 from tidelog.operators import by_heat, find_hot_keys, over_history
+from tidelog.operators.ordered import _levels, cuts_before
 
 SCHEMA = "k string, a bigint, b bigint, v bigint"
 
@@ -59,7 +62,26 @@ def test_only_large_keys_are_hot_and_are_cut_by_size(spark):
     hot = find_hot_keys(df, ["k"], ["a", "b"], 10)
     found = hot.frame.collect()
     assert [r["k"] for r in found] == ["x"]
-    assert 8 <= len(found[0]["_cuts"]) <= 9
+    assert 7 <= len(found[0]["_cuts"][0]) <= 9
+
+
+def test_rows_that_tie_in_the_leading_position_come_apart(spark):
+    """One constant instant for all rows: the rest of the order cuts them."""
+    df = spark.createDataFrame([("x", 5, i, i) for i in range(1000)], SCHEMA)
+    hot = find_hot_keys(df, ["k"], ["a"], 50)
+    seen = over_history(df, ["k"], ["a", "b"], number="n", hot=hot)
+    assert rows(seen.select("b", "n"), "b") == [(i, i + 1) for i in range(1000)]
+    assert dict(seen.dtypes)["n"] == "bigint"
+    ranged = df.repartitionByRange(hot.chunks, "k", "a", "b")
+    assert ranged.groupBy(F.spark_partition_id()).count().count() > 10
+
+
+def test_cuts_are_counted_level_by_level(spark):
+    cuts = [float(3 * i) for i in range(10_000)]
+    df = spark.createDataFrame([(_levels(cuts),)], "cuts array<array<double>>")
+    at = [-1.0, 0.0, 1.0, 189.0, 192.0, 12_287.0, 12_288.0, 29_997.0, 1e9]
+    found = df.select(F.explode(F.array(*map(F.lit, at))).alias("p"), "cuts").select(cuts_before("cuts", F.col("p")))
+    assert [r[0] for r in found.collect()] == [sum(c <= p for c in cuts) for p in at]
 
 
 def test_null_key_can_be_hot(spark):

@@ -4,6 +4,7 @@ import pytest
 
 from conftest import rows
 from tidelog.plans import retail
+from tidelog.sources.messages import _options, kafka_messages
 from tidelog.sources import (
     append_log,
     decode_envelope,
@@ -177,3 +178,36 @@ def test_csv_does_not_swallow_bad_values(spark, tmp_path):
     path.write_text("n\nmany\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         read_csv(spark, str(path), "n int").collect()
+
+
+def test_csv_files_with_other_headers_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,name,extra\n1,"x, ""y""",0\n')
+    (tmp_path / "b.csv").write_text("name,id\nz,02\n")
+    (tmp_path / "c.csv").write_text('name,id\n"two\nlines",3\n')
+    got = read_csv(spark, str(tmp_path), "id string, name string", multi_line=True)
+    assert rows(got) == [("02", "z"), ("1", 'x, "y"'), ("3", "two\nlines")]
+
+
+def test_a_message_without_source_table_is_quarantined(spark):
+    schema_block = json.dumps({"schema": {}, "payload": {"op": "r"}})
+    decoded = decode(spark, schema_block, envelope(table=None, after={"id": 1}), envelope(table="elsewhere"))
+    assert [r["problem"] for r in quarantined(decoded).collect()] == ["no source table"] * 2
+    assert valid_events(decoded).count() == 0
+
+
+def test_kafka_options_and_records(spark):
+    source = {"format": "kafka", "kafka.bootstrap.servers": "b:1", "topic_prefix": "p", "topic_schema": "s"}
+    kind, options, topics = _options(source, ["order", "seller"], True, 7)
+    assert kind == "kafka" and topics == ["p.s.order", "p.s.seller"]
+    assert options == {
+        "kafka.bootstrap.servers": "b:1", "startingOffsets": "earliest",
+        "subscribe": "p.s.order,p.s.seller", "maxOffsetsPerTrigger": "7",
+    }
+    assert "maxOffsetsPerTrigger" not in _options(source, ["order"], False, 7)[1]
+    assert _options(source | {"startingOffsets": "latest"}, ["order"], True, None)[1]["startingOffsets"] == "latest"
+    kafka = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
+    record = [(None, bytearray(b'{"op": 1}'), "t", 3, 2**40, None), (None, None, "t", 3, 4, None)]
+    got = kafka_messages(spark.createDataFrame(record, kafka))
+    assert rows(got, "kafka_offset") == [("t", 3, 4, None), ("t", 3, 2**40, '{"op": 1}')]
+    with pytest.raises(ValueError, match="unknown source format"):
+        _options({"format": "x"}, ["order"], False, None)

@@ -5,12 +5,20 @@ from conftest import rows
 from tidelog.operators import ORDER, latest_state
 from tidelog.plans import marts as m
 from tidelog.plans import retail
-from tidelog.sources import read_log, write_messages
+from tidelog.sources import (
+    append_log,
+    decode_envelope,
+    overwrite_log,
+    read_log,
+    valid_events,
+    write_messages,
+)
 from tidelog.streaming import (
     keep_history,
     keep_latest,
     read_history,
     read_latest,
+    read_quarantine,
     rebuild_log,
     tail,
 )
@@ -47,7 +55,7 @@ def test_tail_resumes_and_loads_every_message_once(spark, sf_dir, tmp_path):
     log = read_log(spark, f"{root}/log")
     assert log.count() == messages.count()
     assert log.select("topic", "partition", "kafka_offset").distinct().count() == log.count()
-    bad = spark.read.parquet(f"{root}/bad")
+    bad = read_quarantine(spark, f"{root}/log", f"{root}/bad")
     assert [r["problem"] for r in bad.collect()] == ["malformed message"]
 
 
@@ -56,10 +64,65 @@ def test_rebuild_equals_the_tailed_log(spark, sf_dir, tmp_path):
     write_messages(retail.messages(spark, sf_dir, ["seller"]), f"{root}/topics", "json", files=2)
     drain(spark, root)
     tailed = rows(read_log(spark, f"{root}/log").drop("batch"))
-    rebuild_log(spark, {"format": "json", "path": f"{root}/topics"}, f"{root}/log")
+    rebuild_log(spark, {"format": "json", "path": f"{root}/topics"}, f"{root}/log", f"{root}/bad")
     assert rows(read_log(spark, f"{root}/log").drop("batch")) == tailed
 
 
+POSITIONS = ("topic", "partition", "kafka_offset")
+
+
+def holds_once(spark, root, messages):
+    log = read_log(spark, f"{root}/log")
+    assert log.count() == log.select(*POSITIONS).distinct().count() == messages
+    return log
+
+
+def add(messages, root, n):
+    write_messages(messages.filter(F.col("kafka_offset") % 4 == n), f"{root}/topics", "json", files=1)
+
+
+def test_writers_leave_each_other_alone(spark, sf_dir, tmp_path):
+    """tail, append, tail; then a rebuild with a broken message, the old, a new and a lost checkpoint."""
+    root = str(tmp_path)
+    messages = retail.messages(spark, sf_dir, ["product"]).persist()
+    count = lambda *n: messages.filter((F.col("kafka_offset") % 4).isin(*n)).count()
+    events = lambda n: valid_events(decode_envelope(messages.filter(F.col("kafka_offset") % 4 == n)))
+    add(messages, root, 0)
+    drain(spark, root)
+    append_log(events(1).union(events(1)), f"{root}/log")
+    append_log(events(0), f"{root}/log")
+    holds_once(spark, root, count(0, 1))
+    add(messages, root, 2)
+    drain(spark, root)
+    holds_once(spark, root, count(0, 1, 2))
+
+    add(messages.limit(1).withColumns({"value": F.lit("{"), "kafka_offset": F.lit(1_000_000)}), root, 0)
+    source = {"format": "json", "path": f"{root}/topics"}
+    rebuild_log(spark, source, f"{root}/log", f"{root}/bad")
+    holds_once(spark, root, count(0, 2))
+    assert read_quarantine(spark, f"{root}/log", f"{root}/bad").count() == 1
+    add(messages, root, 3)
+    drain(spark, root)
+    holds_once(spark, root, count(0, 2, 3))
+    for checkpoint in ("new", "lost"):
+        tail(spark, source, f"{root}/log", f"{root}/{checkpoint}", f"{root}/bad").awaitTermination()
+        holds_once(spark, root, count(0, 2, 3))
+    add(messages, root, 1)
+    drain(spark, root)
+    holds_once(spark, root, messages.count())
+    assert read_quarantine(spark, f"{root}/log", f"{root}/bad").count() == 1
+
+
+def test_a_failed_rebuild_changes_nothing(spark, sf_dir, tmp_path):
+    path = f"{tmp_path}/log"
+    events = valid_events(decode_envelope(retail.messages(spark, sf_dir, ["seller"])))
+    append_log(events, path)
+    append_log(events.limit(2), path, 0, "rebuild", 1)  # died before the switch
+    assert read_log(spark, path).count() == events.count()
+    overwrite_log(events, path)
+    assert read_log(spark, path).count() == events.count()
+
+
 @pytest.fixture(scope="module")
 def staged(spark, sf_dir):
     log = retail.landed_log(spark, sf_dir, ["order"], deletes=True)["order"]

@@ -12,7 +12,7 @@ import argparse
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.plans.marts import MODELS, Marts
 from tidelog.plans.replay import change_messages, read_export
@@ -20,15 +20,16 @@ from tidelog.quality import GateFailure, contracts, run_gate
 from tidelog.schemas import CSV_TABLES, TABLES
 from tidelog.session import configure
 from tidelog.sources import load_summary, read_log, write_messages
-from tidelog.streaming import rebuild_log, tail
+from tidelog.streaming import read_quarantine, rebuild_log, tail
 
 
 def derive(spark: SparkSession, args: argparse.Namespace) -> None:
     names = dict(pair.split("=", 1) for pair in args.file)
     files = {t: names.get(t, f"{args.csv}/{t}.csv") for t in CSV_TABLES}
     export = read_export(spark, files)
+    partitions = args.partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for table in TABLES:
-        messages = change_messages(export, table, args.sample_pct, args.partitions)
+        messages = change_messages(export, table, args.sample_pct, partitions)
         write_messages(messages, args.out, args.format)
 
 
@@ -39,7 +40,7 @@ def _source(args: argparse.Namespace) -> dict[str, str]:
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.rebuild:
-        rebuild_log(spark, _source(args), args.log)
+        rebuild_log(spark, _source(args), args.log, args.quarantine)
     else:
         query = tail(
             spark,
@@ -51,12 +52,22 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
             batch_limit=args.batch_limit,
         )
         query.awaitTermination()
-    load_summary(read_log(spark, args.log)).orderBy("source_table", "op").show(100)
+    log = read_log(spark, args.log)
+    if log is not None:
+        for row in load_summary(log).orderBy("source_table", "op").collect():
+            print(f"{row['source_table'] or 'all':<12} {row['op'] or 'all':<8} {row['events']}")
+    print(f"{read_quarantine(spark, args.log, args.quarantine).count()} messages in quarantine")
+
+
+def _quarantine(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
+    if args.allow_quarantined or not args.quarantine:
+        return None
+    return read_quarantine(spark, args.log, args.quarantine)
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> None:
     marts = Marts(read_log(spark, args.log), path=args.marts, store_views=args.store_views)
-    results = contracts.build_gated(marts)
+    results = contracts.build_gated(marts, _quarantine(spark, args))
     print(f"{len(MODELS)} models built, {len(results)} checks passed")
 
 
@@ -65,10 +76,16 @@ def verify(spark: SparkSession, args: argparse.Namespace) -> None:
     for name, model in MODELS.items():
         if model.materialized == "table":
             marts.use(name, spark.read.parquet(f"{args.marts.rstrip('/')}/{name}"))
-    results = run_gate(contracts.all_checks(marts))
+    suite = contracts.all_checks(marts)
+    results = run_gate(contracts.quarantine_check(suite, _quarantine(spark, args)))
     print(f"{len(results)} checks passed")
 
 
+def _gate_arguments(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--quarantine", help="fail if a message lies there")
+    job.add_argument("--allow-quarantined", action="store_true")
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tidelog", description=__doc__.splitlines()[0])
     jobs = top.add_subparsers(dest="job", required=True)
@@ -78,7 +95,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--file", action="append", default=[], help="table=path, where named otherwise")
     job.add_argument("--out", required=True)
     job.add_argument("--format", default="parquet", choices=["json", "parquet"])
-    job.add_argument("--partitions", type=int, default=8)
+    job.add_argument("--partitions", type=int, help="topic partitions; by default the session's shuffle partitions")
     job.add_argument("--sample-pct", type=int)
     job.set_defaults(run=derive)
 
@@ -88,8 +105,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--option", action="append", default=[], help="reader option, name=value")
     job.add_argument("--log", required=True)
     job.add_argument("--checkpoint")
-    job.add_argument("--quarantine")
-    job.add_argument("--batch-limit", type=int, default=50_000)
+    job.add_argument("--quarantine", required=True)
+    job.add_argument("--batch-limit", type=int, help="messages (Kafka) or files of a micro-batch")
     job.add_argument("--follow", action="store_true", help="keep running")
     job.add_argument("--rebuild", action="store_true", help="from the first offset")
     job.set_defaults(run=load)
@@ -98,19 +115,21 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--log", required=True)
     job.add_argument("--marts", required=True)
     job.add_argument("--store-views", action="store_true")
+    _gate_arguments(job)
     job.set_defaults(run=build)
 
     job = jobs.add_parser("verify")
     job.add_argument("--log", required=True)
     job.add_argument("--marts", required=True)
+    _gate_arguments(job)
     job.set_defaults(run=verify)
     return top
 
 
 def main(argv: Sequence[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    if args.job == "load" and not args.rebuild and not (args.checkpoint and args.quarantine):
-        parser().error("load needs --checkpoint and --quarantine unless it rebuilds")
+    if args.job == "load" and not args.rebuild and not args.checkpoint:
+        parser().error("load needs --checkpoint unless it rebuilds")
     spark = configure(SparkSession.builder.appName(f"tidelog-{args.job}").getOrCreate())
     try:
         args.run(spark, args)

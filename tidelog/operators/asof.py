@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.operators.ordered import HotKeys, assign_chunk, find_hot_keys, join_small
+from tidelog.operators.ordered import (
+    HotKeys,
+    assign_chunk,
+    cuts_before,
+    find_hot_keys,
+    join_small,
+)
 
 
 def fact_position(at: str):
@@ -72,8 +78,7 @@ def _range(facts, dim, key, at, columns, how, hot):
     on = [F.col(key) == F.col("_dim_key"), F.col(at) >= F.col("_from"), F.col(at) < F.col("_to")]
     if hot is not None:
         lookup = join_small(versions, hot.named("_dim_key").frame, ["_dim_key"], "left")
-        cuts_before = "size(filter(_cuts, cut -> cut <= cast(unix_micros({}) as double)))"
-        first, last = (F.expr(cuts_before.format(edge)) for edge in ("_from", "_to"))
+        first, last = (cuts_before("_cuts", fact_position(edge)) for edge in ("_from", "_to"))
         # windows of zero or negative width match nothing and need no copy
         spans = F.when(F.col("_cuts").isNull(), F.array(F.lit(0))).when(
             F.col("_from") < F.col("_to"), F.sequence(first, last)

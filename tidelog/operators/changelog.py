@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import compute_once
-from tidelog.operators.ordered import HotKeys, find_hot_keys, over_history
+from tidelog.operators.ordered import HotKeys, by_heat, find_hot_keys, over_history
+from tidelog.schemas import TOPIC_PREFIX
 
 # JSON of an image names every column, unknown ones as null
 _ALL_FIELDS = {"ignoreNullFields": "false"}
@@ -41,7 +42,7 @@ def message_value(
     return F.to_json(envelope, _ALL_FIELDS)
 
 
-def topic_name(table: str, prefix: str = "commerce", schema: str = "commerce") -> str:
+def topic_name(table: str, prefix: str = TOPIC_PREFIX, schema: str = TOPIC_PREFIX) -> str:
     return f"{prefix}.{schema}.{table}"
 
 
@@ -105,7 +106,9 @@ def synthesize_history(
     """
     kept = list(dict.fromkeys([*keys, *order, *POSITION]))
     rows = events.select(*kept, F.struct(*image).alias("now"))
-    paired = over_history(rows, keys, order, lag={"was": "now"}, hot=hot)
+    paired = by_heat(
+        rows, hot, lambda part, heat: over_history(part, keys, order, lag={"was": "now"}, hot=heat)
+    )
     return synthesize_log(paired, table, image)
 
 
@@ -121,8 +124,10 @@ def number_messages(
     slot = F.pmod(F.xxhash64(key), F.lit(partitions)).cast("int")
     keyed = events.withColumn("partition", slot)
     hot = find_hot_keys(keyed, ["partition"], order[:1])
-    numbered = over_history(keyed, ["partition"], order, number="_n", hot=hot)
-    offset = F.col("_n").cast("bigint") - 1
+    numbered = by_heat(
+        keyed, hot, lambda part, heat: over_history(part, ["partition"], order, number="_n", hot=heat)
+    )
+    offset = F.col("_n") - 1
     return numbered.withColumns(
         {
             "kafka_offset": offset,

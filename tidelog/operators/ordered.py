@@ -2,9 +2,9 @@
 
 A window partitioned by key puts all rows of a key into one task. That is right
 for ordinary keys and wrong for one that holds a third of the log. `find_hot_keys`
-measures which keys are too large; `over_history` cuts only those into chunks that
-follow the order, computes each chunk on its own, and carries counts, maxima and
-edge values from chunk to chunk through a table with one row per chunk.
+measures which keys are too large; `over_history` range-partitions only those along
+their whole order, computes each range on its own, and carries counts, maxima and
+edge values from range to range through a table with one row per range.
 Results are the same as those of the plain window.
 """
 
@@ -21,7 +21,8 @@ from tidelog.session import scratch_dir
 
 # A window partition of this many narrow rows sorts within one task's memory.
 ROWS_PER_CHUNK = 4_000_000
-MAX_CUTS = 10_000
+# cuts are looked up level by level, this many at a time
+CUTS_PER_LEVEL = 64
 
 _CHUNK, _HOT, _CUTS, _EDGE = "_chunk", "_hot", "_cuts", "_edge"
 
@@ -30,9 +31,10 @@ _CHUNK, _HOT, _CUTS, _EDGE = "_chunk", "_hot", "_cuts", "_edge"
 class HotKeys:
     """Oversized keys with the positions at which each is cut.
 
-    `frame` holds the key columns and `_cuts`. Every key in it has more than
-    `rows_per_chunk` rows and about rows / rows_per_chunk cuts, so keys and cuts
-    together stay below 2 * total rows / rows_per_chunk: small enough to broadcast.
+    `frame` holds the key columns and `_cuts`, every key's cuts in ascending order, then
+    every 64th of them, and so on until one level has at most 64. Every key in it has more
+    than `rows_per_chunk` rows and about rows / rows_per_chunk cuts, so keys and cuts
+    together stay below 3 * total rows / rows_per_chunk: small enough to broadcast.
     """
 
     keys: tuple[str, ...]
@@ -90,39 +92,49 @@ def find_hot_keys(
 
     spark = df.sparkSession
     fields = [df.schema[k] for k in keys]
-    sizes = spark.createDataFrame(
-        [tuple(r[k] for k in keys) + (-(-r["_n"] // rows_per_chunk),) for r in hot],
-        T.StructType(fields + [T.StructField("_parts", T.LongType())]),
-    )
-    cuts = min(MAX_CUTS, max(-(-r["_n"] // rows_per_chunk) for r in hot))
-    # where one list of quantiles serves all keys, a smaller key takes every n-th of them
-    quantiles = F.percentile_approx(
-        "_pos", [i / cuts for i in range(1, cuts + 1)], max(10_000, 10 * cuts)
-    )
+    named = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], T.StructType(fields))
     located = join_small(
-        df.select(*keys, position_value(position).alias("_pos")), sizes, keys, "inner"
+        df.select(*keys, position_value(position).alias("_pos")), named, keys, "left_semi"
+    )
+    # ranges of about equal size, whatever the number of cuts; equal positions stay together
+    chunks = sum(-(-r["_n"] // rows_per_chunk) for r in hot)
+    ranged = located.repartitionByRange(chunks, *keys, "_pos").select(
+        *keys, "_pos", F.spark_partition_id().alias("_range")
     )
     measured = (
-        located.groupBy(*keys, "_parts")
-        .agg(quantiles.alias("_q"))
-        .select(
-            *keys,
-            F.array_distinct(
-                F.expr(
-                    f"transform(sequence(1L, least(_parts, {cuts}L) - 1), "
-                    f"i -> _q[cast(i * {cuts} div least(_parts, {cuts}L) - 1 as int)])"
-                )
-            ).alias(_CUTS),
-        )
+        ranged.groupBy(*keys, "_range")
+        .agg(F.min("_pos").alias("_low"))
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_set("_low")).alias("_lows"))
+        .select(*keys, F.slice("_lows", 2, 2**31 - 1).alias("_fine"))
         .collect()
     )
     frame = spark.createDataFrame(
-        [tuple(r) for r in measured],
-        T.StructType(fields + [T.StructField(_CUTS, T.ArrayType(T.DoubleType()))]),
-    )
-    return HotKeys(
-        tuple(keys), tuple(position), frame, sum(len(r[_CUTS]) + 1 for r in measured)
+        [(*r[:-1], _levels(r["_fine"])) for r in measured],
+        T.StructType(fields + [T.StructField(_CUTS, T.ArrayType(T.ArrayType(T.DoubleType())))]),
     )
+    return HotKeys(tuple(keys), tuple(position), frame, chunks)
+
+
+def _levels(cuts: list[float]) -> list[list[float]]:
+    """All cuts, every 64th of them, every 64th of those, until one level is short."""
+    levels = [cuts]
+    while len(levels[-1]) > CUTS_PER_LEVEL:
+        levels.append(levels[-1][CUTS_PER_LEVEL - 1 :: CUTS_PER_LEVEL])
+    return levels
+
+
+def cuts_before(cuts: Column | str, position: Column) -> Column:
+    """How many cuts are at or below `position`, from the shortest level to the longest.
+
+    Each level looks at no more than 64 cuts: those after the ones the level above counted.
+    """
+
+    def count(found, level):
+        near = F.slice(level, found * CUTS_PER_LEVEL + 1, CUTS_PER_LEVEL)
+        return found * CUTS_PER_LEVEL + F.size(F.filter(near, lambda cut: cut <= position))
+
+    return F.aggregate(F.reverse(cuts), F.lit(0), count)
 
 
 def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -141,8 +153,8 @@ def assign_chunk(df: DataFrame, hot: HotKeys, position: Column | None = None) ->
     pos = position_value(hot.position) if position is None else position
     joined = join_small(df, hot.frame, hot.keys, "left")
     is_hot = F.col(_CUTS).isNotNull()
-    # the position is worked out once per hot row, then held against each cut
-    cut_at = F.size(F.filter(_CUTS, lambda cut: cut <= F.col("_pos")))
+    # the position is worked out once per hot row, then held against the cuts
+    cut_at = cuts_before(_CUTS, F.col("_pos"))
     return (
         joined.withColumn("_pos", F.when(is_hot, pos))
         .withColumn(_CHUNK, F.when(is_hot, cut_at).otherwise(F.lit(0)))
@@ -162,12 +174,16 @@ def by_heat(
     """
     if hot is None:
         return build(df, None)
-    ordinary = join_small(df, hot.frame.drop(_CUTS), hot.keys, "left_anti")
-    busy = join_small(df, hot.frame.drop(_CUTS), hot.keys, "left_semi")
-    path = scratch_dir(df.sparkSession, "hot-keys")
-    busy.write.parquet(path)
-    kept = df.sparkSession.read.schema(df.schema).parquet(path)
-    return build(ordinary, None).unionByName(build(kept, hot))
+    named = hot.frame.select(*hot.keys)
+    ordinary = join_small(df, named, hot.keys, "left_anti")
+    busy = _kept(join_small(df, named, hot.keys, "left_semi"), "hot-keys")
+    return build(ordinary, None).unionByName(build(busy, hot))
+
+
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def over_history(
@@ -186,7 +202,9 @@ def over_history(
 
     `number` is the 1-based row number, `total` the rows of the key. `running_max`,
     `lead` and `lag` map new column to source column. `order` must be total per key.
-    With `hot`, its position columns must be the leading columns of `order`.
+    With `hot`, its position columns must be the leading columns of `order`, and `df` should
+    hold the rows of hot keys only (see `by_heat`): they are cut along the whole order, so
+    that rows which tie in its leading columns come apart as well.
     """
     running_max, lead, lag = running_max or {}, lead or {}, lag or {}
     if hot is None:
@@ -194,7 +212,9 @@ def over_history(
     if list(hot.keys) != list(keys) or list(order[: len(hot.position)]) != list(hot.position):
         raise ValueError("hot keys were measured for another key or order")
 
-    rows = assign_chunk(df, hot)
+    # the numbers of ranges are kept with the rows: they must not be drawn anew by a later pass
+    ranged = df.repartitionByRange(max(1, hot.chunks), *keys, *order)
+    rows = _kept(ranged.withColumn(_CHUNK, F.spark_partition_id()), "hot-ranges")
     chunk_keys = [*keys, _CHUNK]
     local = rows.withColumns(
         _plain(
@@ -203,7 +223,7 @@ def over_history(
             "_n",
             total and "_t",
             {f"_max_{out}": c for out, c in running_max.items()},
-            {f"_lead_{out}": c for out, c in lead.items()} | ({_EDGE: _HOT} if lead else {}),
+            {f"_lead_{out}": c for out, c in lead.items()} | ({_EDGE: F.lit(True)} if lead else {}),
             {f"_lag_{out}": c for out, c in lag.items()},
         )
     )
@@ -213,7 +233,7 @@ def over_history(
 
     added: dict[str, Column] = {}
     if number:
-        added[number] = (F.col("_n") + F.coalesce("_n_before", F.lit(0))).cast("int")
+        added[number] = F.col("_n") + F.coalesce("_n_before", F.lit(0))
     if total:
         added[total] = F.coalesce("_n_all", F.col("_t"))
     for out in running_max:
@@ -235,7 +255,7 @@ def _plain(keys, order, number, total, running_max, lead, lag) -> dict[str, Colu
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added: dict[str, Column] = {}
     if number:
-        added[number] = F.row_number().over(window)
+        added[number] = F.row_number().over(window).cast("bigint")
     if total:
         added[total] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     added |= {out: F.max(c).over(so_far) for out, c in running_max.items()}
@@ -251,8 +271,7 @@ def _carry(rows: DataFrame, keys, order, running_max, lead, lag) -> DataFrame:
     first = [F.min_by(F.struct(F.col(c).alias("v")), at).alias(f"_f_{o}") for o, c in lead.items()]
     last = [F.max_by(F.struct(F.col(c).alias("v")), at).alias(f"_l_{o}") for o, c in lag.items()]
     chunks = (
-        rows.filter(_HOT)
-        .groupBy(*keys, _CHUNK)
+        rows.groupBy(*keys, _CHUNK)
         .agg(
             F.count(F.lit(1)).alias("_c"),
             *[F.max(c).alias(f"_m_{out}") for out, c in running_max.items()],

@@ -277,7 +277,7 @@ def _user_events(spark, sf_dir, busy: bool = False) -> DataFrame:
     """Events per user; if `busy`, one user owns the events of every third."""
     user = F.col("user_id")
     owner = F.when(user % 3 == 0, 0).otherwise(user) if busy else user
-    return retail.table(spark, sf_dir, "events", spread_by="event_id").select(
+    return retail.table(spark, sf_dir, "events").select(
         owner.cast("bigint").alias("user_id"),
         "event_id",
         F.col("ts").cast("timestamp").alias("at"),
@@ -853,7 +853,7 @@ def _each_batch(spark, root: str, take: Callable[[DataFrame, int], None], schema
     stream = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", 2)
-        .parquet(f"{root}/log/batch=*/source_table=*")
+        .parquet(f"{root}/log/generation=*/load=*/batch=*/source_table=*")
     )
     (
         stream.writeStream.foreachBatch(take)

@@ -35,8 +35,6 @@ from tidelog.schemas import IMAGES, MONEY, UNKNOWN, UNMATCHED
 ADDRESS = ["zip_code_prefix", "city", "state"]
 
 # From this many versions on, holding each fact against every version of its key costs
-# more than measuring and cutting the key.
-LONG_HISTORY = 10_000
 
 
 # --- staging ----------------------------------------------------------------
@@ -83,7 +81,8 @@ def stg_order_events(order_events: DataFrame, hot: HotKeys | None = None) -> Dat
 
 
 def _live_images(log: DataFrame, table: str) -> DataFrame:
-    """Newest images of live rows. Pre-images are not read, and what is shuffled is the few
+    """Newest images of live rows. Where the key of a model is one column it is taken from
+    `pk`: rows lie by it already, and a later join on it needs no further shuffle. Pre-images are not read, and what is shuffled is the few
     typed columns a model needs, not the text of the image."""
     return latest_state(typed_images(ordered_events(log, table), IMAGES[table]), ["pk"], ORDER)
 
@@ -104,20 +103,20 @@ def stg_order_items(log: DataFrame) -> DataFrame:
 def stg_products(log: DataFrame) -> DataFrame:
     """Live products."""
     return _live_images(log, "product").select(
-        "product_id", "category_name", "category_name_en",
+        F.col("pk").alias("product_id"), "category_name", "category_name_en",
         "weight_g", "length_cm", "height_cm", "width_cm",
     )
 
 
 def stg_sellers(log: DataFrame) -> DataFrame:
     """Live sellers."""
-    return _live_images(log, "seller").select("seller_id", *ADDRESS)
+    return _live_images(log, "seller").select(F.col("pk").alias("seller_id"), *ADDRESS)
 
 
 def int_orders_current(log: DataFrame) -> DataFrame:
     """Live orders in their newest state."""
     return _live_images(log, "order").select(
-        "order_id", "customer_id", "customer_unique_id", "order_status", *_order_times(),
+        F.col("pk").alias("order_id"), "customer_id", "customer_unique_id", "order_status", *_order_times(),
         event_time("event_ts_ms").alias("last_changed_at"),
     )
 
@@ -397,10 +396,5 @@ class Marts:
         return model.build(*[self.ref(i) for i in model.inputs], **options)
 
     def _hot_facts(self) -> HotKeys | None:
-        per_key = self.source("customer").groupBy("pk").agg(F.count(F.lit(1)).alias("n"))
-        longest = per_key.agg(F.max("n")).first()[0]
-        if not longest or longest < LONG_HISTORY:
-            # few versions per key: a range join whose skew Spark itself splits
-            return None
         orders, customers = self.ref("int_orders_current"), self.ref("dim_customer")
         return find_hot_facts(orders, customers, "customer_unique_id", "purchased_at")

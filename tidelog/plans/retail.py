@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import (
     changed_rows,
+    by_heat,
     find_hot_keys,
     first_activity,
     lifecycle_steps,
@@ -37,16 +38,9 @@ STEPS_MS = [
 ]
 
 
-def table(
-    spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None
-) -> DataFrame:
-    """A given table. With `spread_by`, one held in fewer files than the session has cores
-    is spread over the cores first; larger tables already come in enough splits."""
-    frame = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(frame.inputFiles()) < cores:
-        return frame.repartition(cores, spread_by)
-    return frame
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
+    return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def image_fields(name: str) -> list[str]:
@@ -58,7 +52,7 @@ def image_fields(name: str) -> list[str]:
 
 def orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its lifecycle times (epoch millis) and final status."""
-    orders = table(spark, sf_dir, "orders", spread_by="o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     return (
         orders.selectExpr(
             "o_orderkey AS k",
@@ -124,9 +118,15 @@ ITEM_ORDER = [
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order items, numbered within their order; money as text, like the CSV export."""
-    lines = table(spark, sf_dir, "lineitem", spread_by="l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
     hot = find_hot_keys(lines, ["l_orderkey"], ITEM_ORDER[:2])
-    numbered = over_history(lines, ["l_orderkey"], ITEM_ORDER, number="order_item_id", hot=hot)
+    numbered = by_heat(
+        lines,
+        hot,
+        lambda part, heat: over_history(
+            part, ["l_orderkey"], ITEM_ORDER, number="order_item_id", hot=heat
+        ),
+    )
     cents = (F.col("l_partkey") * 37) % 5000
     return numbered.select(
         F.col("l_orderkey").cast("string").alias("order_id"),

@@ -182,9 +182,21 @@ def all_checks(marts: Marts) -> Suite:
     return invariant_checks(marts, suite)
 
 
-def build_gated(marts: Marts) -> dict[str, int]:
-    """Build every model, each only after the checks of all models it reads have passed."""
-    results = run_gate(table_checks(marts, LOG))
+QUARANTINE_CHECK = "quarantine_is_empty"
+
+
+def quarantine_check(suite: Suite, quarantine: DataFrame | None) -> Suite:
+    """Any quarantined message is an offence; without a quarantine nothing is added."""
+    return suite if quarantine is None else suite.add(QUARANTINE_CHECK, quarantine)
+
+
+def build_gated(marts: Marts, quarantine: DataFrame | None = None) -> dict[str, int]:
+    """Build every model, each only after the checks of all models it reads have passed.
+
+    A log that lacks messages is no ground to build on: with `quarantine` nothing is built
+    unless it is empty.
+    """
+    results = run_gate(quarantine_check(table_checks(marts, LOG), quarantine))
     for name in MODELS:
         marts.ref(name)
         checks = table_checks(marts, name)

@@ -51,6 +51,9 @@ ENVELOPE = (
     "before string, after string, _corrupt string"
 )
 
+# fixed value: first two parts of a topic's name unless a source says otherwise
+TOPIC_PREFIX = "commerce"
+
 MESSAGE = "topic string, partition int, kafka_offset bigint, value string"
 
 EVENT_LOG = (

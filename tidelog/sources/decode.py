@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import compute_once, has_image, is_snapshot, op_name, payload, primary_key
 from tidelog.schemas import ENVELOPE, EVENT_LOG, PRIMARY_KEYS
 
+DECODED = EVENT_LOG + ", value string, problem string"
 LOG_COLUMNS = [field.split()[0] for field in EVENT_LOG.split(", ")]
 
 
@@ -20,8 +21,9 @@ def decode_envelope(
 ) -> DataFrame:
     """Log columns plus `value` and `problem`, one row per message.
 
-    Tombstones (no value) and events of other tables are skipped. A message that cannot
-    become a log row keeps its text and says why in `problem`; see `quarantined`.
+    Tombstones (no value) and events of other tables that are named are skipped. A message
+    that cannot become a log row keeps its text and says why in `problem`; so does one that
+    names no source table. See `quarantined`.
     One parse of the envelope and one look into the identifying image, no shuffle.
     """
     parsed = compute_once(
@@ -31,7 +33,8 @@ def decode_envelope(
         e=F.from_json("value", ENVELOPE, {"columnNameOfCorruptRecord": "_corrupt"}),
     )
     malformed = F.col("e").isNull() | F.col("e._corrupt").isNotNull()
-    known = F.col("e.source.table").isin(list(keys))
+    unnamed = F.col("e.source.table").isNull()
+    known = unnamed | F.col("e.source.table").isin(list(keys))
     image = payload("e.after", "e.before")
     rows = compute_once(
         parsed.filter(malformed | known), pk=primary_key("e.source.table", image, keys)
@@ -53,6 +56,7 @@ def decode_envelope(
     )
     problem = (
         F.when(F.col("_malformed"), "malformed message")
+        .when(F.col("source_table").isNull(), "no source table")
         .when(F.col("op").isNull(), "no operation")
         .when(F.col("event_ts_ms").isNull(), "no observation time")
         .when(F.col("after").isNull() & F.col("before").isNull(), "no row image")

@@ -1,44 +1,130 @@
-"""The append-only event log: Parquet files below `batch=<id>/source_table=<table>`."""
+"""The append-only event log, safe for several writers.
+
+Layout below the log's path:
+
+    generation=<n>/load=<writer>/batch=<id>/source_table=<table>   the rows
+    _ranges/generation=<n>/load=<writer>/batch=<id>                offsets of a batch
+    _current/generation=<n>                                        written last by a rebuild
+
+A batch belongs to its writer: a repeated batch replaces its own folder and no other. Every
+writer leaves out messages that the log holds already. That costs a look at the ranges of
+offsets, one row for each batch and topic partition; only batches whose ranges meet those
+of the new rows (or that died before they wrote theirs) are read again. Readers see the
+generation that was switched to last, so a rebuild that fails changes nothing.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.schemas import EVENT_LOG
 
 POSITION = ["topic", "partition", "kafka_offset"]
+RANGES = "topic string, partition int, low bigint, high bigint"
+OWNER = "generation bigint, load string, batch bigint"
+
+
+def current_generation(spark: SparkSession, path: str) -> int:
+    """The generation that readers see; 0 before the first rebuild."""
+    seen = read_if_present(spark, f"{path.rstrip('/')}/_current", "rebuilt boolean, generation bigint")
+    last = None if seen is None else seen.agg(F.max("generation")).first()[0]
+    return last or 0
+
+
+def _folder(path: str, generation: int, load: str, batch: int) -> str:
+    return f"{path.rstrip('/')}/generation={generation}/load={load}/batch={batch}"
 
 
-def append_log(events: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append events without ever holding two copies of one message.
+def _ranges(df: DataFrame) -> DataFrame:
+    return df.groupBy("topic", "partition").agg(
+        F.min("kafka_offset").alias("low"), F.max("kafka_offset").alias("high")
+    )
 
-    With a `batch_id` (Structured Streaming) the batch owns a folder which a repeated
-    run of the same batch replaces. Without one, events already in the log are left out
-    by topic, partition and offset; that also holds if only some topics were loaded.
-    Rows are not gathered by table: each task writes the tables it has.
+
+def _batches(df: DataFrame | None, generation: int, load: str, batch: int) -> DataFrame | None:
+    """Rows of a generation other than those of the batch that is being written."""
+    if df is None:
+        return None
+    own = (F.col("load") == load) & (F.col("batch") == batch)
+    return df.where((F.col("generation") == generation) & ~own)
+
+
+def _known(events: DataFrame, path: str, generation: int, load: str, batch: int) -> DataFrame | None:
+    """Positions that other batches hold, read from those batches alone that can share any."""
+    spark, root = events.sparkSession, path.rstrip("/")
+    log = _batches(read_if_present(spark, root, f"{EVENT_LOG}, {OWNER}"), generation, load, batch)
+    if log is None:
+        return None
+    # partition values alone: answered from the file listing
+    held = {tuple(r) for r in log.select("load", "batch").distinct().collect()}
+    stored = _batches(read_if_present(spark, f"{root}/_ranges", f"{RANGES}, {OWNER}"), generation, load, batch)
+    if stored is None:
+        meeting = held
+    else:
+        listed = {tuple(r) for r in stored.select("load", "batch").distinct().collect()}
+        new = _ranges(events).withColumnsRenamed({"low": "_low", "high": "_high"})
+        met = stored.join(new, ["topic", "partition"]).where("low <= _high AND high >= _low")
+        meeting = {tuple(r) for r in met.select("load", "batch").distinct().collect()} | (held - listed)
+    parts = [_folder(root, generation, a, b) for a, b in sorted(held & meeting)]
+    if not parts:
+        return None
+    return spark.read.schema(EVENT_LOG).option("basePath", root).parquet(*parts).select(*POSITION)
+
+
+def append_log(
+    events: DataFrame,
+    path: str,
+    batch_id: int | None = None,
+    load: str | None = None,
+    generation: int | None = None,
+) -> None:
+    """Append events, each message once whoever appends it.
+
+    `load` names the writer and `batch_id` its batch: a repeated run of the same batch
+    replaces it. Without `load` the batch belongs to the writer "append"; without
+    `batch_id` it is a batch of its own, never replaced. Copies of a message within the
+    events count once. Rows are not gathered by table: each task writes the tables it has.
     """
+    spark = events.sparkSession
     if batch_id is None:
-        known = read_log(events.sparkSession, path)
-        batch_id = 0
-        if known is not None:
-            last = known.select("batch").agg({"batch": "max"}).first()[0]
-            batch_id = (-1 if last is None else last) + 1
-            events = events.join(known.select(*POSITION), POSITION, "left_anti")
-    target = f"{path.rstrip('/')}/batch={batch_id}"
+        load, batch_id = load or f"append-{uuid.uuid4().hex}", 0
+    load = load or "append"
+    generation = current_generation(spark, path) if generation is None else generation
+    known = _known(events, path, generation, load, batch_id)
+    events = events.dropDuplicates(POSITION)
+    if known is not None:
+        events = events.join(known, POSITION, "left_anti")
+    target = _folder(path, generation, load, batch_id)
     events.write.mode("overwrite").partitionBy("source_table").parquet(target)
+    written = read_if_present(spark, target, EVENT_LOG)
+    if written is not None:
+        ranges = _folder(f"{path.rstrip('/')}/_ranges", generation, load, batch_id)
+        _ranges(written).write.mode("overwrite").parquet(ranges)
+
+
+def switch_generation(spark: SparkSession, path: str, generation: int) -> None:
+    """Let readers and later writers see `generation`."""
+    marker = spark.range(1).select(F.lit(True).alias("rebuilt"))
+    marker.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_current/generation={generation}")
 
 
 def overwrite_log(events: DataFrame, path: str) -> None:
-    """Rebuild the log from nothing. `events` must not be read from `path` itself."""
-    target = path.rstrip("/")
-    keyed = events.selectExpr("*", "0 AS batch")
-    keyed.write.mode("overwrite").partitionBy("batch", "source_table").parquet(target)
+    """Rebuild the log from nothing, as a new generation; `events` may be read from the old one."""
+    generation = current_generation(events.sparkSession, path) + 1
+    # a rebuild that failed may have left rows in this generation: a writer of its own ignores them
+    append_log(events, path, 0, "rebuild", generation)
+    switch_generation(events.sparkSession, path, generation)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame | None:
     """The log, or None where nothing was written yet. A filter on `source_table` prunes files."""
-    return read_if_present(spark, path, EVENT_LOG + ", batch bigint")
+    folder = f"{path.rstrip('/')}/generation={current_generation(spark, path)}"
+    log = read_if_present(spark, folder, EVENT_LOG + ", load string, batch bigint")
+    return None if log is None else log.drop("load")
 
 
 def read_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame | None:

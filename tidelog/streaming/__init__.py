@@ -1,4 +1,4 @@
-from tidelog.streaming.tail import rebuild_log, tail
+from tidelog.streaming.tail import read_quarantine, rebuild_log, tail
 from tidelog.streaming.upkeep import (
     keep_history,
     keep_latest,
@@ -6,4 +6,12 @@ from tidelog.streaming.upkeep import (
     read_latest,
 )
 
-__all__ = ["keep_history", "keep_latest", "read_history", "read_latest", "rebuild_log", "tail"]
+__all__ = [
+    "keep_history",
+    "keep_latest",
+    "read_history",
+    "read_latest",
+    "read_quarantine",
+    "rebuild_log",
+    "tail",
+]
