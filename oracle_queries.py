@@ -263,6 +263,16 @@ LEFT JOIN (
   FROM {history} GROUP BY 1) h ON h.order_id = o.order_id"""
 
 
+CSV_ORDERS = """
+SELECT lpad(order_id, 10, '0') AS order_id, customer_id, final_status AS order_status,
+       purchased_ms AS order_purchase_timestamp, approved_ms AS order_approved_at,
+       shipped_ms AS order_delivered_carrier_date, delivered_ms AS order_delivered_customer_date,
+       estimated_ms AS order_estimated_delivery_date FROM ow"""
+
+CUSTOMER_LOG = """
+SELECT 'customer' AS source_table, op, CASE WHEN op = 'update' THEN lsn END AS lsn,
+       k AS kafka_offset, customer_unique_id AS pk FROM ce"""
+
 SELECTS = {
     "revenue_by_version_address": """
 SELECT v.state, count(*) AS items, count(*) FILTER (NOT v.is_current) AS items_at_former_address,
@@ -281,13 +291,17 @@ SELECT 'order' AS source_table, op, raw_lsn AS lsn, k AS tx_id, event_ms AS even
     "rejected_messages": """
 SELECT CASE k % 500 WHEN 1 THEN 'malformed message' WHEN 2 THEN 'no operation'
             WHEN 5 THEN 'no business key' WHEN 6 THEN 'no row image'
+            WHEN 8 THEN 'no source table'
             ELSE 'no observation time' END AS problem, kafka_offset
-FROM oe WHERE seq = 0 AND k % 500 IN (1, 2, 5, 6, 7)""",
-    "csv_orders": """
-SELECT lpad(order_id, 10, '0') AS order_id, customer_id, final_status AS order_status,
-       purchased_ms AS order_purchase_timestamp, approved_ms AS order_approved_at,
-       shipped_ms AS order_delivered_carrier_date, delivered_ms AS order_delivered_customer_date,
-       estimated_ms AS order_estimated_delivery_date FROM ow""",
+FROM oe WHERE seq = 0 AND k % 500 IN (1, 2, 5, 6, 7, 8)""",
+    "gate_with_quarantine": """
+SELECT 'quarantine_is_empty' AS "check", count(*) AS violations
+FROM oe WHERE seq = 0 AND k % 500 IN (1, 2, 5, 6, 7, 8)""",
+    "log_append_between_tails": CUSTOMER_LOG,
+    "log_rebuild_then_tail": CUSTOMER_LOG,
+    "log_repeated_positions": CUSTOMER_LOG,
+    "csv_mixed_headers": CSV_ORDERS,
+    "csv_orders": CSV_ORDERS,
     "stg_customer_events": """
 SELECT customer_unique_id, op, op = 'read' AS is_snapshot, 1100000000000 + k AS event_at,
        purchased_ms AS changed_at, zip_code_prefix, city, state, prev_zip_code_prefix, prev_city,

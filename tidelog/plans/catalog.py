@@ -46,7 +46,14 @@ from tidelog.sources import (
     valid_events,
     write_messages,
 )
-from tidelog.streaming import keep_history, keep_latest, read_history, read_latest, tail
+from tidelog.streaming import (
+    keep_history,
+    keep_latest,
+    read_history,
+    read_latest,
+    rebuild_log,
+    tail,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,9 +153,8 @@ def decoded_order_messages(spark, sf_dir):
     )
 
 
-@query
-def rejected_messages(spark, sf_dir):
-    """Messages with planted faults: what was quarantined, and why."""
+def _rejected(spark, sf_dir) -> DataFrame:
+    """Order messages with planted faults, as they lie in the quarantine."""
     fault = F.when(F.col("kafka_offset") % 8 == 0, F.floor(F.col("kafka_offset") / 8) % 500)
     value = F.col("value")
     broken = (
@@ -159,19 +165,27 @@ def rejected_messages(spark, sf_dir):
         .when(fault == 5, F.replace(value, F.lit('"order_id"'), F.lit('"number"')))
         .when(fault == 6, F.regexp_replace(value, r'"after":\{.*\}\}$', '"after":{}}'))
         .when(fault == 7, F.replace(value, F.lit('"ts_ms"'), F.lit('"ts"')))
+        .when(fault == 8, F.replace(value, F.lit('"table":"order"'), F.lit('"name":"order"')))
         .otherwise(value)
     )
     messages = retail.table_messages(spark, sf_dir, "order", deletes=True)
-    rejected = quarantined(decode_envelope(messages.withColumn("value", broken)))
-    return rejected.select("problem", "kafka_offset")
+    return quarantined(decode_envelope(messages.withColumn("value", broken)))
 
 
 @query
-def csv_orders(spark, sf_dir):
-    """The wide orders written as CSV with a header and read back with a stated schema."""
-    orders = retail.orders_wide(spark, sf_dir)
-    path = scratch_dir(spark, "csv")
-    orders.select(
+def rejected_messages(spark, sf_dir):
+    """Messages with planted faults: what was quarantined, and why."""
+    return _rejected(spark, sf_dir).select("problem", "kafka_offset")
+
+
+@query
+def gate_with_quarantine(spark, sf_dir):
+    """What the gate counts where messages were quarantined."""
+    return contracts.quarantine_check(q.Suite(), _rejected(spark, sf_dir)).counts()
+
+
+def _export_orders(spark, sf_dir) -> DataFrame:
+    return retail.orders_wide(spark, sf_dir).select(
         F.lpad("order_id", 10, "0").alias("order_id"),
         "customer_id",
         F.col("final_status").alias("order_status"),
@@ -185,7 +199,28 @@ def csv_orders(spark, sf_dir):
                 ("estimated_ms", "order_estimated_delivery_date"),
             ]
         ],
-    ).write.option("header", True).option("quoteAll", True).csv(path)
+    )
+
+
+def _write_csv(df: DataFrame, path: str) -> None:
+    df.write.mode("append").option("header", True).option("quoteAll", True).csv(path)
+
+
+@query
+def csv_orders(spark, sf_dir):
+    """The wide orders written as CSV with a header and read back with a stated schema."""
+    path = scratch_dir(spark, "csv")
+    _write_csv(_export_orders(spark, sf_dir), path)
+    return read_csv(spark, path, CSV_TABLES["orders"])
+
+
+@query
+def csv_mixed_headers(spark, sf_dir):
+    """The same, where half of the files have their columns in another order."""
+    orders, path = _export_orders(spark, sf_dir), scratch_dir(spark, "csv")
+    odd = F.col("order_id").cast("bigint") % 2 == 1
+    _write_csv(orders.where(odd).select(*reversed(orders.columns)), path)
+    _write_csv(orders.where(~odd), path)
     return read_csv(spark, path, CSV_TABLES["orders"])
 
 
@@ -872,6 +907,58 @@ def stream_log_roundtrip(spark, sf_dir):
     )
 
 
+LOGGED = ["source_table", "op", "lsn", "kafka_offset", "pk"]
+
+
+def _drained(spark, root: str) -> None:
+    """Land what lies in the topics and not yet in the log."""
+    source = {"format": "parquet", "path": f"{root}/topics"}
+    tail(
+        spark, source, f"{root}/log", f"{root}/checkpoint", f"{root}/quarantine"
+    ).awaitTermination()
+
+
+def _thirds(spark, sf_dir) -> list[DataFrame]:
+    messages = retail.table_messages(spark, sf_dir, "customer")
+    return [messages.where(F.col("kafka_offset") % 3 == i) for i in range(3)]
+
+
+@query
+def log_append_between_tails(spark, sf_dir):
+    """Two writers in turn: a stream, appended events, the stream again."""
+    root, parts = scratch_dir(spark, "log-writers"), _thirds(spark, sf_dir)
+    write_messages(parts[0], f"{root}/topics")
+    _drained(spark, root)
+    append_log(valid_events(decode_envelope(parts[1])), f"{root}/log")
+    write_messages(parts[2], f"{root}/topics")
+    _drained(spark, root)
+    return read_log(spark, f"{root}/log").select(*LOGGED)
+
+
+@query
+def log_rebuild_then_tail(spark, sf_dir):
+    """A stream, a rebuild of all there is, and the stream going on from its checkpoint."""
+    root, parts = scratch_dir(spark, "log-rebuilt"), _thirds(spark, sf_dir)
+    write_messages(parts[0], f"{root}/topics")
+    _drained(spark, root)
+    write_messages(parts[1], f"{root}/topics")
+    source = {"format": "parquet", "path": f"{root}/topics"}
+    rebuild_log(spark, source, f"{root}/log", f"{root}/quarantine")
+    write_messages(parts[2], f"{root}/topics")
+    _drained(spark, root)
+    return read_log(spark, f"{root}/log").select(*LOGGED)
+
+
+@query
+def log_repeated_positions(spark, sf_dir):
+    """Messages given twice in one append and once more in another."""
+    path, parts = scratch_dir(spark, "log-repeated"), _thirds(spark, sf_dir)
+    events = [valid_events(decode_envelope(p)) for p in parts]
+    append_log(events[0].union(events[1]).union(events[0]), path)
+    append_log(events[1].union(events[2]), path)
+    return read_log(spark, path).select(*LOGGED)
+
+
 LOG_WITHOUT_TABLE = ", ".join(f for f in EVENT_LOG.split(", ") if not f.startswith("source_table"))
 
 
