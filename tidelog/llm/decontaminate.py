@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.columns import compute_once
 from tidelog.llm.components import written
 
 WINDOW = 13
@@ -43,10 +44,13 @@ def _run_hashes(hashes: Column, size: int) -> Column:
     )
 
 
+def _with_hashes(df: DataFrame) -> DataFrame:
+    # once for each text, not again for each reference in a lambda or pushed filter
+    return compute_once(df, hashes=F.transform("words", lambda w: F.xxhash64(w)))
+
+
 def _with_grams(df: DataFrame) -> DataFrame:
-    return df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).withColumn(
-        "grams", _run_hashes(F.col("hashes"), GRAM)
-    )
+    return compute_once(_with_hashes(df), grams=_run_hashes(F.col("hashes"), GRAM))
 
 
 def _winnowed(grams: Column) -> Column:
@@ -108,7 +112,8 @@ def _hits(docs: DataFrame, prints: DataFrame, sizes: list[int]) -> DataFrame:
         )
     )
     for size in sizes:
-        runs = docs.select(*KEY, F.posexplode(_run_hashes(F.col("hashes"), size)).alias("start", "hash"))
+        runs = compute_once(docs, runs=_run_hashes(F.col("hashes"), size))
+        runs = runs.select(*KEY, F.posexplode("runs").alias("start", "hash"))
         own = runs.join(prints.where(~F.col("long") & (F.col("size") == size)).select("hash"), "hash")
         long = long.union(own.select(*KEY, "start", F.lit(size).alias("size")))
     return long.distinct()
@@ -151,8 +156,8 @@ def overlaps(spark: SparkSession, docs: DataFrame, items: DataFrame) -> tuple[Da
     found = seen.select(*KEY, F.explode("prints").alias("hash")).join(prints.where("long").select("hash"), "hash")
     found = found.select(*KEY)
     for size in sizes:
-        hashed = given.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-        runs = hashed.select(*KEY, F.explode(F.array_distinct(_run_hashes(F.col("hashes"), size))).alias("hash"))
+        hashed = compute_once(_with_hashes(given), runs=F.array_distinct(_run_hashes(F.col("hashes"), size)))
+        runs = hashed.select(*KEY, F.explode("runs").alias("hash"))
         own = prints.where(~F.col("long") & (F.col("size") == size)).select("hash")
         found = found.union(runs.join(own, "hash").select(*KEY))
     suspects = written(spark, found.distinct(), "suspects")
