@@ -269,7 +269,8 @@ def _run(model: Model, ids: np.ndarray, lengths: np.ndarray, width: int, span: i
         end = min(at + span, len(tokens))
         full = active[end - 1]
         if every and number % every == 0 and end - at == span:
-            h = model.learn(h[:full], tokens[at:end, :full], fresh[at:end, :full], rate)
+            # a window of few lanes moves the weights less: long texts run on alone at the end
+            h = model.learn(h[:full], tokens[at:end, :full], fresh[at:end, :full], rate * full / tokens.shape[1])
             continue
         states, targets = [], []
         for t in range(at, end):
@@ -333,8 +334,11 @@ def _averaged(parts: DataFrame) -> np.ndarray | None:
 def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, first_texts: int = FIRST_TEXTS, every: int = EVERY) -> Model:
     """Weights learned from all rows of docs (doc_id, text); without rows those of no training."""
     shared = spark.sparkContext.broadcast(vocab)
-    sample = docs.select("text", F.xxhash64("doc_id", "text").alias("at")).orderBy("at").limit(first_texts)
-    flat = _averaged(_trained(sample.coalesce(1), shared, None, 64, 32, 1, 0.01, 1))
+    # hashes are drawn first, so that only the drawn texts travel to the one task
+    hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("at"))
+    drawn = written(spark, hashed.select("at").distinct().orderBy("at").limit(first_texts), "sample")
+    sample = hashed.join(F.broadcast(drawn), "at").dropDuplicates(["at"]).repartition(1)
+    flat = _averaged(_trained(sample.sortWithinPartitions("at"), shared, None, 64, 32, 1, 0.01, 1))
     model = Model(vocab)
     if flat is not None:
         more = _averaged(_trained(docs, shared, flat, 256, 64, every, 0.002, 1))
