@@ -389,12 +389,18 @@ class Marts:
         if name in ("dim_customer", "dim_order_status_history"):
             options["on_delete"] = self.on_delete
         if name == "fct_order_items":
-            options["hot_facts"] = self._hot_facts()
+            options["hot_facts"] = self.hot_facts()
             order_id = F.split_part("pk", F.lit(":"), F.lit(1)).alias("order_id")
             items = self.source("order_item").select(order_id)
             options["busy_orders"] = large_keys(items, ["order_id"], self.rows_per_chunk)
         return model.build(*[self.ref(i) for i in model.inputs], **options)
 
-    def _hot_facts(self) -> HotKeys | None:
+    def hot_facts(self) -> HotKeys | None:
+        """Customers with too many orders and versions for one task; measured once."""
+        if "facts" not in self._hot:
+            self._hot["facts"] = self._find_hot_facts()
+        return self._hot["facts"]
+
+    def _find_hot_facts(self) -> HotKeys | None:
         orders, customers = self.ref("int_orders_current"), self.ref("dim_customer")
         return find_hot_facts(orders, customers, "customer_unique_id", "purchased_at")

@@ -167,11 +167,12 @@ def invariant_checks(marts: Marts, suite: Suite | None = None) -> Suite:
         ),
     )
     resolved = as_of_no_fan_out(
-        marts.ref("int_orders_current"), "order_id", customers, person, "purchased_at"
-    )
+        marts.ref("int_orders_current"), "order_id", customers, person, "purchased_at",
+        hot=marts.hot_facts(),
+    )
     suite.add("as_of_join_does_not_fan_out", resolved)
     events = marts.ref("stg_customer_events")
-    suite.add("version_counts_match_log", versions_match_log(events, customers, person))
+    suite.add("version_counts_match_log", versions_match_log(events, customers, person, marts.on_delete))
     return suite
 
 
