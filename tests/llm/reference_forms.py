@@ -30,9 +30,9 @@ def shingle_set(text, size=3):
     return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if words else frozenset()
 
 
-def jaccard_components(rows, percent=90):
+def jaccard_components(rows, percent=90, size=3):
     """{row number: (set size, component)} by comparing every pair that shares a shingle."""
-    sets = [shingle_set(t) for _, t in rows]
+    sets = [shingle_set(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):

@@ -33,6 +33,12 @@ def test_join_equals_brute_force(spark, documents):
     assert as_rows(jaccard.jaccard_components(spark, documents)) == plain(documents)
 
 
+def test_other_sizes_and_shares(spark, documents):
+    given = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    found = jaccard.jaccard_components(spark, documents, 5, (80, 100))
+    assert as_rows(found) == sorted(jaccard_components(given, 80, 5), key=repr)
+
+
 def test_awkward_rows(spark, awkward):
     docs = awkward.where("doc_id IS NOT NULL")
     assert as_rows(jaccard.jaccard_components(spark, docs)) == plain(docs)

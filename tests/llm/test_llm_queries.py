@@ -69,7 +69,7 @@ def test_near_duplicate_stage(spark, corpus, sf_dir):
     kept = corpus_pipeline.drop_near_duplicates(spark, corpus, sf_dir)
     assert kept.columns == corpus.columns
     rows = [(r.doc_id, r.text) for r in corpus.collect() if r.doc_id is not None]
-    want = sorted({d for d, _, c in jaccard_components(rows) if d == c})
+    want = sorted({d for d, _, c in jaccard_components(rows, 80, 5) if d == c})
     found = [r.doc_id for r in kept.collect()]
     assert sorted(d for d in found if d is not None) == want and found.count(None) == 1
 
