@@ -1,9 +1,7 @@
-import os
-
 import corpus_pipeline
 import duckdb
 import pytest
-from reference_forms import fold, jaccard_components, plain_words
+from reference_forms import jaccard_components, plain_words
 from reference_forms import contamination as brute_contamination
 
 from tidelog.llm import catalog, toxicity
@@ -96,4 +94,3 @@ def test_whole_pipeline(spark, sf_dir):
     ids = [r.doc_id for r in found]
     assert len(ids) == len(set(ids)) and set(ids) < set(docs)
     assert all(len(r.ids) == 4 * r.n_tokens for r in found)
-    assert fold(0, 3) in (0, 1, 2) and os.path.isdir(sf_dir)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 RANKS = "byte_bpe_50k.tiktoken"
 # fixed values: Unicode's White_Space characters, which the pattern's \s stands for
-WHITE_SPACE = r"\t-\r \x85\xa0  -     　"
+WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CACHED_WORDS = 300_000
 ROUNDS = 64
 LONG = 32
