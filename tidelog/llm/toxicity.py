@@ -2,11 +2,11 @@
 
 Features are the distinct character runs of a text (ORDERS bytes long, A-Z lowered, white
 space as one kind of character), hashed to 2^20 slots. For each slot the log-count ratio r
-compares the share of toxic and of clean training texts that hold it; counts cover all
-labelled training rows and are made in parallel. A logistic regression on the r-scaled
-features then weighs the slots whose ratio is beyond chance. It is fitted on at most
-`max_rows` labelled rows (those with the smallest hashes of their ids; all if fewer); the
-bound is a parameter. Texts are scored whole.
+compares the share of toxic and of clean training texts that hold it. A logistic regression
+on the r-scaled features then weighs the slots whose ratio is beyond chance. The classifier
+is fitted on the texts of at most `max_rows` labelled ids (those with the smallest hashes,
+half for either kind; all if fewer); the bound is a parameter. Their ids are few enough to
+send to all tasks, so that texts stay where they are. All texts are scored, and whole.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm.components import written
 from tidelog.llm.words import SPACES, text_bytes
 
 SLOT_BITS = 20
@@ -111,8 +112,7 @@ def _counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
         )
 
     counted = (
-        rows.select("text", "toxic")
-        .mapInArrow(count, "slot int, toxic long, clean long")
+        rows.mapInArrow(count, "slot int, toxic long, clean long")
         .groupBy("slot")
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where(f"slot = -1 OR toxic + clean >= {MIN_TEXTS}")
@@ -150,7 +150,11 @@ def train(
     gives every text the share of toxic ones, (toxic + 1) / (texts + 2).
     """
     marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text").join(marks, "doc_id").select("doc_id", "text", "toxic")
+    known = docs.select("doc_id").distinct().join(marks, "doc_id")
+    half = {1: max_rows // 2, 0: max_rows - max_rows // 2}
+    drawn = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in half.items()]
+    keys = written(spark, drawn[0].union(drawn[1]), "sample")
+    rows = docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id").select("text", "toxic")
     toxic, clean, n_toxic, n_clean = _counts(rows)
     weights = np.zeros(1 << SLOT_BITS)
     prior = float(np.log((n_toxic + 1) / (n_clean + 1)))
@@ -175,12 +179,7 @@ def train(
                 ["toxic", "cols"],
             )
 
-    # half the sample for either kind, so that a rare kind is not drowned
-    sample = rows.where("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows // 2).union(
-        rows.where("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows - max_rows // 2)
-    )
-    keys = sample.select("doc_id").distinct()
-    found = rows.join(keys, "doc_id", "left_semi").select("text", "toxic").mapInArrow(features, "toxic int, cols array<short>").toArrow()
+    found = rows.mapInArrow(features, "toxic int, cols array<short>").toArrow()
     cols = found["cols"].combine_chunks()
     lengths = np.diff(cols.offsets.to_numpy())
     y = found["toxic"].to_numpy().astype(float)
