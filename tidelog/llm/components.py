@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.session import scratch_dir
 
 MAX_ROUNDS = 100
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """`df` as a table in the shared folder: cuts lineage and survives lost executors."""
+    """`df` as a table in the shared folder: cuts lineage and survives lost executors.
+
+    Once it is written nothing needs its shuffles; Spark is told to delete them right away,
+    not when the driver happens to collect its garbage.
+    """
     path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -39,14 +49,22 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     loops do not matter, edges with a null end are left out. The number of rounds grows
     with the logarithm of the longest path.
     """
-    edges = written(spark, edges.where("src <> dst").select("src", "dst").distinct(), "edges")
-    before = None
+    edges, before = _marked(spark, edges.where("src <> dst").select("src", "dst").distinct())
     for _ in range(MAX_ROUNDS):
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-        if mark == before or not mark[0]:
+        after = before
+        if before["n"]:
+            edges, after = _marked(spark, _small_star(_large_star(edges)))
+        if after == before:
             return edges.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(
                 edges.select("dst", "dst").distinct()
             )
-        before = mark
-        edges = written(spark, _small_star(_large_star(edges).distinct()), "edges")
+        before = after
     raise RuntimeError(f"no fixpoint after {MAX_ROUNDS} rounds")
+
+
+def _marked(spark: SparkSession, edges: DataFrame) -> tuple[DataFrame, dict]:
+    """Written edges and, observed in writing them, their number and a sum of their hashes."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))
+    out = written(spark, edges.observe(seen, F.count("*").alias("n"), total.alias("total")), "edges")
+    return out, seen.get
