@@ -84,6 +84,15 @@ def test_contamination_equals_brute_force(spark):
     assert as_contamination(decontaminate.contamination(spark, df, it)) == sorted(contamination(docs, items), key=repr)
 
 
+def test_contamination_of_short_quotations_of_long_items(spark):
+    long = [f"q{i}" for i in range(30)]
+    items = [(1, " ".join(long)), (2, "q9"), (3, "q11 q12")]
+    docs = [(n, " ".join(long[4 : 4 + n])) for n in range(6, 15)] + [(100 + n, " ".join(long[:n])) for n in range(7, 15)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    it = spark.createDataFrame(items, "item_id long, text string")
+    assert as_contamination(decontaminate.contamination(spark, df, it)) == sorted(contamination(docs, items), key=repr)
+
+
 def test_contamination_without_items_or_documents(spark, awkward):
     none = spark.createDataFrame([], "item_id long, text string")
     found = decontaminate.contamination(spark, awkward, none).collect()
@@ -215,6 +224,59 @@ def test_toxicity_pieces_make_no_difference(monkeypatch):
     assert np.isclose(whole[4], 0.25 + weights[slots].sum())
 
 
+def small_model():
+    vocab = language_model.Vocabulary(np.arange(1, 200, dtype=np.uint64), np.full(199, 5.0), np.arange(199), 995, 250)
+    model = language_model.Model(vocab)
+    rng = np.random.default_rng(4)
+    model.p = {k: (v + 0.2 * rng.standard_normal(v.shape)).astype(np.float64) for k, v in model.p.items()}
+    return model
+
+
+def test_every_token_teaches():
+    # 300 texts in 256 lanes; none fills a window, a few run over several
+    lengths = np.random.default_rng(6).integers(1, 60, 300)
+    lengths[:3] = 700, 130, 65
+    ids = np.random.default_rng(7).integers(0, 190, lengths.sum()).astype(np.int32)
+    model, taught = small_model(), []
+    learn = model.learn
+
+    def watched(h, tokens, fresh, rate, active):
+        taught.append(np.concatenate([tokens[t, :n] for t, n in enumerate(active)]))
+        return learn(h, tokens, fresh, rate, active)
+
+    model.learn = watched
+    before = model.packed()
+    language_model._run(model, ids, lengths, 256, 64, True, 0.002)
+    assert np.array_equal(np.sort(np.concatenate(taught)), np.sort(ids))
+    assert (model.packed() != before).any()
+
+
+def test_short_texts_teach(spark):
+    vocab = language_model.Vocabulary(np.arange(1, 200, dtype=np.uint64), np.full(199, 5.0), np.arange(199), 995, 250)
+    docs = spark.createDataFrame([(i, "a b c") for i in range(20)], "doc_id long, text string")
+    start = language_model.Model(vocab).packed()
+    shared = spark.sparkContext.broadcast(vocab)
+    flat = language_model._averaged(language_model._trained(docs, shared, start, 256, 64, 0.002, 1))
+    assert not np.allclose(flat, start)
+
+
+def test_gradients_of_lanes_that_end():
+    model, rng = small_model(), np.random.default_rng(9)
+    tokens, active = rng.integers(0, 190, (6, 3)), np.array([3, 3, 2, 2, 1, 1])
+    fresh = np.zeros((6, 3), bool)
+    fresh[3, 1] = True
+    h0, sums = rng.standard_normal((3, language_model.HIDDEN)), []
+    # a lane alone has the gradient of its own tokens, so those of all lanes add up to the window's
+    model._climb = lambda g, scale, rate: sums.append(({k: v.copy() for k, v in g.items()}, round(1 / scale)))
+    model.learn(h0, tokens, fresh, 0.1, active)
+    for lane, n in enumerate((6, 4, 2)):
+        own = slice(lane, lane + 1)
+        model.learn(h0[own], tokens[:n, own], fresh[:n, own], 0.1)
+    assert [n for _, n in sums] == [12, 6, 4, 2]
+    for k, whole in sums[0][0].items():
+        assert np.allclose(whole, sum(g[k] for g, _ in sums[1:])), k
+
+
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_token_counts(spark, awkward, encoding, rule):
     docs = awkward.where("doc_id <> 10 AND doc_id <> 11")

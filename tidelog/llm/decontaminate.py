@@ -97,8 +97,10 @@ def benchmark_windows(spark: SparkSession, items: DataFrame) -> tuple[DataFrame,
 def _hits(docs: DataFrame, prints: DataFrame, sizes: list[int]) -> DataFrame:
     """(key, start, size) of the windows to compare: those that hold a shared fingerprint."""
     at = F.posexplode("grams").alias("pos", "hash")
+    # a text of fewer words holds no window, though it may share a fingerprint with one
     long = (
-        docs.select(*KEY, "n_words", at)
+        docs.where(F.col("n_words") >= WINDOW)
+        .select(*KEY, "n_words", at)
         .join(prints.where("long").select("hash"), "hash")
         .select(
             *KEY,
