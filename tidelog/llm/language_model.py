@@ -11,7 +11,7 @@ The state starts at zero with a text and is carried through all of it, window by
 gradients are truncated at the window's start. Texts run side by side in lanes. Training
 has two steps: starting weights from at most `first_texts` texts in one task, then one
 pass over all training texts, in which each task runs the state through its texts, takes
-a gradient step in one of `every` windows, and the tasks' weights are averaged by tokens.
+a gradient step in every window, and the tasks' weights are averaged by tokens.
 Counts of the KNOWN most frequent tokens and the weights are broadcast (a few megabytes,
 however large the corpus); counts of all other tokens are joined.
 """
@@ -36,7 +36,6 @@ CLASS_SIZE = 64
 RARE_INPUTS = 64
 HIDDEN = 16
 FIRST_TEXTS = 3000
-EVERY = 32
 SEED = 20240401
 END = mix(np.array([0xE0D], np.uint64))[0]
 FLAT = "n_tokens long, known long, rare long, log_model double, log_counts double, log_rare_counts double"
@@ -173,21 +172,30 @@ class Model:
                 grads["h"][at] += e @ self.p["w"][own]
         return out
 
-    def learn(self, h0: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, rate: float) -> np.ndarray:
-        """One gradient step on a window (time x lanes); returns the state after it."""
+    def learn(
+        self, h0: np.ndarray, tokens: np.ndarray, fresh: np.ndarray, rate: float, active: np.ndarray | None = None
+    ) -> np.ndarray:
+        """One gradient step on a window (time x lanes); returns the state after it.
+
+        At time t the first active[t] lanes hold tokens (never more than before; all if None).
+        """
+        if active is None:
+            active = np.full(len(tokens), tokens.shape[1])
         h, states, kept = h0, [], []
-        for t in range(len(tokens)):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
+        for t, n in enumerate(active):
+            h = np.where(fresh[t, :n, None], np.float32(0), h[:n])
             states.append(h)
-            h, saved = self.step(h, tokens[t])
+            h, saved = self.step(h, tokens[t, :n])
             kept.append(saved)
         grads = {k: np.zeros_like(v) for k, v in self.p.items()}
-        flat = np.concatenate(states)
-        self.outputs(flat, tokens.reshape(-1), grads)
-        from_out = grads.pop("h").reshape(len(tokens), -1, HIDDEN)
+        flat = np.concatenate([tokens[t, :n] for t, n in enumerate(active)])
+        self.outputs(np.concatenate(states), flat, grads)
+        from_out = np.split(grads.pop("h"), np.cumsum(active)[:-1])
         back = np.zeros_like(h)
-        inputs = np.empty((*tokens.shape, 3 * HIDDEN), np.float32)
+        inputs = [None] * len(tokens)
         for t in range(len(tokens) - 1, -1, -1):
+            if len(back) < active[t]:
+                back = np.concatenate([back, np.zeros((active[t] - len(back), HIDDEN), back.dtype)])
             z, r, n, hn = kept[t]
             dn = back * (1 - z) * (1 - n * n)
             dr = dn * hn * r * (1 - r)
@@ -196,9 +204,11 @@ class Model:
             inner = np.concatenate([dz, dr, dn * r], 1)
             grads["u"] += states[t].T @ inner
             back = back * z + inner @ self.p["u"].T + from_out[t]
-            back[fresh[t]] = 0
-        np.add.at(grads["x"], tokens.reshape(-1), inputs.reshape(-1, 3 * HIDDEN))
-        self._climb(grads, 1 / tokens.size, rate)
+            back[fresh[t, : active[t]]] = 0
+        order = np.argsort(flat, kind="stable")
+        token, first = np.unique(flat[order], return_index=True)
+        grads["x"][token] = np.add.reduceat(np.concatenate(inputs)[order], first)
+        self._climb(grads, 1 / len(flat), rate)
         return h
 
     def _climb(self, grads: dict, scale: float, rate: float) -> None:
@@ -260,17 +270,17 @@ def _grid(ids: np.ndarray, lengths: np.ndarray, width: int):
     return tokens, fresh, active, when, where
 
 
-def _run(model: Model, ids: np.ndarray, lengths: np.ndarray, width: int, span: int, every: int, rate: float) -> np.ndarray | None:
-    """Carry the state through all texts. every=0: log probabilities; else learn in one window of `every`."""
+def _run(model: Model, ids: np.ndarray, lengths: np.ndarray, width: int, span: int, learn: bool, rate: float) -> np.ndarray | None:
+    """Carry the state through all texts; learn in every window, or give log probabilities."""
     tokens, fresh, active, when, where = _grid(ids, lengths, width)
-    out = None if every else np.zeros(tokens.shape, np.float32)
+    out = None if learn else np.zeros(tokens.shape, np.float32)
     h = np.zeros((tokens.shape[1], HIDDEN), np.float32)
-    for number, at in enumerate(range(0, len(tokens), span)):
+    for at in range(0, len(tokens), span):
         end = min(at + span, len(tokens))
-        full = active[end - 1]
-        if every and number % every == 0 and end - at == span:
-            # a window of few lanes moves the weights less: long texts run on alone at the end
-            h = model.learn(h[:full], tokens[at:end, :full], fresh[at:end, :full], rate * full / tokens.shape[1])
+        if learn:
+            # a window of few tokens moves the weights less: long texts run on alone at the end
+            n, share = active[at], active[at:end].sum() / (span * tokens.shape[1])
+            h = model.learn(h[:n], tokens[at:end, :n], fresh[at:end, :n], rate * share, active[at:end])
             continue
         states, targets = [], []
         for t in range(at, end):
@@ -281,13 +291,12 @@ def _run(model: Model, ids: np.ndarray, lengths: np.ndarray, width: int, span: i
             states.append(h)
             targets.append(tokens[t, :n])
             h, _ = model.step(h, tokens[t, :n])
-        if not every:
-            found = model.outputs(np.concatenate(states), np.concatenate(targets))
-            first = 0
-            for t in range(at, end):
-                out[t, : active[t]] = found[first : first + active[t]]
-                first += active[t]
-    return None if every else out[when, where]
+        found = model.outputs(np.concatenate(states), np.concatenate(targets))
+        first = 0
+        for t in range(at, end):
+            out[t, : active[t]] = found[first : first + active[t]]
+            first += active[t]
+    return None if learn else out[when, where]
 
 
 def _batch_ids(vocab: Vocabulary, column: pa.Array):
@@ -298,7 +307,7 @@ def _batch_ids(vocab: Vocabulary, column: pa.Array):
     return tokens, at, _ids(vocab, tokens, at), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
-def _trained(texts: DataFrame, vocab, start: np.ndarray | None, width: int, span: int, every: int, rate: float, passes: int) -> DataFrame:
+def _trained(texts: DataFrame, vocab, start: np.ndarray | None, width: int, span: int, rate: float, passes: int) -> DataFrame:
     """(at, value, weight): each task's weights after its texts, and how many tokens it saw."""
 
     def run(batches):
@@ -310,7 +319,7 @@ def _trained(texts: DataFrame, vocab, start: np.ndarray | None, width: int, span
             if len(batch):
                 _, _, ids, lengths = _batch_ids(vocab.value, batch.column(0))
                 for _ in range(passes):
-                    _run(model, ids, lengths, width, span, every, rate)
+                    _run(model, ids, lengths, width, span, True, rate)
                 seen += len(ids)
         if seen:
             flat = model.packed()
@@ -331,17 +340,17 @@ def _averaged(parts: DataFrame) -> np.ndarray | None:
     return flat
 
 
-def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, first_texts: int = FIRST_TEXTS, every: int = EVERY) -> Model:
+def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, first_texts: int = FIRST_TEXTS) -> Model:
     """Weights learned from all rows of docs (doc_id, text); without rows those of no training."""
     shared = spark.sparkContext.broadcast(vocab)
     # hashes are drawn first, so that only the drawn texts travel to the one task
     hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("at"))
     drawn = written(spark, hashed.select("at").distinct().orderBy("at").limit(first_texts), "sample")
     sample = hashed.join(F.broadcast(drawn), "at").dropDuplicates(["at"]).repartition(1)
-    flat = _averaged(_trained(sample.sortWithinPartitions("at"), shared, None, 64, 32, 1, 0.01, 1))
+    flat = _averaged(_trained(sample.sortWithinPartitions("at"), shared, None, 64, 32, 0.01, 1))
     model = Model(vocab)
     if flat is not None:
-        more = _averaged(_trained(docs, shared, flat, 256, 64, every, 0.002, 1))
+        more = _averaged(_trained(docs, shared, flat, 256, 64, 0.002, 1))
         model.unpack(flat if more is None else more)
     return model
 
@@ -363,7 +372,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, model: Model, vocab: Vocab
             tokens, at, ids, lengths = _batch_ids(vocab, batch.column(1))
             text = np.repeat(np.arange(len(lengths)), lengths)
             total = lambda values: np.bincount(text, values, len(lengths))
-            log_model = total(_run(model, ids, lengths, 256, 64, 0, 0.0)) / np.log(10)
+            log_model = total(_run(model, ids, lengths, 256, 64, False, 0.0)) / np.log(10)
             found, rare = at >= 0, ids >= WORDS
             logs = np.zeros(len(tokens))
             logs[found] = np.log10(vocab.counts[at[found]] + 0.5)
