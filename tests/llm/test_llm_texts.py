@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -199,6 +200,25 @@ def test_toxicity_learns(spark, sf_dir):
     assert np.allclose(out.sort_values("doc_id").score, again.sort_values("doc_id").score, atol=1e-6)
 
 
+def test_rare_toxic_wording_outside_the_sample(spark):
+    rng = random.Random(12)
+    words = [f"{a}{b}{c}" for a in ("lor", "mis", "tan", "vel") for b in ("ume", "ola", "iri") for c in ("nt", "sk", "dow", "ph")]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows, rare = [], "zugqux hjyblort"
+    for i in range(4000):
+        toxic = i % 2
+        own = (rare if i % 200 == 1 else "you vile wretch") if toxic else "kind regards"
+        rows.append((i, f"{text(10)} {own} {text(10)}", toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    # 20 of 2,000 toxic texts hold it, of the 200 that are drawn about one
+    model = toxicity.train(spark, docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), 400)
+    plain = [text(20) for _ in range(20)]
+    without, with_it = (model.margins(pa.array(t)) for t in (plain, [f"{t} {rare}" for t in plain]))
+    assert (with_it > without + 1).all()
+    clean = model.margins(pa.array([f"{t} kind regards" for t in plain]))
+    assert (1 / (1 + np.exp(-with_it)) >= 0.7).all() and (1 / (1 + np.exp(-clean)) < 0.7).all()
+
+
 def test_toxicity_of_awkward_rows(spark, awkward):
     labels = spark.createDataFrame([(1, 1), (1, 0), (7, None), (None, 1), (8, 0)], "doc_id long, toxic int")
     out = toxicity.judge(spark, awkward, labels)
