@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 import duckdb
 import pytest
@@ -72,6 +74,30 @@ def test_near_duplicate_stage(spark, corpus, sf_dir):
     assert sorted(d for d in found if d is not None) == want and found.count(None) == 1
 
 
+def test_near_duplicates_are_rows_not_ids(spark, sf_dir):
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choices([f"w{i}" for i in range(300)], k=80))
+    near = lambda t: t + " tail"
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    rows = [
+        (1, a), (5, near(a)),  # 5 goes as a copy of 1 ...
+        (5, b), (6, near(b)), (7, b),  # ... but stays as the first of b
+        (5, c),  # ... and as the only one of c
+        (9, d), (9, near(d)),  # one of two copies with one id
+        (None, e), (None, e), (None, near(e)),  # one of three without id
+        (None, near(f)), (20, f),  # the one with an id
+        (None, g), (None, None), (30, None), (31, ""), (31, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    sure = [(1, a), (5, b), (5, c), (20, f), (None, g), (None, None), (30, None), (31, "")]
+    assert all(found.count(x) == 1 for x in sure)
+    rest = sorted((x for x in found if x not in sure), key=repr)
+    assert len(rest) == 2 and rest[0] in [(9, d), (9, near(d))] and rest[1] in [(None, e), (None, near(e))]
+
+
 def test_contaminated_stage(spark, corpus, sf_dir):
     kept = corpus_pipeline.drop_contaminated(spark, corpus, sf_dir)
     assert kept.columns == corpus.columns
