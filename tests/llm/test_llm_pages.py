@@ -124,6 +124,24 @@ def test_templates(spark):
     assert url_filter.judge_urls(spark, df.limit(0), URL_RULES).collect() == []
 
 
+def test_deep_paths_with_labels_of_both_kinds(spark):
+    rules = [("h.example", "/deny", "block"), ("h.example", "/a/b/c/d/e/spam/1", "block"), ("h.example", "/a/b/c/d/e/good/1", "allow")]
+    rules += [("g.example", "/", "block"), ("g.example", "/a/b/c/d/e/f/good/1", "allow"), ("k.example", "/p/q/r/s/t/u/v/w", "block")]
+    rows = [f"http://h.example/a/b/c/d/e/{kind}/{i}" for kind in ("spam", "good") for i in range(10, 30)]
+    rows += [f"http://g.example/a/b/c/d/e/f/{kind}/{i}" for kind in ("spam", "good") for i in range(10, 20)]
+    rows += [f"http://k.example/p/q/r/s/t/u/v/w/{i}" for i in range(4)] + [f"http://k.example/p/q/r/s/t/u/v/x/{i}" for i in range(4)]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = url_filter.judge_urls(spark, df, rules).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.host != "k.example":
+            kind = r.path.split("/")[-2]
+            assert r.verdict == ("block" if kind == "spam" else "allow"), r
+            assert f"/{kind}/" in r.template
+        else:
+            assert f"/{r.path.split('/')[8]}/" in r.template
+
+
 def test_templates_without_labels(spark):
     df = spark.createDataFrame([(1, "http://a.example.com/x"), (None, "http://a.example.com/x")], "page_id long, url string")
     got = url_filter.judge_urls(spark, df, URL_RULES).collect()

@@ -2,8 +2,9 @@
 
 Tree. Digits in a path segment become a wildcard, and so does a whole level of a node
 whose children hardly repeat (at least KIDS different ones, on average fewer than two
-urls each); segments beyond DEPTH are one wildcard. A url's template is its way through
-the tree of its host.
+urls each). From DEPTH segments on, or as many as the longest rule has, a node is followed
+further only while labels of both kinds lie below it; what lies below any other is one
+wildcard. A url's template is its way through the tree of its host.
 
 Labels are the verdicts of the rules. A template's share of blocked labels is smoothed
 towards its host's, a host's towards that of all urls, with the weight of WEIGHT urls.
@@ -49,30 +50,51 @@ def _paths(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Different (host, path) with counts and their segments, digits as wildcards."""
     labelled = pages.groupBy("host", "path").agg(F.count("*").alias("urls"))
     ruled = _rule(F.col("host"), F.col("path"), rules)["verdict"]
-    parts = F.filter(F.split(F.regexp_replace("path", "[0-9]+", "*"), "/"), lambda s: s != "")
-    long = F.concat(F.slice("parts", 1, DEPTH), F.array(F.lit("**")))
+    segments = F.filter(F.split(F.regexp_replace("path", "[0-9]+", "*"), "/"), lambda s: s != "")
     return (
         labelled.withColumn("labels", F.when(ruled.isNull(), 0).otherwise(F.col("urls")))
         .withColumn("blocked", F.when(ruled == "block", F.col("urls")).otherwise(0))
-        .withColumn("parts", parts)
-        .withColumn("segments", F.when(F.size("parts") > DEPTH, long).otherwise(F.col("parts")))
-        .drop("parts")
+        .withColumn("segments", segments)
         .withColumn("template", F.lit(""))
     )
 
 
-def _grow(paths: DataFrame, level: int) -> DataFrame:
-    """Follow one more segment; a level that hardly repeats becomes a wildcard."""
+def _grow(paths: DataFrame, level: int, depth: int) -> DataFrame:
+    """Follow one more segment; a level that hardly repeats becomes a wildcard. `open`: the path goes on."""
     part = F.get("segments", F.lit(level))
-    kids = paths.where(part.isNotNull()).groupBy("host", "template", part.alias("part")).agg(F.sum("urls").alias("urls"))
-    varied = (
+    sums = [F.sum(c).alias(c) for c in ("urls", "labels", "blocked")]
+    kids = paths.where(part.isNotNull()).groupBy("host", "template", part.alias("part")).agg(*sums)
+    nodes = (
         kids.groupBy("host", "template")
-        .agg(F.count("*").alias("kids"), F.sum("urls").alias("urls"))
-        .where(f"kids >= {KIDS} AND 2 * kids > urls")
-        .select("host", "template", F.lit(True).alias("varied"))
+        .agg(F.count("*").alias("kids"), *sums)
+        .select(
+            "host",
+            "template",
+            F.expr(f"kids >= {KIDS} AND 2 * kids > urls").alias("varied"),
+            (F.lit(level >= depth) & F.expr("blocked = 0 OR blocked = labels")).alias("alike"),
+        )
     )
-    step = F.when(part.isNull(), "").when(F.col("varied"), "/*").otherwise(F.concat(F.lit("/"), part))
-    return paths.join(varied, ["host", "template"], "left").withColumn("template", F.concat("template", step)).drop("varied")
+    step = (
+        F.when(part.isNull(), "")
+        .when(F.col("alike"), "/**")
+        .when(F.col("varied"), "/*")
+        .otherwise(F.concat(F.lit("/"), part))
+    )
+    more = (F.size("segments") > level + 1) & ~F.coalesce("alike", F.lit(True))
+    grown = paths.join(nodes, ["host", "template"], "left").withColumn("template", F.concat("template", step))
+    return grown.withColumn("open", more).drop("varied", "alike")
+
+
+def _tree(spark: SparkSession, paths: DataFrame, depth: int) -> DataFrame:
+    """`paths` with their whole templates, grown level by level until no path goes on."""
+    level, done, left = 0, None, paths
+    while True:
+        grown = written(spark, _grow(left, level, depth), "tree")
+        ended = grown.where("NOT open").drop("open")
+        done = ended if done is None else done.union(ended)
+        left, level = grown.where("open").drop("open"), level + 1
+        if left.isEmpty():
+            return done
 
 
 def _smoothed(blocked: Column, labels: Column, towards: Column) -> Column:
@@ -90,9 +112,8 @@ def judge_urls(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule]) ->
     """
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
-    paths = _paths(urls, rules)
-    for level in range(DEPTH + 1):
-        paths = written(spark, _grow(paths, level), "tree")
+    longest = max((sum(map(bool, start.split("/"))) for _, start, _ in rules), default=0)
+    paths = _tree(spark, _paths(urls, rules), max(DEPTH, longest))
     total = paths.agg(F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked")).first()
     overall = ((total.blocked or 0) + 0.5 * WEIGHT) / ((total.labels or 0) + WEIGHT)
     sums = [F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked")]
@@ -100,7 +121,7 @@ def judge_urls(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule]) ->
     hosts = hosts.select("host", _smoothed(F.col("blocked"), F.col("labels"), F.lit(overall)).alias("of_host"))
     templates = (
         paths.groupBy("host", "template")
-        .agg(F.max(F.size("segments")).alias("depth"), *sums)
+        .agg(F.max(F.size(F.split("template", "/"))).alias("depth"), *sums)
         .join(hosts, "host")
         .withColumn("alike", F.floor(_smoothed(F.col("blocked"), F.col("labels"), F.col("of_host")) * 10))
     )
