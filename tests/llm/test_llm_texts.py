@@ -219,6 +219,18 @@ def test_rare_toxic_wording_outside_the_sample(spark):
     assert (1 / (1 + np.exp(-with_it)) >= 0.7).all() and (1 / (1 + np.exp(-clean)) < 0.7).all()
 
 
+def test_toxicity_sample_bounds_rows(spark, monkeypatch):
+    rows = [(0, f"vile words number {i % 300}") for i in range(600)] + [(i, f"kind words {i}") for i in range(1, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id long, toxic int")
+    seen, fit, counts = [], toxicity._fit, toxicity._counts
+    monkeypatch.setattr(toxicity, "_fit", lambda *a: seen.append(a[3]) or fit(*a))
+    monkeypatch.setattr(toxicity, "_counts", lambda *a: seen.append(counts(*a)) or seen[-1])
+    toxicity.train(spark, docs, labels, 60)
+    (*_, n_toxic, n_clean), y = seen
+    assert (n_toxic, n_clean) == (600 + 39, 160) and (y.sum(), len(y)) == (30, 60)
+
+
 def test_toxicity_of_awkward_rows(spark, awkward):
     labels = spark.createDataFrame([(1, 1), (1, 0), (7, None), (None, 1), (8, 0)], "doc_id long, toxic int")
     out = toxicity.judge(spark, awkward, labels)

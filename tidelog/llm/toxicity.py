@@ -6,7 +6,7 @@ compares the share of toxic and of clean training texts that hold it; counts cov
 labelled training rows and are made in parallel. Every slot that occurs has a weight: r
 times a coefficient that all slots of its sign and distance from chance (z) share. The up to
 OWN_SLOTS slots farthest from chance, from OWN_Z on, have one more of their own. A logistic
-regression fits both, on the texts of at most `max_rows` labelled ids (those with the
+regression fits both, on at most `max_rows` different labelled rows (those with the
 smallest hashes, half for either kind; all if fewer); the bound is a parameter. There the
 counts behind r leave out the text itself, so that what only one text holds proves nothing.
 All texts are scored, and whole.
@@ -166,7 +166,8 @@ def train(
     """Learn from the rows of `docs` (doc_id, text) that `labels` (doc_id, toxic) marks.
 
     Null ids and null labels teach nothing; of repeated labels of an id the highest holds;
-    a repeated doc_id teaches once for each row. Without texts of both kinds the model
+    a repeated doc_id counts once for each row, and the regression takes equal rows once, so
+    that no id outweighs the rest of the sample. Without texts of both kinds the model
     gives every text the share of toxic ones, (toxic + 1) / (texts + 2).
     """
     marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
@@ -204,11 +205,13 @@ def train(
                 ["toxic", "cols", "sums"],
             )
 
-    known = docs.select("doc_id").distinct().join(marks, "doc_id")
+    at = F.xxhash64("doc_id", "text").alias("at")
+    known = docs.where("doc_id IS NOT NULL").select("doc_id", at).distinct().join(marks, "doc_id").select("at", "toxic")
     half = {1: max_rows // 2, 0: max_rows - max_rows // 2}
-    drawn = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in half.items()]
+    drawn = [known.where(F.col("toxic") == k).orderBy("at").limit(n) for k, n in half.items()]
     keys = written(spark, drawn[0].union(drawn[1]), "sample")
-    rows = docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id").select("text", "toxic")
+    rows = docs.where("doc_id IS NOT NULL").select("text", at).join(F.broadcast(keys), "at")
+    rows = rows.dropDuplicates(["at"]).select("text", "toxic")
     found = rows.mapInArrow(features, "toxic int, cols array<short>, sums array<double>").toArrow()
     cols = found["cols"].combine_chunks()
     lengths = np.diff(cols.offsets.to_numpy())
