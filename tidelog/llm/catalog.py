@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, decontaminate, embedding, jaccard, language_model, preference, token_counts, toxicity, url_filter, warc
+from tidelog.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    embedding,
+    jaccard,
+    language_id,
+    language_model,
+    lexical,
+    preference,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +124,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(spark, docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every benchmark item."""
+    return lexical.ranked_search(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document."""
+    told = language_id.identify(spark, _table(spark, sf_dir, "documents"))
+    return told.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers on every whole document."""
+    return alignment.align_documents(spark, _table(spark, sf_dir, "documents"))[0]
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_byte_bpe": op2_byte_bpe,
@@ -121,6 +151,9 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": op10_toxicity,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_language_id": op12_language_id,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 # words as in the operator: ASCII letters lowered, other ASCII but digits separates
@@ -267,9 +300,36 @@ FROM placed GROUP BY conv_id
 """
 
 
+# every document scored; sums of whole numbers, `//` rounding down
+LEXICAL_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), total AS (
+    SELECT count(*) FILTER (WHERE len(w) > 0)::BIGINT AS n, coalesce(sum(len(w)), 0)::BIGINT AS l FROM d
+), q AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM benchmark WHERE item_id IS NOT NULL
+), p AS (
+    SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t
+), weights AS (
+    SELECT t, floor(1000 * ln((2.0::DOUBLE * n + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS weight FROM p, total GROUP BY t, n
+), scores AS (
+    SELECT item_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * len(w) * n) // l))))::BIGINT AS score
+    FROM q JOIN weights USING (t) JOIN p USING (t) JOIN d USING (r), total GROUP BY item_id, r
+), ranked AS (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scores JOIN d USING (r) WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_preference_pairs": PREFERENCE_SQL,
     "op1_warc": WARC_SQL,
     "op7_url_filter": _url_sql(),
     "op4_decontamination": DECONTAMINATION_SQL,
+    "op11_lexical_search": LEXICAL_SQL,
 }
