@@ -300,6 +300,13 @@ FROM oe WHERE seq = 0 AND k % 500 IN (1, 2, 5, 6, 7, 8)""",
     "log_append_between_tails": CUSTOMER_LOG,
     "log_rebuild_then_tail": CUSTOMER_LOG,
     "log_repeated_positions": CUSTOMER_LOG,
+    "log_concurrent_writers": CUSTOMER_LOG,
+    "log_rebuild_while_tailing": CUSTOMER_LOG,
+    "log_after_compaction": CUSTOMER_LOG,
+    "log_offset_gaps": """
+SELECT previous, kafka_offset, kafka_offset - previous - 1 AS missing FROM (
+  SELECT k AS kafka_offset, lag(k) OVER (ORDER BY k) AS previous FROM ce WHERE k % 9 <> 0)
+WHERE kafka_offset > previous + 1""",
     "csv_mixed_headers": CSV_ORDERS,
     "csv_orders": CSV_ORDERS,
     "stg_customer_events": """
@@ -608,6 +615,7 @@ SELECT 'customer', op, CASE WHEN op = 'update' THEN lsn END, k, customer_unique_
 FROM ce""",
     "stream_scd2_incremental": STATUS_VERSIONS_CLOSE,
     "stream_latest_state": LATEST,
+    "stream_latest_after_rebuild": LATEST,
 }
 
 

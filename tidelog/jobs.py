@@ -2,6 +2,8 @@
 
     derive   CSV export -> change messages as files
     load     change messages (files or Kafka) -> event log; resumes, or rebuilds
+    upkeep   event log -> histories and latest states, from what came in since the last run
+    compact  merge the log's small folders, and delete what no recent version names
     build    event log -> models, each checked before the next reads it
     verify   event log and models -> summary and all checks, non-zero exit on failure
 """
@@ -14,13 +16,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.plans.kept import KEPT
 from tidelog.plans.marts import MODELS, Marts
 from tidelog.plans.replay import change_messages, read_export
-from tidelog.quality import GateFailure, contracts, run_gate
+from tidelog.quality import GateFailure, contracts, log_gaps, run_gate
 from tidelog.schemas import CSV_TABLES, TABLES
 from tidelog.session import configure
-from tidelog.sources import load_summary, read_log, write_messages
-from tidelog.streaming import read_quarantine, rebuild_log, tail
+from tidelog.sources import compact_log, load_summary, read_log, write_messages
+from tidelog.sources.commits import Committed
+from tidelog.streaming import follow_log, read_quarantine, rebuild_log, tail
 
 
 def derive(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -57,6 +61,20 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
         for row in load_summary(log).orderBy("source_table", "op").collect():
             print(f"{row['source_table'] or 'all':<12} {row['op'] or 'all':<8} {row['events']}")
     print(f"{read_quarantine(spark, args.log, args.quarantine).count()} messages in quarantine")
+    print(f"{log_gaps(spark, args.log).count()} gaps in offsets")
+
+
+def upkeep(spark: SparkSession, args: argparse.Namespace) -> None:
+    chosen = {name: KEPT[name] for name in args.only or KEPT}
+    for name, version in follow_log(spark, args.log, args.state, chosen).items():
+        print(f"{name:<26} at version {version}")
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    print(f"{compact_log(spark, args.log)} folders merged")
+    if args.keep_versions:
+        table = Committed(spark, args.log)
+        print(f"{table.remove_unnamed(args.keep_versions, args.older_than_hours * 3_600_000)} folders deleted")
 
 
 def _quarantine(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
@@ -77,7 +95,10 @@ def verify(spark: SparkSession, args: argparse.Namespace) -> None:
         if model.materialized == "table":
             marts.use(name, spark.read.parquet(f"{args.marts.rstrip('/')}/{name}"))
     suite = contracts.all_checks(marts)
-    results = run_gate(contracts.quarantine_check(suite, _quarantine(spark, args)))
+    suite = contracts.quarantine_check(suite, _quarantine(spark, args))
+    if args.no_gaps:
+        suite = contracts.log_checks(suite, read_log(spark, args.log), log_gaps(spark, args.log))
+    results = run_gate(suite)
     print(f"{len(results)} checks passed")
 
 
@@ -111,6 +132,18 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--rebuild", action="store_true", help="from the first offset")
     job.set_defaults(run=load)
 
+    job = jobs.add_parser("upkeep")
+    job.add_argument("--log", required=True)
+    job.add_argument("--state", required=True)
+    job.add_argument("--only", action="append", choices=sorted(KEPT), help="one of the states; all by default")
+    job.set_defaults(run=upkeep)
+
+    job = jobs.add_parser("compact")
+    job.add_argument("--log", required=True)
+    job.add_argument("--keep-versions", type=int, help="delete folders that no newer version names")
+    job.add_argument("--older-than-hours", type=int, default=24, help="leave younger folders: a writer may yet commit them")
+    job.set_defaults(run=compact)
+
     job = jobs.add_parser("build")
     job.add_argument("--log", required=True)
     job.add_argument("--marts", required=True)
@@ -122,6 +155,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--log", required=True)
     job.add_argument("--marts", required=True)
     _gate_arguments(job)
+    job.add_argument("--no-gaps", action="store_true", help="fail on missing offsets or a log position that runs backwards")
     job.set_defaults(run=verify)
     return top
 

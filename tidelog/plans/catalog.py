@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +35,11 @@ from tidelog.plans.marts import ADDRESS, Marts
 from tidelog.quality import contracts
 from tidelog.quality.logs import union_all
 from tidelog.quality.totals import total_drift
-from tidelog.schemas import CSV_TABLES, EVENT_LOG, ORDER_STATUSES, TABLES
+from tidelog.schemas import CSV_TABLES, ORDER_STATUSES, TABLES
 from tidelog.session import scratch_dir
 from tidelog.sources import (
     append_log,
+    compact_log,
     decode_envelope,
     load_summary,
     quarantined,
@@ -46,11 +48,10 @@ from tidelog.sources import (
     valid_events,
     write_messages,
 )
+from tidelog.sources.log import commit_events, rebuild, write_events
 from tidelog.streaming import (
-    keep_history,
-    keep_latest,
-    read_history,
-    read_latest,
+    Kept,
+    follow_log,
     rebuild_log,
     tail,
 )
@@ -883,22 +884,6 @@ def _streamed(spark, sf_dir, names, files=3, batch_limit=1) -> str:
     return root
 
 
-def _each_batch(spark, root: str, take: Callable[[DataFrame, int], None], schema: str) -> None:
-    """Follow the log as a stream, a few files at a time."""
-    stream = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", 2)
-        .parquet(f"{root}/log/generation=*/load=*/batch=*/source_table=*")
-    )
-    (
-        stream.writeStream.foreachBatch(take)
-        .option("checkpointLocation", f"{root}/upkeep")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-
-
 @query
 def stream_log_roundtrip(spark, sf_dir):
     root = _streamed(spark, sf_dir, ["order", "customer"])
@@ -959,42 +944,110 @@ def log_repeated_positions(spark, sf_dir):
     return read_log(spark, path).select(*LOGGED)
 
 
-LOG_WITHOUT_TABLE = ", ".join(f for f in EVENT_LOG.split(", ") if not f.startswith("source_table"))
+def _events(messages: DataFrame) -> DataFrame:
+    return valid_events(decode_envelope(messages))
 
 
 @query
-def stream_scd2_incremental(spark, sf_dir):
-    """Status history kept up to date batch by batch, events arriving in any order."""
-    root = _streamed(spark, sf_dir, ["order"])
-    build = m.dim_order_status_history
-    schema = None
+def log_concurrent_writers(spark, sf_dir):
+    """Two appends of overlapping messages and a stream, all begun before any has committed."""
+    root, parts = scratch_dir(spark, "log-at-once"), _thirds(spark, sf_dir)
+    path = f"{root}/log"
+    write_messages(parts[1].union(parts[2]), f"{root}/topics")
+    written = [write_events(_events(parts[i].union(parts[i + 1])), path) for i in (0, 1)]
+    _drained(spark, root)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda i: commit_events(spark, path, written[i], f"writer-{i}", 0), (0, 1)))
+    return read_log(spark, path).select(*LOGGED)
+
+
+@query
+def log_rebuild_while_tailing(spark, sf_dir):
+    """A stream lands a third of the messages after the rebuild has read its own and before the switch."""
+    root, parts = scratch_dir(spark, "log-fenced"), _thirds(spark, sf_dir)
+    path = f"{root}/log"
+    write_messages(parts[0], f"{root}/topics")
+    _drained(spark, root)
+
+    def write():
+        name = write_events(_events(parts[0]), path)
+        write_messages(parts[1], f"{root}/topics")
+        _drained(spark, root)
+        return name, ()
+
+    rebuild(spark, path, write)
+    write_messages(parts[2], f"{root}/topics")
+    _drained(spark, root)
+    return read_log(spark, path).select(*LOGGED)
+
+
+def _compacted(spark, sf_dir, root: str) -> str:
+    """The customers' log in many appends, merged on the way."""
+    events = _events(retail.table_messages(spark, sf_dir, "customer")).persist()
+    for i in range(20):
+        append_log(events.where(F.col("kafka_offset") % 20 == i), f"{root}/log", i, "part")
+        compact_log(spark, f"{root}/log")
+    events.unpersist()
+    return f"{root}/log"
 
-    def take(batch: DataFrame, batch_id: int) -> None:
-        nonlocal schema
-        staged = m.order_events(batch.withColumn("source_table", F.lit("order")))
-        schema = schema or _ddl(build(staged))
-        keep_history(staged, batch_id, f"{root}/history", ["order_id"], build, buckets=8)
 
-    _each_batch(spark, root, take, LOG_WITHOUT_TABLE)
-    return _status_versions(read_history(spark, f"{root}/history", schema))
+@query
+def log_after_compaction(spark, sf_dir):
+    """Twenty appends, merged as they gather."""
+    return read_log(spark, _compacted(spark, sf_dir, scratch_dir(spark, "log-merged"))).select(*LOGGED)
+
+
+@query
+def log_offset_gaps(spark, sf_dir):
+    """Missing offsets of a log that lacks every ninth customer, from its versions' ranges."""
+    path = scratch_dir(spark, "log-gaps")
+    messages = retail.table_messages(spark, sf_dir, "customer")
+    events = _events(messages.where(F.col("kafka_offset") % 9 != 0))
+    append_log(events.where("op = 'read'"), path)
+    append_log(events.where("op <> 'read'"), path)
+    return q.log_gaps(spark, path).select("previous", "kafka_offset", "missing")
+
+
+# --- states that follow the log ------------------------------------------------------------
+
+STATUS_HISTORY = Kept(m.order_events, ["order_id"], build=m.dim_order_status_history)
+LATEST_ORDERS = Kept(m.order_events, ["order_id"], ORDER)
+
+
+def _followed(spark, sf_dir, kept: Kept) -> DataFrame:
+    """Orders landed in several batches, in any order, a state following after each."""
+    root = scratch_dir(spark, "followed")
+    messages = retail.table_messages(spark, sf_dir, "order", deletes=True)
+    for i in (2, 0, 1):
+        write_messages(messages.where(F.col("kafka_offset") % 3 == i), f"{root}/topics", files=2)
+        _drained(spark, root)
+        follow_log(spark, f"{root}/log", f"{root}/state", {"kept": kept})
+    return kept.read(spark, f"{root}/state/kept", read_log(spark, f"{root}/log"))
+
+
+@query
+def stream_scd2_incremental(spark, sf_dir):
+    """Status history kept up to date batch by batch, events arriving in any order."""
+    return _status_versions(_followed(spark, sf_dir, STATUS_HISTORY))
 
 
 @query
 def stream_latest_state(spark, sf_dir):
-    root = _streamed(spark, sf_dir, ["order"])
-    schema = None
-
-    def take(batch: DataFrame, batch_id: int) -> None:
-        nonlocal schema
-        staged = m.order_events(batch.withColumn("source_table", F.lit("order")))
-        schema = schema or _ddl(staged)
-        keep_latest(staged, batch_id, f"{root}/latest", ["order_id"], ORDER, buckets=8)
-
-    _each_batch(spark, root, take, LOG_WITHOUT_TABLE)
-    return read_latest(spark, f"{root}/latest", schema).select(
-        "order_id", "order_status", "lsn", "kafka_offset"
-    )
+    """Newest events kept up to date batch by batch, events arriving in any order."""
+    return _followed(spark, sf_dir, LATEST_ORDERS).select("order_id", "order_status", "lsn", "kafka_offset")
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+@query
+def stream_latest_after_rebuild(spark, sf_dir):
+    """A state that follows a log which is rebuilt between its runs."""
+    root = scratch_dir(spark, "followed-rebuild")
+    messages = retail.table_messages(spark, sf_dir, "order", deletes=True)
+    source = {"format": "parquet", "path": f"{root}/topics"}
+    for i in range(2):
+        write_messages(messages.where(F.col("kafka_offset") % 2 == i), f"{root}/topics", files=2)
+        _drained(spark, root)
+        follow_log(spark, f"{root}/log", f"{root}/state", {"kept": LATEST_ORDERS})
+        rebuild_log(spark, source, f"{root}/log", f"{root}/quarantine")
+    follow_log(spark, f"{root}/log", f"{root}/state", {"kept": LATEST_ORDERS})
+    state = LATEST_ORDERS.read(spark, f"{root}/state/kept", read_log(spark, f"{root}/log"))
+    return state.select("order_id", "order_status", "lsn", "kafka_offset")

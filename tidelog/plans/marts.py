@@ -34,9 +34,6 @@ from tidelog.schemas import IMAGES, MONEY, UNKNOWN, UNMATCHED
 
 ADDRESS = ["zip_code_prefix", "city", "state"]
 
-# From this many versions on, holding each fact against every version of its key costs
-
-
 # --- staging ----------------------------------------------------------------
 
 
@@ -81,9 +78,12 @@ def stg_order_events(order_events: DataFrame, hot: HotKeys | None = None) -> Dat
 
 
 def _live_images(log: DataFrame, table: str) -> DataFrame:
-    """Newest images of live rows. Where the key of a model is one column it is taken from
-    `pk`: rows lie by it already, and a later join on it needs no further shuffle. Pre-images are not read, and what is shuffled is the few
-    typed columns a model needs, not the text of the image."""
+    """Newest images of live rows.
+
+    Where the key of a model is one column it is taken from `pk`: rows lie by it already, and
+    a later join on it needs no further shuffle. Pre-images are not read, and what is
+    shuffled is the few typed columns a model needs, not the text of the image.
+    """
     return latest_state(typed_images(ordered_events(log, table), IMAGES[table]), ["pk"], ORDER)
 
 

@@ -16,6 +16,7 @@ from tidelog.quality.history import (
 )
 from tidelog.quality.logs import (
     deleted_do_not_reappear,
+    log_gaps,
     log_matches_source,
     no_duplicate_generations,
     offset_gaps,
@@ -47,6 +48,7 @@ __all__ = [
     "expression_is_true",
     "fact_reconciles_to_log",
     "facts_reconcile",
+    "log_gaps",
     "log_matches_source",
     "no_duplicate_generations",
     "no_gaps_or_overlaps",

@@ -21,7 +21,7 @@ from tidelog.quality.history import (
     one_current,
     versions_match_log,
 )
-from tidelog.quality.logs import deleted_do_not_reappear, no_duplicate_generations, union_all
+from tidelog.quality.logs import deleted_do_not_reappear, no_duplicate_generations, order_key_sound, union_all
 from tidelog.quality.totals import fact_reconciles_to_log, facts_reconcile
 from tidelog.schemas import OPS, ORDER_STATUSES, TABLES
 
@@ -191,6 +191,11 @@ def quarantine_check(suite: Suite, quarantine: DataFrame | None) -> Suite:
     return suite if quarantine is None else suite.add(QUARANTINE_CHECK, quarantine)
 
 
+def log_checks(suite: Suite, log: DataFrame, gaps: DataFrame) -> Suite:
+    """Missing offsets and streamed log positions that run backwards or repeat."""
+    return suite.add("offsets_are_complete", gaps).add("order_key_is_sound", order_key_sound(log))
+
+
 def build_gated(marts: Marts, quarantine: DataFrame | None = None) -> dict[str, int]:
     """Build every model, each only after the checks of all models it reads have passed.
 

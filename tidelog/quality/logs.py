@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators import (
@@ -19,6 +20,8 @@ from tidelog.operators import (
 )
 from tidelog.operators.ordered import ROWS_PER_CHUNK
 from tidelog.quality.checks import expression_is_true
+from tidelog.sources.commits import Committed, complete
+from tidelog.sources.log import committed_rows
 
 PARTITION = ["topic", "partition"]
 
@@ -120,6 +123,33 @@ def offset_gaps(log: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFra
     return chained.withColumn("missing", missing).filter("missing > 0")
 
 
+def log_gaps(spark: SparkSession, path: str) -> DataFrame:
+    """`offset_gaps` of the log at `path`: topic, partition, previous, kafka_offset, missing.
+
+    Topic partitions whose ranges of offsets are complete are answered from the log's version
+    alone; for the others the folders that hold them are read.
+    """
+    table = Committed(spark, path)
+    folders = table.newest().folders
+    ranges: dict[tuple[str, int], list[tuple[int, ...]]] = {}
+    for folder in folders:
+        for topic, partition, *own in folder.ranges:
+            ranges.setdefault((topic, partition), []).append(tuple(own))
+    unsure = [k for k, own in sorted(ranges.items()) if not all(complete(*r) for r in own)]
+    found = []
+    for key, own in sorted(ranges.items()):
+        if key not in unsure:
+            own.sort()
+            found += [(*key, a[1], b[0], b[0] - a[1] - 1) for a, b in zip(own, own[1:]) if b[0] > a[1] + 1]
+    columns = "topic string, partition int, previous bigint, kafka_offset bigint, missing bigint"
+    parts = [spark.createDataFrame(found, columns)]
+    if unsure:
+        rows = committed_rows(table, [f for f in folders if any(r[:2] in unsure for r in f.ranges)])
+        here = reduce(or_, [(F.col("topic") == t) & (F.col("partition") == p) for t, p in unsure])
+        parts.append(offset_gaps(rows.where(here)).select("topic", "partition", "previous", "kafka_offset", "missing"))
+    return union_all(parts)
+
+
 def order_key_sound(log: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Streamed events whose log position runs backwards or repeats along the offsets.
 

@@ -1,5 +1,7 @@
 from tidelog.streaming.tail import read_quarantine, rebuild_log, tail
 from tidelog.streaming.upkeep import (
+    Kept,
+    follow_log,
     keep_history,
     keep_latest,
     read_history,
@@ -7,6 +9,8 @@ from tidelog.streaming.upkeep import (
 )
 
 __all__ = [
+    "Kept",
+    "follow_log",
     "keep_history",
     "keep_latest",
     "read_history",
