@@ -11,8 +11,8 @@ matched. Texts are parsed whole, in segments of SEGMENT bytes that no phrase cro
 all segments of a batch side by side in numpy, one table look-up a byte and language.
 
 The automata are fitted on a bounded sample (parameters): from at most `sample_rows`
-different texts of a language, those of the smallest hashes, a window of PIECE characters at
-a place given by the hash, together at most `sample_bytes` over all languages, of which each
+different texts of a language, the one of the smallest hash in each of so many parts, a window
+of PIECE characters at a place given by the hash, together at most `sample_bytes` over all languages, of which each
 may use an equal part. Only that sample is sent to the tasks, which build the automata once.
 """
 
@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import written
@@ -152,9 +152,10 @@ def learn(
     empty sample and is left out.
     """
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", F.xxhash64("text").alias("at"))
-    by_hash = Window.partitionBy("lang").orderBy("at")
-    keys = rows.select("lang", "at").distinct().withColumn("nth", F.row_number().over(by_hash))
-    keys = written(spark, keys.where(F.col("nth") <= sample_rows).select("lang", "at"), "sample")
+    # the smallest hash of each part: a sample that every task can reduce by itself
+    part = F.pmod(F.xxhash64("at"), F.lit(sample_rows))
+    keys = rows.groupBy("lang", part).agg(F.min("at").alias("at")).select("lang", "at")
+    keys = written(spark, keys, "sample")
     place = F.pmod("at", F.greatest(F.length("text") - PIECE, F.lit(0)) + 1).cast("int") + 1
     drawn = rows.join(F.broadcast(keys), ["lang", "at"]).select("lang", "at", F.substr("text", place, F.lit(PIECE)).alias("piece"))
     pieces = {}
