@@ -82,6 +82,34 @@ def test_range_matches_every_overlapping_window(spark, rows_per_chunk):
     assert rows(joined.select("id", "version")) == brute_force(facts, versions, "left")
 
 
+@pytest.mark.parametrize("strategy", ["range", "window"])
+def test_a_key_is_hot_by_its_pairs(spark, strategy):
+    """Few rows, but too many pairs of a fact and a version for one task."""
+    facts, versions = random_case(5)
+    f, d = frames(spark, facts, versions)
+    n = sum(k == "hot" for _, k, _ in facts) * sum(k == "hot" for k, *_ in versions)
+    assert find_hot_facts(f, d, "k", "at", 10**6, n) is None
+    hot = find_hot_facts(f, d, "k", "at", 10**6, n // 9)
+    assert [r.k for r in hot.frame.collect()] == ["hot"] and hot.chunks >= 2
+    joined = as_of_join(f, d, "k", "at", ["version"], strategy=strategy, hot=hot)
+    assert rows(joined.select("id", "version")) == brute_force(facts, versions, "left")
+
+
+def test_many_facts_and_versions_of_one_key_are_split(spark):
+    """400,000 facts and as many versions: the rows alone would pass for one task's."""
+    at = lambda c: F.timestamp_millis(c).alias
+    n = 400_000
+    facts = spark.range(n).select(F.lit("k").alias("k"), at(F.col("id") * 10 + 5)("at"))
+    dim = spark.range(n).select(
+        F.lit("k").alias("k"), F.col("id").alias("version"), at(F.col("id") * 10)("valid_from"), at(F.col("id") * 10 + 10)("valid_to")
+    )
+    hot = find_hot_facts(facts, dim, "k", "at")
+    assert hot.chunks == 13
+    cut = as_of_join(facts, dim, "k", "at", ["version"], hot=find_hot_facts(facts, dim, "k", "at", 10**6, 10**7))
+    seen = cut.agg(F.count("version"), F.sum(F.abs(F.unix_millis("at") - F.col("version") * 10 - 5))).first()
+    assert tuple(seen) == (n, 0)
+
+
 def test_unknown_options(spark):
     f, d = frames(spark, [(0, "a", 1)], [("a", 1, 0, 2)])
     with pytest.raises(ValueError):

@@ -1,10 +1,18 @@
 """Pinned numbers at scale 0.001."""
 
+import math
+import random
+
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidelog.plans import retail
 from tidelog.plans.marts import MODELS, Marts
+from tidelog.sources import append_log, heavy_keys, read_log
+from tidelog.sources.commits import Committed, Folder
+from tidelog.sources.heavy import merge_summaries, missed_share, summarise
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +121,64 @@ def test_history_is_one_shuffle_and_one_parse(with_deletes):
     assert text.count("Sort [") == 1
     assert text.count("from_json") == 2  # the images after and before
     assert "PartitionFilters: [isnotnull(source_table" in text
+
+
+def test_items_are_counted_without_an_expand(marts, with_deletes):
+    plan = Marts(with_deletes).ref("fct_orders")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    # items by pk and by order, orders by pk, history by key; orders and totals lie by order already
+    assert plan.count("Exchange hashpartitioning") == 4
+    plan = Marts(with_deletes).ref("fct_order_items")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(order_id") <= 2
+
+
+def test_busy_orders_give_the_same_totals(with_deletes):
+    hot, plain = Marts(with_deletes, rows_per_chunk=5), Marts(with_deletes)
+    assert hot.busy_orders().count() > 100
+    found, want = hot.ref("fct_orders"), plain.ref("fct_orders")
+    assert found.exceptAll(want).count() == want.exceptAll(found).count() == 0
+
+
+def test_summaries_save_counting_all_keys(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "log")
+    events = retail.event_log(spark, sf_dir, ["order"], deletes=True)["order"]
+    for i in range(3):
+        append_log(events.where(F.col("kafka_offset") % 3 == i), path)
+    log = read_log(spark, path)
+    sizes = {r.pk: r["count"] for r in events.groupBy("pk").count().collect()}
+    limit = sorted(sizes.values())[-10]
+    heavy = heavy_keys(spark, path, limit)
+    assert heavy["order"].sure and set(heavy["order"].keys) == {k for k, n in sizes.items() if n > limit}
+    with_summary, counted = Marts(log, rows_per_chunk=limit, heavy=heavy), Marts(log, rows_per_chunk=limit)
+    named = lambda m: sorted(r.pk for r in m.hot_keys("order").frame.collect())
+    assert named(with_summary) == named(counted) == sorted(heavy["order"].keys)
+    assert Marts(log, heavy=heavy_keys(spark, path, 10**6)).hot_keys("order") is None
+    assert heavy_keys(spark, str(tmp_path / "none"), 1) == {}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.integers(0, 10**6))
+def test_no_hot_key_is_missed(spark, tmp_path_factory, seed):
+    """Sketches that track few of many keys, over several batches and a merge."""
+    draw = random.Random(seed)
+    path, tracked, hot = str(tmp_path_factory.mktemp("heavy")), 200, {}
+    table = Committed(spark, path)
+    for _ in range(4):
+        keys = [f"h{draw.randrange(9)}" for _ in range(draw.randrange(1500))]
+        keys += [f"c{draw.randrange(10**6)}" for _ in range(2000)]
+        for k in keys:
+            hot[k] = hot.get(k, 0) + 1
+        rows = spark.createDataFrame([("t", k) for k in keys], "source_table string, pk string")
+        name = table.write(rows)
+        summarise(table, name, rows, tracked)
+        table.publish(table.newest(), added=[Folder(name, "w", 0, len(keys))])
+    limit = math.ceil(missed_share(tracked) * sum(hot.values()))
+    found = heavy_keys(spark, path, limit, tracked)["t"]
+    assert found.sure and {k for k, n in hot.items() if n > limit} <= set(found.keys)
+    assert not heavy_keys(spark, path, limit - 1, tracked)["t"].sure
+    merged = table.write(spark.createDataFrame([("t", "x")], "source_table string, pk string"))
+    merge_summaries(table, list(table.newest().folders), merged, tracked)
+    seen = table.newest()
+    table.publish(seen, kind="merge", folders=(Folder(merged, "merge", 0, 1),))
+    again = heavy_keys(spark, path, limit, tracked)["t"]
+    assert again.sure and {k for k, n in hot.items() if n > limit} <= set(again.keys)

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidelog.operators import by_heat, find_hot_keys, over_history
+from tidelog.operators import by_heat, cut_keys, find_hot_keys, over_history
 from tidelog.operators.ordered import _levels, cuts_before
 
 SCHEMA = "k string, a bigint, b bigint, v bigint"
@@ -59,8 +59,7 @@ def test_chunked_equals_brute_force(spark, rows_per_chunk):
 
 def test_only_large_keys_are_hot_and_are_cut_by_size(spark):
     df = spark.createDataFrame([("x", 0, i, i) for i in range(100)] + [("y", 0, 1, 1)], SCHEMA)
-    hot = find_hot_keys(df, ["k"], ["a", "b"], 10)
-    found = hot.frame.collect()
+    found = cut_keys(df, find_hot_keys(df, ["k"], ["a", "b"], 10)).frame.collect()
     assert [r["k"] for r in found] == ["x"]
     assert 7 <= len(found[0]["_cuts"][0]) <= 9
 
@@ -115,3 +114,10 @@ def test_hot_keys_of_another_key_are_refused(spark):
 def test_chunked_equals_brute_force_on_any_rows(spark, data):
     df = spark.createDataFrame(data, SCHEMA)
     assert computed(df, find_hot_keys(df, ["k"], ["a", "b"], 3)) == brute_force(data)
+
+
+def test_only_named_keys_are_counted(spark):
+    df = spark.createDataFrame([("x", 0, i, i) for i in range(30)] + [("y", 0, i, i) for i in range(30)], SCHEMA)
+    among = spark.createDataFrame([("x",), ("z",)], "k string")
+    assert [r["k"] for r in find_hot_keys(df, ["k"], ["a"], 20, among).frame.collect()] == ["x"]
+    assert find_hot_keys(df, ["k"], ["a"], 40, among) is None

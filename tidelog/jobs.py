@@ -16,13 +16,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.operators.ordered import ROWS_PER_CHUNK
 from tidelog.plans.kept import KEPT
 from tidelog.plans.marts import MODELS, Marts
 from tidelog.plans.replay import change_messages, read_export
 from tidelog.quality import GateFailure, contracts, log_gaps, run_gate
 from tidelog.schemas import CSV_TABLES, TABLES
 from tidelog.session import configure
-from tidelog.sources import compact_log, load_summary, read_log, write_messages
+from tidelog.sources import compact_log, heavy_keys, load_summary, read_log, write_messages
 from tidelog.sources.commits import Committed
 from tidelog.streaming import follow_log, read_quarantine, rebuild_log, tail
 
@@ -84,13 +85,14 @@ def _quarantine(spark: SparkSession, args: argparse.Namespace) -> DataFrame | No
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> None:
-    marts = Marts(read_log(spark, args.log), path=args.marts, store_views=args.store_views)
+    heavy = heavy_keys(spark, args.log, ROWS_PER_CHUNK)
+    marts = Marts(read_log(spark, args.log), path=args.marts, store_views=args.store_views, heavy=heavy)
     results = contracts.build_gated(marts, _quarantine(spark, args))
     print(f"{len(MODELS)} models built, {len(results)} checks passed")
 
 
 def verify(spark: SparkSession, args: argparse.Namespace) -> None:
-    marts = Marts(read_log(spark, args.log))
+    marts = Marts(read_log(spark, args.log), heavy=heavy_keys(spark, args.log, ROWS_PER_CHUNK))
     for name, model in MODELS.items():
         if model.materialized == "table":
             marts.use(name, spark.read.parquet(f"{args.marts.rstrip('/')}/{name}"))

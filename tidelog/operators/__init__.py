@@ -31,7 +31,9 @@ from tidelog.operators.lookup import first_activity, parent_join, translate
 from tidelog.operators.ordered import (
     HotKeys,
     by_heat,
+    cut_keys,
     find_hot_keys,
+    join_small,
     large_keys,
     over_history,
 )
@@ -43,6 +45,7 @@ __all__ = [
     "as_of_join",
     "by_heat",
     "changed_rows",
+    "cut_keys",
     "detect_changes",
     "event_order",
     "find_hot_facts",
@@ -50,6 +53,7 @@ __all__ = [
     "first_activity",
     "first_state",
     "hash_sample",
+    "join_small",
     "large_keys",
     "latest_state",
     "lifecycle_events",

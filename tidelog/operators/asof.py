@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from tidelog.operators.ordered import (
     HotKeys,
     assign_chunk,
+    cut_keys,
     cuts_before,
-    find_hot_keys,
+    hot_keys_of,
     join_small,
 )
 
@@ -21,17 +23,36 @@ def fact_position(at: str):
     return F.unix_micros(F.col(at)).cast("double")
 
 
-# Within one chunk every fact is held against every version, hence the smaller limit.
+# Rows of a chunk, and pairs: within a chunk every fact is held against every version.
 FACTS_PER_CHUNK = 1_000_000
+PAIRS_PER_CHUNK = 1_000_000_000
 
 
 def find_hot_facts(
-    facts: DataFrame, dim: DataFrame, key: str, at: str, rows_per_chunk: int = FACTS_PER_CHUNK
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    at: str,
+    rows_per_chunk: int = FACTS_PER_CHUNK,
+    pairs_per_chunk: int = PAIRS_PER_CHUNK,
 ) -> HotKeys | None:
-    """Keys whose facts and versions are too many for one task, cut along time."""
-    starts = dim.select(key, F.unix_micros("valid_from").alias("_at_us"))
-    timed = facts.select(key, F.unix_micros(at).alias("_at_us")).unionByName(starts)
-    return find_hot_keys(timed, [key], ["_at_us"], rows_per_chunk)
+    """Keys that are too much work for one task, cut along time.
+
+    The work of a key is its facts times its versions. Ranges of equal depth hold so many
+    facts and versions together that their product stays within `pairs_per_chunk`,
+    however they are mixed. A key's cuts number about (facts + versions) / range, and a key
+    needs more than a range to have any, so all of them together stay small.
+    """
+    is_fact = F.lit(1).cast("bigint").alias("_fact")
+    starts = dim.select(key, F.unix_micros("valid_from").alias("_at_us"), F.lit(0).cast("bigint").alias("_fact"))
+    timed = facts.select(key, F.unix_micros(at).alias("_at_us"), is_fact).unionByName(starts)
+    counted = timed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sum("_fact").alias("_facts"))
+    pairs = F.col("_facts").cast("double") * (F.col("_n") - F.col("_facts"))
+    heavy = counted.filter((F.col("_n") > rows_per_chunk) | (pairs > pairs_per_chunk)).collect()
+    # a and b with a + b = r have a product of at most (r / 2) squared
+    depth = max(1, min(rows_per_chunk, 2 * isqrt(pairs_per_chunk)))
+    hot = hot_keys_of(timed, [key], ["_at_us"], heavy, depth)
+    return hot and cut_keys(timed, hot)
 
 
 def as_of_join(

@@ -29,12 +29,13 @@ _CHUNK, _HOT, _CUTS, _EDGE = "_chunk", "_hot", "_cuts", "_edge"
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Oversized keys with the positions at which each is cut.
+    """Oversized keys and into how many ranges all of them together are cut.
 
-    `frame` holds the key columns and `_cuts`, every key's cuts in ascending order, then
-    every 64th of them, and so on until one level has at most 64. Every key in it has more
-    than `rows_per_chunk` rows and about rows / rows_per_chunk cuts, so keys and cuts
-    together stay below 3 * total rows / rows_per_chunk: small enough to broadcast.
+    `frame` holds the key columns and, from `cut_keys`, `_cuts`: every key's cuts in
+    ascending order, then every 64th of them, and so on until one level has at most 64.
+    Every key in it has more than `rows_per_chunk` rows and about rows / rows_per_chunk
+    cuts, so keys and cuts together stay below 3 * total rows / rows_per_chunk: small enough
+    to broadcast.
     """
 
     keys: tuple[str, ...]
@@ -47,6 +48,10 @@ class HotKeys:
         frame = self.frame.withColumnsRenamed(dict(zip(self.keys, keys, strict=True)))
         return HotKeys(keys, self.position, frame, self.chunks)
 
+    def along(self, *position: str) -> HotKeys:
+        """The same keys for rows in another order; not for keys that were cut."""
+        return HotKeys(self.keys, position, self.frame, self.chunks)
+
 
 def position_value(columns: Sequence[str]) -> Column:
     """One or two non-negative integer columns as a double that never decreases along them."""
@@ -80,25 +85,40 @@ def find_hot_keys(
     keys: Sequence[str],
     position: Sequence[str],
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    among: DataFrame | None = None,
 ) -> HotKeys | None:
     """Keys with more than `rows_per_chunk` rows, or None where there are none.
 
-    Runs one count per key (combined before the shuffle), and only if a key is hot
-    a second pass over those keys for the cutting points.
+    One count per key, combined before the shuffle. Where it is known which keys can be hot
+    (`among`, see `heavy_keys`), only their rows are counted.
     """
-    hot = _counted(df, keys, rows_per_chunk)
-    if not hot:
+    if among is not None:
+        df = join_small(df.select(*keys), among, keys, "left_semi")
+    return hot_keys_of(df, keys, position, _counted(df, keys, rows_per_chunk), rows_per_chunk)
+
+
+def hot_keys_of(
+    df: DataFrame, keys: Sequence[str], position: Sequence[str], counted: Sequence, rows_per_chunk: int
+) -> HotKeys | None:
+    """Hot keys from rows of the keys' values and their number of rows, `_n`."""
+    if not counted:
         return None
+    schema = T.StructType([df.schema[k] for k in keys])
+    named = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in counted], schema)
+    chunks = sum(-(-r["_n"] // rows_per_chunk) for r in counted)
+    return HotKeys(tuple(keys), tuple(position), named, chunks)
+
 
-    spark = df.sparkSession
-    fields = [df.schema[k] for k in keys]
-    named = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], T.StructType(fields))
+def cut_keys(df: DataFrame, hot: HotKeys) -> HotKeys:
+    """The same keys with the positions at which each is cut into ranges of about equal size.
+
+    One pass over the hot keys' rows; equal positions stay together.
+    """
+    keys = hot.keys
     located = join_small(
-        df.select(*keys, position_value(position).alias("_pos")), named, keys, "left_semi"
+        df.select(*keys, position_value(hot.position).alias("_pos")), hot.frame, keys, "left_semi"
     )
-    # ranges of about equal size, whatever the number of cuts; equal positions stay together
-    chunks = sum(-(-r["_n"] // rows_per_chunk) for r in hot)
-    ranged = located.repartitionByRange(chunks, *keys, "_pos").select(
+    ranged = located.repartitionByRange(hot.chunks, *keys, "_pos").select(
         *keys, "_pos", F.spark_partition_id().alias("_range")
     )
     measured = (
@@ -109,11 +129,12 @@ def find_hot_keys(
         .select(*keys, F.slice("_lows", 2, 2**31 - 1).alias("_fine"))
         .collect()
     )
-    frame = spark.createDataFrame(
+    levels = T.StructField(_CUTS, T.ArrayType(T.ArrayType(T.DoubleType())))
+    frame = df.sparkSession.createDataFrame(
         [(*r[:-1], _levels(r["_fine"])) for r in measured],
-        T.StructType(fields + [T.StructField(_CUTS, T.ArrayType(T.ArrayType(T.DoubleType())))]),
+        T.StructType([df.schema[k] for k in keys] + [levels]),
     )
-    return HotKeys(tuple(keys), tuple(position), frame, chunks)
+    return HotKeys(keys, hot.position, frame, hot.chunks)
 
 
 def _levels(cuts: list[float]) -> list[list[float]]:

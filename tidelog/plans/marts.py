@@ -19,6 +19,7 @@ from tidelog.operators import (
     as_of_join,
     find_hot_facts,
     find_hot_keys,
+    join_small,
     large_keys,
     latest_state,
     number_events,
@@ -31,6 +32,7 @@ from tidelog.operators import (
 )
 from tidelog.operators.ordered import ROWS_PER_CHUNK
 from tidelog.schemas import IMAGES, MONEY, UNKNOWN, UNMATCHED
+from tidelog.sources.heavy import Heavy
 
 ADDRESS = ["zip_code_prefix", "city", "state"]
 
@@ -178,19 +180,42 @@ def dim_seller(stg_sellers: DataFrame) -> DataFrame:
 # --- facts -------------------------------------------------------------------
 
 
+def _item_totals(items: DataFrame, busy: DataFrame | None) -> DataFrame:
+    """Counts and money of each order's items.
+
+    Sellers and products are gathered as sets, deduplicated in every task before the one
+    shuffle. The sets of an order with very many items (`busy`) could outgrow a task: those
+    are counted by shuffling their distinct values.
+    """
+
+    def totals(part: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
+        return part.groupBy("order_id").agg(
+            F.count(F.lit(1)).alias("item_count"),
+            distinct("seller_id").alias("seller_count"),
+            distinct("product_id").alias("product_count"),
+            F.sum("price").alias("gross_price"),
+            F.sum("freight_value").alias("gross_freight"),
+            F.sum(F.col("price") + F.col("freight_value")).alias("order_total"),
+            F.lit(True).alias("_has_items"),
+        )
+
+    def in_set(column: str) -> Column:
+        return F.size(F.collect_set(column)).cast("bigint")
+
+    if busy is None:
+        return totals(items, in_set)
+    few, many = (join_small(items, busy, ["order_id"], how) for how in ("left_anti", "left_semi"))
+    return totals(few, in_set).unionByName(totals(many, F.countDistinct))
+
+
 def fct_orders(
-    int_orders_current: DataFrame, stg_order_items: DataFrame, dim_order_status_history: DataFrame
+    int_orders_current: DataFrame,
+    stg_order_items: DataFrame,
+    dim_order_status_history: DataFrame,
+    busy_orders: DataFrame | None = None,
 ) -> DataFrame:
     """One row per live order, with or without items."""
-    items = stg_order_items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("item_count"),
-        F.countDistinct("seller_id").alias("seller_count"),
-        F.countDistinct("product_id").alias("product_count"),
-        F.sum("price").alias("gross_price"),
-        F.sum("freight_value").alias("gross_freight"),
-        F.sum(F.col("price") + F.col("freight_value")).alias("order_total"),
-        F.lit(True).alias("_has_items"),
-    )
+    items = _item_totals(stg_order_items, busy_orders)
     history = dim_order_status_history.groupBy("order_id").agg(
         F.max("total_status_versions").alias("status_versions"),
         F.count_if("is_shipped_before_approved").alias("_inverted"),
@@ -337,7 +362,8 @@ class Marts:
     written there as Parquet the first time they are needed and read back; without, all
     models are composed lazily. With `store_views` the staged views are written as well:
     several models and checks read them, and each reading would decode the JSON images
-    again. `on_delete` is passed to the history dimensions.
+    again. `on_delete` is passed to the history dimensions. `heavy` (see `heavy_keys`) saves
+    counting all keys.
     """
 
     log: DataFrame | Mapping[str, DataFrame]
@@ -345,18 +371,28 @@ class Marts:
     rows_per_chunk: int = ROWS_PER_CHUNK
     on_delete: str = "close"
     store_views: bool = False
+    heavy: Mapping[str, Heavy] = field(default_factory=dict)
     _built: dict[str, DataFrame] = field(default_factory=dict, repr=False)
-    _hot: dict[str, HotKeys | None] = field(default_factory=dict, repr=False)
+    _hot: dict[str, HotKeys | DataFrame | None] = field(default_factory=dict, repr=False)
 
     def source(self, table: str) -> DataFrame:
         part = self.log if isinstance(self.log, DataFrame) else self.log[table]
         return part.filter(F.col("source_table") == table)
 
     def hot_keys(self, table: str) -> HotKeys | None:
-        """Keys with too many events for one task; measured once per table."""
+        """Keys with too many events for one task; measured once per table.
+
+        Where the log's summaries name all that can be, no others are counted.
+        """
         if table not in self._hot:
             events = ordered_events(self.source(table), table)
-            self._hot[table] = find_hot_keys(events, ["pk"], ORDER, self.rows_per_chunk)
+            known = self.heavy.get(table)
+            if known is not None and known.sure and known.limit <= self.rows_per_chunk:
+                among = known.among(events.sparkSession, "pk") if known.keys else None
+                hot = among and find_hot_keys(events, ["pk"], ORDER, self.rows_per_chunk, among)
+            else:
+                hot = find_hot_keys(events, ["pk"], ORDER, self.rows_per_chunk)
+            self._hot[table] = hot
         return self._hot[table]
 
     def ref(self, name: str) -> DataFrame:
@@ -390,10 +426,17 @@ class Marts:
             options["on_delete"] = self.on_delete
         if name == "fct_order_items":
             options["hot_facts"] = self.hot_facts()
+        if name in ("fct_orders", "fct_order_items"):
+            options["busy_orders"] = self.busy_orders()
+        return model.build(*[self.ref(i) for i in model.inputs], **options)
+
+    def busy_orders(self) -> DataFrame | None:
+        """Orders with too many items for one task; measured once."""
+        if "busy" not in self._hot:
             order_id = F.split_part("pk", F.lit(":"), F.lit(1)).alias("order_id")
             items = self.source("order_item").select(order_id)
-            options["busy_orders"] = large_keys(items, ["order_id"], self.rows_per_chunk)
-        return model.build(*[self.ref(i) for i in model.inputs], **options)
+            self._hot["busy"] = large_keys(items, ["order_id"], self.rows_per_chunk)
+        return self._hot["busy"]
 
     def hot_facts(self) -> HotKeys | None:
         """Customers with too many orders and versions for one task; measured once."""

@@ -10,8 +10,10 @@ from tidelog.quality.checks import (
 from tidelog.quality.gate import GateFailure, Suite, run_gate
 from tidelog.quality.history import (
     as_of_no_fan_out,
+    history_checks,
     no_gaps_or_overlaps,
     one_current,
+    opening_events,
     versions_match_log,
 )
 from tidelog.quality.logs import (
@@ -48,6 +50,7 @@ __all__ = [
     "expression_is_true",
     "fact_reconciles_to_log",
     "facts_reconcile",
+    "history_checks",
     "log_gaps",
     "log_matches_source",
     "no_duplicate_generations",
@@ -56,6 +59,7 @@ __all__ = [
     "offset_gaps",
     "one_current",
     "op_reconcile",
+    "opening_events",
     "order_key_sound",
     "profile",
     "relationships",

@@ -15,12 +15,7 @@ from tidelog.quality.checks import (
     value_rule,
 )
 from tidelog.quality.gate import Suite, run_gate
-from tidelog.quality.history import (
-    as_of_no_fan_out,
-    no_gaps_or_overlaps,
-    one_current,
-    versions_match_log,
-)
+from tidelog.quality.history import as_of_no_fan_out, history_checks, opening_events
 from tidelog.quality.logs import deleted_do_not_reappear, no_duplicate_generations, order_key_sound, union_all
 from tidelog.quality.totals import fact_reconciles_to_log, facts_reconcile
 from tidelog.schemas import OPS, ORDER_STATUSES, TABLES
@@ -99,6 +94,12 @@ CURRENT_STATE = {
     "order_item": ("fct_order_items", ["order_id", "order_item_id"]),
 }
 
+# history: key, source table, and the events that its versions are counted against
+HISTORIES = {
+    "dim_customer": ("customer_unique_id", "customer", "stg_customer_events"),
+    "dim_order_status_history": ("order_id", "order", None),
+}
+
 # An event that ends a row has no image; these columns are known on all others.
 NULL_ON_DELETE = {
     "stg_customer_events": ["city", "state"],
@@ -135,44 +136,52 @@ def table_checks(marts: Marts, name: str, suite: Suite | None = None) -> Suite:
         suite.add(f"{name}.unique_{column}", unique(df, column))
     if name in UNIQUE_COMBINATION:
         columns = UNIQUE_COMBINATION[name]
-        suite.add(f"{name}.unique_{'_'.join(columns)}", unique_combination(df, columns))
+        label = f"{name}.unique_{'_'.join(columns)}"
+        if name in HISTORIES:
+            _history_checks(marts, name, label, suite)
+        else:
+            suite.add(label, unique_combination(df, columns))
     for column, parent, parent_column in RELATIONSHIPS.get(name, []):
         orphans = relationships(df, column, marts.ref(parent), parent_column)
         suite.add(f"{name}.relationship_{column}", orphans)
     return suite
 
 
+def _history_checks(marts: Marts, name: str, repeated: str, suite: Suite) -> None:
+    """All that is said of a history, in one pass over it."""
+    key, source, events = HISTORIES[name]
+    names = {
+        "current": "exactly_one_current_version",
+        "tiling": "windows_have_no_gaps_or_overlaps",
+        "repeated": repeated,
+    }
+    opening = None
+    if events:
+        names["versions"] = "version_counts_match_log"
+        opening = opening_events(marts.ref(events), marts.on_delete)
+    # versions of a key are no more than its events, so its events say whether it is hot
+    hot = marts.hot_keys(source)
+    counts = history_checks(marts.ref(name), key, names, hot and hot.named(key), opening)
+    suite.add_counted(list(names.values()), counts)
+
+
 def invariant_checks(marts: Marts, suite: Suite | None = None) -> Suite:
     """Checks that span tables."""
     suite = suite or Suite()
     log = whole_log(marts)
-    customers, history = marts.ref("dim_customer"), marts.ref("dim_order_status_history")
+    customers, person = marts.ref("dim_customer"), "customer_unique_id"
     orders, items = marts.ref("fct_orders"), marts.ref("fct_order_items")
-    person, both = "customer_unique_id", [("dim_customer", "customer_unique_id")]
-    both.append(("dim_order_status_history", "order_id"))
 
     suite.add("no_duplicate_generations", no_duplicate_generations(log))
     models = {t: (m, marts.ref(m), keys) for t, (m, keys) in CURRENT_STATE.items()}
     suite.add("deleted_rows_do_not_reappear", deleted_do_not_reappear(log, models))
     suite.add("fct_orders_reconciles_to_log", fact_reconciles_to_log(log, "order", orders))
     suite.add("facts_reconcile", facts_reconcile(orders, items))
-    frames = {"dim_customer": customers, "dim_order_status_history": history}
-    suite.add(
-        "exactly_one_current_version", union_all([one_current(frames[m], k, m) for m, k in both])
-    )
-    suite.add(
-        "windows_have_no_gaps_or_overlaps",
-        union_all(
-            [no_gaps_or_overlaps(frames[m], k, m, marts.rows_per_chunk) for m, k in both]
-        ),
-    )
     resolved = as_of_no_fan_out(
         marts.ref("int_orders_current"), "order_id", customers, person, "purchased_at",
         hot=marts.hot_facts(),
     )
     suite.add("as_of_join_does_not_fan_out", resolved)
-    events = marts.ref("stg_customer_events")
-    suite.add("version_counts_match_log", versions_match_log(events, customers, person, marts.on_delete))
     return suite
 
 

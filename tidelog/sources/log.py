@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tidelog.schemas import EVENT_LOG
 from tidelog.sources.commits import Committed, Folder, Version, complete, merge_candidates, merged_ranges
+from tidelog.sources.heavy import merge_summaries, summarise
 
 POSITION = ["topic", "partition", "kafka_offset"]
 KIND = "kind"
@@ -99,7 +100,7 @@ def _new_rows(table: Committed, name: str | None, seen: Iterable[Folder]) -> tup
 
 
 def _has_rows(table: Committed, name: str) -> bool:
-    return table._exists(table.place(name) + ROWS)
+    return table.exists(table.place(name) + ROWS)
 
 
 def write_events(events: DataFrame, path: str) -> str | None:
@@ -129,6 +130,7 @@ def commit_events(
         if not rows and not side:
             return None
         folder = Folder(name, load, batch_id, rows, ranges=ranges, side=side)
+        summarise(table, name, name and _written(table, name))
         after = table.publish(seen, added=[folder])
         if after:
             return after
@@ -159,6 +161,7 @@ def rebuild(
     # repeated messages within the new rows are left out
     name, rows, ranges = _new_rows(table, name, [])
     new = Folder(name, "rebuild", 0, rows, ranges=ranges, side=side)
+    summarise(table, name, name and _written(table, name))
     carried: dict[str | None, list[Folder]] = {}
     while True:
         seen = table.newest()
@@ -169,6 +172,7 @@ def rebuild(
             if folder.name not in carried or folder.name is None:
                 kept, n, left = _new_rows(table, folder.name, [new])
                 own = Folder(kept, folder.writer, folder.batch, n, ranges=left, side=folder.side)
+                summarise(table, kept, kept and _written(table, kept))
                 carried[folder.name] = [own] if n or folder.side else []
         added = [new, *(f for folder in late for f in carried[folder.name])]
         after = table.publish(
@@ -207,6 +211,7 @@ def compact_log(spark: SparkSession, path: str) -> int:
         name = None
         if rows is not None:
             name = table.write(rows.withColumn(KIND, F.lit("event")), [KIND, "source_table"])
+            merge_summaries(table, few, name)
         one = Folder(
             name,
             "merge",
