@@ -14,7 +14,9 @@ documents of each chunk.
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -35,6 +37,11 @@ STEP_BYTES = 1 << 20
 # groups with more links are counted by distinct ids
 LARGE = 1 << 12
 BITMAP_BYTES = CHUNK_ROWS // 8
+# distinct parts of texts whose ids a task remembers, and the longest of them
+CACHED, CACHED_CHARS = 300_000, 64
+# between a Latin letter and a space with another after it, a byte-level vocabulary's pattern
+# always splits: a space belongs to the word that it precedes
+_BORDER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?= [A-Za-zÀ-ÖØ-öø-ÿ])")
 CHUNKS = (
     "chunk long, a int, b int, planes array<binary>, docs long, links long, "
     "nth int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -70,20 +77,39 @@ class Pair:
             pieces.append(bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.bytes_a, self.bytes_b = tokens, pieces
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (tokens, pieces))
+        self.known: dict[str, tuple[int, ...] | None] = {}
+
+    def _of_a(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids by the byte-level vocabulary; None where their bytes are not the text's.
+
+        The parts of a text between safe borders are encoded apart, and each once.
+        """
+        parts = [_BORDER.split(t) for t in texts]
+        known = self.known
+        if len(known) > CACHED:
+            known.clear()
+        new = list({p for own in parts for p in own if p not in known})
+        fresh = {}
+        for part, found in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
+            ids = tuple(found.ids)
+            ids = ids if b"".join([self.bytes_a[i] for i in ids]) == part.encode() else None
+            (known if len(part) <= CACHED_CHARS else fresh)[part] = ids
+        out = []
+        for own in parts:
+            ids = [known[p] if p in known else fresh[p] for p in own]
+            out.append(None if None in ids else np.fromiter(chain.from_iterable(ids), np.int64))
+        return out
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each text by either; none where the bytes of one are not those of the text."""
         full = [" " + t for t in texts]
-        ids_a = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(full, add_special_tokens=False)]
-        ids_b = [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)] if texts else []
+        ids_a = self._of_a(full)
+        ids_b = self.b.encode(texts, num_threads=1) if texts else []
         none = np.zeros(0, np.int64)
         for i, text in enumerate(full):
-            data = text.encode()
-            same = len(data) > 1 and all(
-                b"".join([known[t] for t in ids[i].tolist()]) == data
-                for known, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))
-            )
-            if not same:
+            if len(text) > 1 and ids_a[i] is not None and b"".join([self.bytes_b[t] for t in ids_b[i]]) == text.encode():
+                ids_b[i] = np.array(ids_b[i], np.int64)
+            else:
                 ids_a[i] = ids_b[i] = none
         return ids_a, ids_b
 
@@ -96,8 +122,10 @@ def _pair(byte_bpe: str, piece_bpe: str) -> Pair:
 def align(ids_a: np.ndarray, ids_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(group of each token of a, of each of b, byte at which each group ends)."""
     end_a, end_b = np.cumsum(size_a[ids_a]), np.cumsum(size_b[ids_b])
-    ends = np.intersect1d(end_a, end_b)
-    return np.searchsorted(ends, end_a), np.searchsorted(ends, end_b), ends
+    # both rise and end with the last byte
+    both = end_b[np.searchsorted(end_b, end_a)] == end_a
+    ends = end_a[both]
+    return np.cumsum(both) - both, np.searchsorted(ends, end_b), ends
 
 
 def _digits(ids_a: np.ndarray, ids_b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +188,7 @@ def _bitmap(packed: bytes) -> np.ndarray:
 
 def _planes(pairs: np.ndarray, docs: np.ndarray, links: np.ndarray) -> dict[str, pa.Array]:
     """Columns a, b, planes, docs and links of each distinct pair of a chunk."""
-    order = np.lexsort((docs, pairs))
+    order = np.argsort(pairs * CHUNK_ROWS + docs, kind="stable")
     pairs, docs, links = pairs[order], docs[order], links[order]
     new = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]) | (docs[1:] != docs[:-1])))
     total = np.add.reduceat(links, new)
