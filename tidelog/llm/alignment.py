@@ -88,16 +88,17 @@ class Pair:
         known = self.known
         if len(known) > CACHED:
             known.clear()
-        new = list({p for own in parts for p in own if p not in known})
-        fresh = {}
+        new = list(set().union(*parts) - known.keys())
         for part, found in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
             ids = tuple(found.ids)
-            ids = ids if b"".join([self.bytes_a[i] for i in ids]) == part.encode() else None
-            (known if len(part) <= CACHED_CHARS else fresh)[part] = ids
+            known[part] = ids if b"".join([self.bytes_a[i] for i in ids]) == part.encode() else None
         out = []
         for own in parts:
-            ids = [known[p] if p in known else fresh[p] for p in own]
+            ids = [*map(known.get, own)]
             out.append(None if None in ids else np.fromiter(chain.from_iterable(ids), np.int64))
+        for part in new:
+            if len(part) > CACHED_CHARS:
+                del known[part]
         return out
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -198,26 +199,28 @@ def _planes(pairs: np.ndarray, docs: np.ndarray, links: np.ndarray) -> dict[str,
     size = ends - first
     largest = np.maximum.reduceat(total, first)
     levels = np.frexp(largest.astype(float))[1]
-    out_docs, out_links = size.astype(np.int64), np.add.reduceat(total, first)
-    # most pairs have one plane and few documents: their numbers lie next to each other already
+    # most pairs have one plane and few documents, whose numbers lie next to each other already
     plain = (levels == 1) & (2 * size < BITMAP_BYTES)
-    raw = docs.astype("<u2").tobytes()
-    packed, counts = [], np.ones(len(first), np.int64)
-    for i, (x, y) in enumerate(zip(first.tolist(), ends.tolist())):
-        if plain[i]:
-            packed.append(raw[2 * x : 2 * y])
-            continue
-        held, at = total[x:y], docs[x:y]
-        counts[i] = levels[i]
-        packed += [_packed(at[(held >> k & 1) > 0]) for k in range(levels[i])]
-    planes = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(packed, pa.binary()))
-    own = pairs[first]
+    few, many = np.flatnonzero(plain), np.flatnonzero(~plain)
+    places = np.append(0, 2 * np.cumsum(size[few])).astype(np.int32)
+    numbers = docs[np.repeat(plain, size)].astype("<u2")
+    alone = pa.Array.from_buffers(pa.binary(), len(few), [None, pa.py_buffer(places), pa.py_buffer(numbers)])
+    packed = [
+        _packed(docs[x:y][(total[x:y] >> k & 1) > 0])
+        for x, y, n in zip(first[many].tolist(), ends[many].tolist(), levels[many].tolist())
+        for k in range(n)
+    ]
+    counts = np.concatenate([np.ones(len(few), np.int64), levels[many]])
+    order = np.concatenate([few, many])
+    own = pairs[first[order]]
     return {
         "a": pa.array(own >> 16, pa.int32()),
         "b": pa.array(own & 0xFFFF, pa.int32()),
-        "planes": planes,
-        "docs": pa.array(out_docs),
-        "links": pa.array(out_links),
+        "planes": pa.ListArray.from_arrays(
+            pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.concat_arrays([alone, pa.array(packed, pa.binary())])
+        ),
+        "docs": pa.array(size[order].astype(np.int64)),
+        "links": pa.array(np.add.reduceat(total, first)[order]),
     }
 
 
