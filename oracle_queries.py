@@ -616,6 +616,10 @@ FROM ce""",
     "stream_scd2_incremental": STATUS_VERSIONS_CLOSE,
     "stream_latest_state": LATEST,
     "stream_latest_after_rebuild": LATEST,
+    "stream_latency_sketch": """
+SELECT op, count(*) AS events, min(ms) AS min_ms, max(ms) AS max_ms, CAST(sum(ms) AS BIGINT) AS sum_ms,
+       TRUE AS p50_ms_is_close, TRUE AS p95_ms_is_close, TRUE AS p99_ms_is_close
+FROM (SELECT op, event_ms - changed_ms AS ms FROM oe WHERE changed_ms IS NOT NULL) GROUP BY 1""",
 }
 
 

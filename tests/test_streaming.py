@@ -20,7 +20,8 @@ from tidelog.sources import (
     valid_events,
     write_messages,
 )
-from tidelog.quality import log_gaps, offset_gaps
+from tidelog.quality import latency_quantiles, latency_summary, log_gaps, merge_latency, offset_gaps
+from tidelog.quality.totals import RANK_ERROR
 from tidelog.sources.commits import TIER, Committed, Folder, merge_candidates, merged_ranges
 from tidelog.sources.log import commit_events, rebuild, write_events
 from tidelog.streaming import (
@@ -28,9 +29,11 @@ from tidelog.streaming import (
     follow_log,
     keep_history,
     keep_latest,
+    keep_summary,
     read_history,
     read_latest,
     read_quarantine,
+    read_summary,
     rebuild_log,
     tail,
 )
@@ -400,3 +403,25 @@ def test_states_follow_the_current_generation_only(spark, sf_dir, tmp_path):
     append_log(events, path)
     follow_log(spark, path, f"{tmp_path}/state", kept)
     holds(events)
+
+
+def test_latency_summaries_merge_to_exact_totals_and_close_quantiles(spark, staged, tmp_path):
+    n = TIER + 2
+    for i in range(n):
+        part = staged.filter(F.expr(f"pmod(hash(kafka_offset), {n})") == i)
+        keep_summary(part, i, str(tmp_path), latency_summary, merge_latency)
+        keep_summary(part, i, str(tmp_path), latency_summary, merge_latency)
+    keep_summary(staged.limit(0), n, str(tmp_path), latency_summary, merge_latency)
+    assert len(Committed(spark, str(tmp_path)).newest().folders) < n
+    kept = latency_quantiles(read_summary(spark, str(tmp_path), ddl(latency_summary(staged)), merge_latency))
+    exact = {}
+    for r in staged.filter("changed_at IS NOT NULL").select("op", F.expr("unix_millis(event_at) - unix_millis(changed_at) AS ms")).collect():
+        exact.setdefault(r.op, []).append(r.ms)
+    rows_ = {r.op: r for r in kept.collect()}
+    assert set(rows_) == set(exact)
+    for op, ms in exact.items():
+        r = rows_[op]
+        assert (r.events, r.min_ms, r.max_ms, r.sum_ms) == (len(ms), min(ms), max(ms), sum(ms))
+        for got, rank in ((r.p50_ms, 0.5), (r.p95_ms, 0.95), (r.p99_ms, 0.99)):
+            assert sum(x < got for x in ms) / len(ms) <= rank + RANK_ERROR
+            assert sum(x <= got for x in ms) / len(ms) >= rank - RANK_ERROR

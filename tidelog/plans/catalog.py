@@ -31,10 +31,11 @@ from tidelog.operators import (
 from tidelog.operators.ordered import ROWS_PER_CHUNK
 from tidelog.plans import marts as m
 from tidelog.plans import replay, retail
+from tidelog.plans.kept import KEPT
 from tidelog.plans.marts import ADDRESS, Marts
 from tidelog.quality import contracts
 from tidelog.quality.logs import union_all
-from tidelog.quality.totals import total_drift
+from tidelog.quality.totals import RANK_ERROR, total_drift
 from tidelog.schemas import CSV_TABLES, ORDER_STATUSES, TABLES
 from tidelog.session import scratch_dir
 from tidelog.sources import (
@@ -1010,7 +1011,7 @@ def log_offset_gaps(spark, sf_dir):
 
 # --- states that follow the log ------------------------------------------------------------
 
-STATUS_HISTORY = Kept(m.order_events, ["order_id"], build=m.dim_order_status_history)
+STATUS_HISTORY, ORDER_LATENCY = KEPT["dim_order_status_history"], KEPT["order_latency"]
 LATEST_ORDERS = Kept(m.order_events, ["order_id"], ORDER)
 
 
@@ -1051,3 +1052,21 @@ def stream_latest_after_rebuild(spark, sf_dir):
     follow_log(spark, f"{root}/log", f"{root}/state", {"kept": LATEST_ORDERS})
     state = LATEST_ORDERS.read(spark, f"{root}/state/kept", read_log(spark, f"{root}/log"))
     return state.select("order_id", "order_status", "lsn", "kafka_offset")
+
+
+@query
+def stream_latency_sketch(spark, sf_dir):
+    """Delays of order events, summed up batch by batch; quantiles hold to within the sketch's error of rank."""
+    merged = q.latency_quantiles(_followed(spark, sf_dir, ORDER_LATENCY))
+    events = m.order_events(_order_log(spark, sf_dir)).filter("changed_at IS NOT NULL")
+    exact = events.select("op", (F.unix_millis("event_at") - F.unix_millis("changed_at")).alias("ms"))
+    ranks = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    met = exact.join(F.broadcast(merged), "op").groupBy("op", "events", "min_ms", "max_ms", "sum_ms").agg(
+        *[F.avg((F.col("ms") < F.col(p)).cast("int")).alias(f"below_{p}") for p in ranks],
+        *[F.avg((F.col("ms") <= F.col(p)).cast("int")).alias(f"upto_{p}") for p in ranks],
+    )
+    close = [
+        ((F.col(f"below_{p}") <= r + RANK_ERROR) & (F.col(f"upto_{p}") >= r - RANK_ERROR)).alias(f"{p}_is_close")
+        for p, r in ranks.items()
+    ]
+    return met.select("op", "events", "min_ms", "max_ms", "sum_ms", *close)

@@ -33,6 +33,9 @@ from tidelog.quality.totals import (
     distribution_drift,
     fact_reconciles_to_log,
     facts_reconcile,
+    latency_quantiles,
+    latency_summary,
+    merge_latency,
     profile,
 )
 
@@ -51,8 +54,11 @@ __all__ = [
     "fact_reconciles_to_log",
     "facts_reconcile",
     "history_checks",
+    "latency_quantiles",
+    "latency_summary",
     "log_gaps",
     "log_matches_source",
+    "merge_latency",
     "no_duplicate_generations",
     "no_gaps_or_overlaps",
     "not_null",

@@ -4,8 +4,10 @@ from tidelog.streaming.upkeep import (
     follow_log,
     keep_history,
     keep_latest,
+    keep_summary,
     read_history,
     read_latest,
+    read_summary,
 )
 
 __all__ = [
@@ -13,9 +15,11 @@ __all__ = [
     "follow_log",
     "keep_history",
     "keep_latest",
+    "keep_summary",
     "read_history",
     "read_latest",
     "read_quarantine",
+    "read_summary",
     "rebuild_log",
     "tail",
 ]
