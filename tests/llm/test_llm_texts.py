@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -152,6 +153,29 @@ def test_model_is_a_distribution_and_carries_state():
     assert np.allclose(a, b, atol=1e-3) and np.allclose(a, alone, atol=1e-3)
 
 
+def test_a_long_text_takes_memory_by_its_tokens():
+    vocab = language_model.Vocabulary(np.arange(1, 200, dtype=np.uint64), np.full(199, 5.0), np.arange(199), 995, 250)
+    model = language_model.Model(vocab)
+    rng = np.random.default_rng(2)
+    lengths = np.array([60_000, *[100] * 255])
+    ids = rng.integers(0, 199, lengths.sum()).astype(np.int32)
+    tracemalloc.start()
+    scored = language_model._run(model, ids, lengths, 256, 64, False, 0.0)
+    language_model._run(model, ids, lengths, 256, 64, True, 0.002)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # a grid of the longest text by all lanes would take 60,000 * 256 * 5 bytes and as much again for scores
+    assert len(scored) == len(ids) and peak < 60e6
+
+
+def test_first_weights_come_from_a_bounded_number_of_tokens(spark):
+    vocab = language_model.Vocabulary(np.arange(1, 200, dtype=np.uint64), np.full(199, 5.0), np.arange(199), 995, 250)
+    shared = spark.sparkContext.broadcast(vocab)
+    docs = spark.createDataFrame([("a b c " * 50,)] * 9, "text string").coalesce(1)
+    parts = language_model._trained(docs, shared, None, 64, 32, 0.01, 1, 400)
+    assert {r.weight for r in parts.select("weight").distinct().collect()} == {400.0}
+
+
 def test_gradients():
     vocab = language_model.Vocabulary(np.arange(1, 200, dtype=np.uint64), np.full(199, 5.0), np.arange(199), 995, 250)
     model = language_model.Model(vocab)

@@ -9,8 +9,8 @@ to one over the vocabulary and one unknown token.
 
 The state starts at zero with a text and is carried through all of it, window by window;
 gradients are truncated at the window's start. Texts run side by side in lanes. Training
-has two steps: starting weights from at most `first_texts` texts in one task, then one
-pass over all training texts, in which each task runs the state through its texts, takes
+has two steps: starting weights from at most `first_texts` texts and `first_tokens` tokens of
+them in one task, then one pass over all training texts, in which each task runs the state through its texts, takes
 a gradient step in every window, and the tasks' weights are averaged by tokens.
 Counts of the KNOWN most frequent tokens and the weights are broadcast (a few megabytes,
 however large the corpus); counts of all other tokens are joined.
@@ -36,6 +36,8 @@ CLASS_SIZE = 64
 RARE_INPUTS = 64
 HIDDEN = 16
 FIRST_TEXTS = 3000
+FIRST_TOKENS = 3_000_000
+SCORED_LANES = 1024
 SEED = 20240401
 END = mix(np.array([0xE0D], np.uint64))[0]
 FLAT = "n_tokens long, known long, rare long, log_model double, log_counts double, log_rare_counts double"
@@ -256,47 +258,49 @@ def _lanes(lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.
     return new[lane], place, load[rank]
 
 
-def _grid(ids: np.ndarray, lengths: np.ndarray, width: int):
-    """(tokens, first-of-text marks, lanes in use) by time, and each token's (time, lane)."""
+def _laid(ids: np.ndarray, lengths: np.ndarray, width: int):
+    """Tokens lane after lane: (tokens, first-of-text marks, start of lanes, their lengths, place of each token).
+
+    Takes as much memory as there are tokens, however long the longest text is.
+    """
     lane, place, load = _lanes(lengths, width)
-    starts = np.cumsum(lengths) - lengths
-    when = np.arange(len(ids)) - np.repeat(starts - place, lengths)
-    where = np.repeat(lane, lengths)
-    tokens = np.zeros((int(load[0]), len(load)), np.int32)
-    fresh = np.zeros(tokens.shape, bool)
-    tokens[when, where] = ids
-    fresh[place, lane] = True
-    active = np.searchsorted(-load, -np.arange(len(tokens)), "left")
-    return tokens, fresh, active, when, where
+    start = np.cumsum(load) - load
+    first = start[lane] + place
+    at = np.arange(len(ids)) + np.repeat(first - (np.cumsum(lengths) - lengths), lengths)
+    tokens, fresh = np.empty(len(ids), np.int32), np.zeros(len(ids), bool)
+    tokens[at] = ids
+    fresh[first] = True
+    return tokens, fresh, start, load, at
 
 
 def _run(model: Model, ids: np.ndarray, lengths: np.ndarray, width: int, span: int, learn: bool, rate: float) -> np.ndarray | None:
     """Carry the state through all texts; learn in every window, or give log probabilities."""
-    tokens, fresh, active, when, where = _grid(ids, lengths, width)
-    out = None if learn else np.zeros(tokens.shape, np.float32)
-    h = np.zeros((tokens.shape[1], HIDDEN), np.float32)
-    for at in range(0, len(tokens), span):
-        end = min(at + span, len(tokens))
+    tokens, fresh, start, load, places = _laid(ids, lengths, width)
+    out = None if learn else np.zeros(len(tokens), np.float32)
+    h = np.zeros((len(load), HIDDEN), np.float32)
+    for at in range(0, int(load[0]), span):
+        times = np.arange(at, min(at + span, int(load[0])))
+        # lanes are sorted by length, so those that still hold tokens are the first ones
+        active = np.searchsorted(-load, -times, "left")
+        n = active[0]
+        here = np.minimum(start[:n] + times[:, None], len(tokens) - 1)
         if learn:
             # a window of few tokens moves the weights less: long texts run on alone at the end
-            n, share = active[at], active[at:end].sum() / (span * tokens.shape[1])
-            h = model.learn(h[:n], tokens[at:end, :n], fresh[at:end, :n], rate * share, active[at:end])
+            share = active.sum() / (span * len(load))
+            h = model.learn(h[:n], tokens[here], fresh[here], rate * share, active)
             continue
         states, targets = [], []
-        for t in range(at, end):
-            n = active[t]
-            h = h[:n]
-            if fresh[t, :n].any():
-                h = np.where(fresh[t, :n, None], np.float32(0), h)
+        for row, n in zip(here, active):
+            h, now = h[:n], row[:n]
+            starts = fresh[now]
+            if starts.any():
+                h = np.where(starts[:, None], np.float32(0), h)
             states.append(h)
-            targets.append(tokens[t, :n])
-            h, _ = model.step(h, tokens[t, :n])
-        found = model.outputs(np.concatenate(states), np.concatenate(targets))
-        first = 0
-        for t in range(at, end):
-            out[t, : active[t]] = found[first : first + active[t]]
-            first += active[t]
-    return None if learn else out[when, where]
+            targets.append(tokens[now])
+            h, _ = model.step(h, targets[-1])
+        held = np.arange(here.shape[1]) < active[:, None]
+        out[here[held]] = model.outputs(np.concatenate(states), np.concatenate(targets))
+    return None if learn else out[places]
 
 
 def _batch_ids(vocab: Vocabulary, column: pa.Array):
@@ -307,8 +311,10 @@ def _batch_ids(vocab: Vocabulary, column: pa.Array):
     return tokens, at, _ids(vocab, tokens, at), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
-def _trained(texts: DataFrame, vocab, start: np.ndarray | None, width: int, span: int, rate: float, passes: int) -> DataFrame:
-    """(at, value, weight): each task's weights after its texts, and how many tokens it saw."""
+def _trained(
+    texts: DataFrame, vocab, start: np.ndarray | None, width: int, span: int, rate: float, passes: int, most: int | None = None
+) -> DataFrame:
+    """(at, value, weight): each task's weights after its texts, and how many tokens it saw; `most` bounds them."""
 
     def run(batches):
         model = Model(vocab.value)
@@ -316,8 +322,14 @@ def _trained(texts: DataFrame, vocab, start: np.ndarray | None, width: int, span
             model.unpack(start)
         seen = 0
         for batch in batches:
-            if len(batch):
+            if len(batch) and not (most and seen >= most):
                 _, _, ids, lengths = _batch_ids(vocab.value, batch.column(0))
+                if most and seen + len(ids) > most:
+                    # texts up to the bound, the last of them as far as it goes
+                    ids = ids[: most - seen]
+                    ends = np.minimum(np.cumsum(lengths), len(ids))
+                    lengths = np.diff(ends, prepend=0)
+                    lengths = lengths[lengths > 0]
                 for _ in range(passes):
                     _run(model, ids, lengths, width, span, True, rate)
                 seen += len(ids)
@@ -340,14 +352,20 @@ def _averaged(parts: DataFrame) -> np.ndarray | None:
     return flat
 
 
-def train(spark: SparkSession, docs: DataFrame, vocab: Vocabulary, first_texts: int = FIRST_TEXTS) -> Model:
+def train(
+    spark: SparkSession,
+    docs: DataFrame,
+    vocab: Vocabulary,
+    first_texts: int = FIRST_TEXTS,
+    first_tokens: int = FIRST_TOKENS,
+) -> Model:
     """Weights learned from all rows of docs (doc_id, text); without rows those of no training."""
     shared = spark.sparkContext.broadcast(vocab)
     # hashes are drawn first, so that only the drawn texts travel to the one task
     hashed = docs.select("text", F.xxhash64("doc_id", "text").alias("at"))
     drawn = written(spark, hashed.select("at").distinct().orderBy("at").limit(first_texts), "sample")
     sample = hashed.join(F.broadcast(drawn), "at").dropDuplicates(["at"]).repartition(1)
-    flat = _averaged(_trained(sample.sortWithinPartitions("at"), shared, None, 64, 32, 0.01, 1))
+    flat = _averaged(_trained(sample.sortWithinPartitions("at"), shared, None, 64, 32, 0.01, 1, first_tokens))
     model = Model(vocab)
     if flat is not None:
         more = _averaged(_trained(docs, shared, flat, 256, 64, 0.002, 1))
@@ -372,7 +390,7 @@ def score_texts(spark: SparkSession, docs: DataFrame, model: Model, vocab: Vocab
             tokens, at, ids, lengths = _batch_ids(vocab, batch.column(1))
             text = np.repeat(np.arange(len(lengths)), lengths)
             total = lambda values: np.bincount(text, values, len(lengths))
-            log_model = total(_run(model, ids, lengths, 256, 64, False, 0.0)) / np.log(10)
+            log_model = total(_run(model, ids, lengths, SCORED_LANES, 64, False, 0.0)) / np.log(10)
             found, rare = at >= 0, ids >= WORDS
             logs = np.zeros(len(tokens))
             logs[found] = np.log10(vocab.counts[at[found]] + 0.5)
@@ -409,7 +427,8 @@ def score_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     A null text is empty: its only token is the end. A row without doc_id belongs to no
     fold: held_out is null and it teaches nothing. Repeated rows are scored, and teach, as
-    often as they occur; other columns are not read. If nothing is left to learn from, all
+    often as they occur; other columns are not read. A very long text is one lane from its first
+    token to its end and takes memory in proportion to its tokens. If nothing is left to learn from, all
     tokens are unknown and either score gives each token the probability of the only one
     there is, 1.
     """

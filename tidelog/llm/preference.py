@@ -22,9 +22,11 @@ def conversations(turns: DataFrame) -> DataFrame:
     once, rows without conv_id belong to no conversation. Other columns are not read.
     """
     rows = turns.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text")
-    one = F.array_distinct(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))))
-    return rows.groupBy("conv_id").agg(
-        F.transform(one, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")
+    sorted_ = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("all"))
+    # repeated rows are neighbours now
+    new = F.filter("all", lambda t, i: (i == 0) | ~t.eqNullSafe(F.get("all", i - 1)))
+    return sorted_.select(
+        "conv_id", F.transform(new, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")
     )
 
 
