@@ -6,7 +6,7 @@ log, so decoding is checked as well.
 
 from __future__ import annotations
 
-from tidelog.quality import contracts
+import re
 
 OPEN_END_MS = 253402300799000
 
@@ -684,32 +684,109 @@ SPANNING_CHECKS = {
 }
 
 
+# --- fixed values: what is declared of each table, stated here once more ---------------
+NOT_NULL = """cdc_events source_table op pk
+stg_customer_events customer_unique_id event_seq city state
+stg_order_events order_id order_status purchased_at event_seq
+stg_order_items order_id order_item_id product_id seller_id price
+stg_products product_id
+stg_sellers seller_id
+int_orders_current order_id order_status purchased_at customer_unique_id
+dim_customer customer_key customer_unique_id version valid_from valid_to is_current
+dim_order_status_history order_status_key order_id order_status valid_from valid_to
+dim_seller seller_key seller_id
+dim_product product_key product_id category_name
+fct_orders order_id customer_unique_id order_status item_count status_versions
+fct_order_items order_item_key order_id customer_key product_key seller_key price"""
+UNIQUE = """stg_products product_id
+stg_sellers seller_id
+int_orders_current order_id
+dim_customer customer_key
+dim_order_status_history order_status_key
+dim_seller seller_key seller_id
+dim_product product_key product_id
+fct_orders order_id
+fct_order_items order_item_key"""
+COMBINATIONS = """stg_customer_events customer_unique_id event_seq
+stg_order_events order_id event_seq
+stg_order_items order_id order_item_id
+dim_customer customer_unique_id version
+dim_order_status_history order_id version
+fct_order_items order_id order_item_id"""
+VALUES = """cdc_events source_table customer seller product order order_item
+cdc_events op read insert update delete
+stg_order_events order_status created approved invoiced processing shipped delivered unavailable canceled
+dim_order_status_history order_status created approved invoiced processing shipped delivered unavailable canceled
+fct_orders order_status created approved invoiced processing shipped delivered unavailable canceled"""
+EXPRESSIONS = {
+    "streamed_events_have_lsn": ("cdc_events", "lsn IS NOT NULL OR is_snapshot"),
+    "windows_have_positive_width": ("dim_customer", "valid_to > valid_from"),
+    "windows_never_run_backwards": ("dim_order_status_history", "valid_to >= valid_from"),
+    "duration_is_not_negative": ("dim_order_status_history", "seconds_in_status >= 0 OR seconds_in_status IS NULL"),
+}
+RELATIONSHIPS = """fct_orders customer_unique_id dim_customer customer_unique_id
+fct_order_items order_id fct_orders order_id
+fct_order_items product_key dim_product product_key
+fct_order_items seller_key dim_seller seller_key"""
+
+# The tables with faults planted, from the sound ones (`_ok`).
+FAULTY = {
+    "cdc_events": """SELECT * REPLACE (
+            CASE WHEN source_table = 'seller' AND kafka_offset % 3 = 1 THEN 'merge' ELSE op END AS op,
+            CASE WHEN source_table <> 'seller' OR kafka_offset % 5 <> 2 THEN pk END AS pk)
+        FROM (FROM cdc_events_ok UNION ALL FROM cdc_events_ok WHERE source_table = 'product' AND kafka_offset % 101 = 7)""",
+    "dim_customer": """SELECT * REPLACE (is_current OR CAST(customer_unique_id AS INTEGER) % 29 = 4 AS is_current) FROM (
+        FROM dim_customer_ok WHERE NOT (version = 2 AND CAST(customer_unique_id AS INTEGER) % 3 = 0)
+        UNION ALL FROM dim_customer_ok WHERE version = 1 AND CAST(customer_unique_id AS INTEGER) % 41 = 5)""",
+    "dim_order_status_history": """SELECT * REPLACE (
+            CASE WHEN NOT is_current AND CAST(order_id AS INTEGER) % 50 = 11 THEN valid_from - 1000 ELSE valid_to END AS valid_to,
+            CASE WHEN version = 1 AND CAST(order_id AS INTEGER) % 70 = 9 THEN 'lost'
+                 WHEN version <> 1 OR CAST(order_id AS INTEGER) % 90 <> 1 THEN order_status END AS order_status)
+        FROM dim_order_status_history_ok""",
+    "dim_product": """SELECT * REPLACE (
+            CASE WHEN CAST(product_id AS INTEGER) % 37 <> 3 THEN category_name END AS category_name)
+        FROM dim_product_ok WHERE CAST(product_id AS INTEGER) % 53 <> 0""",
+    "fct_orders": "FROM fct_orders_ok WHERE CAST(order_id AS INTEGER) % 45 <> 0",
+    "fct_order_items": """SELECT * REPLACE (CASE WHEN CAST(order_id AS INTEGER) % 33 = 2 THEN -price ELSE price END AS price)
+        FROM fct_order_items_ok WHERE CAST(order_id AS INTEGER) % 20 <> 0 OR order_item_id <> 1""",
+}
+
+
+def _faulty_tables() -> str:
+    tables = GATE_TABLES.strip()
+    for name in FAULTY:
+        tables = re.sub(rf"(?m)^{name} AS", f"{name}_ok AS", tables)
+    return tables + "".join(f",\n{name} AS ({sql})" for name, sql in FAULTY.items())
+
+
 def _gate() -> str:
     """Offences of every declared check, counted one check at a time."""
     checks = {}
-    for t, columns in contracts.NOT_NULL.items():
+    for line in NOT_NULL.split("\n"):
+        t, *columns = line.split()
         checks |= {f"{t}.not_null_{c}": f"SELECT 1 FROM {t} WHERE {c} IS NULL" for c in columns}
-    for t, columns in contracts.UNIQUE.items():
+    for line in UNIQUE.split("\n"):
+        t, *columns = line.split()
         for c in columns:
             checks[f"{t}.unique_{c}"] = (
                 f"SELECT 1 FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1"
             )
-    for t, columns in contracts.UNIQUE_COMBINATION.items():
+    for line in COMBINATIONS.split("\n"):
+        t, *columns = line.split()
         checks[f"{t}.unique_{'_'.join(columns)}"] = (
             f"SELECT 1 FROM {t} GROUP BY {', '.join(columns)} HAVING count(*) > 1"
         )
-    for t, columns in contracts.ACCEPTED_VALUES.items():
-        for c, values in columns.items():
-            listed = ", ".join(f"'{v}'" for v in values)
-            checks[f"{t}.accepted_values_{c}"] = f"SELECT 1 FROM {t} WHERE {c} NOT IN ({listed})"
-    for t, expressions in contracts.EXPRESSIONS.items():
-        for label, expression in expressions.items():
-            checks[f"{t}.{label}"] = f"SELECT 1 FROM {t} WHERE NOT ({expression})"
-    for t, links in contracts.RELATIONSHIPS.items():
-        for c, parent, p in links:
-            checks[f"{t}.relationship_{c}"] = (
-                f"SELECT {c} FROM {t} WHERE {c} NOT IN (SELECT {p} FROM {parent}) GROUP BY 1"
-            )
+    for line in VALUES.split("\n"):
+        t, c, *values = line.split()
+        listed = ", ".join(f"'{v}'" for v in values)
+        checks[f"{t}.accepted_values_{c}"] = f"SELECT 1 FROM {t} WHERE {c} NOT IN ({listed})"
+    for name, (t, expression) in EXPRESSIONS.items():
+        checks[f"{t}.{name}"] = f"SELECT 1 FROM {t} WHERE NOT ({expression})"
+    for line in RELATIONSHIPS.split("\n"):
+        t, c, parent, p = line.split()
+        checks[f"{t}.relationship_{c}"] = (
+            f"SELECT {c} FROM {t} WHERE {c} NOT IN (SELECT {p} FROM {parent} WHERE {p} IS NOT NULL) GROUP BY 1"
+        )
     checks["fct_order_items.price_is_positive"] = "SELECT 1 FROM fct_order_items WHERE price <= 0"
     checks |= SPANNING_CHECKS
     return "\nUNION ALL ".join(
@@ -722,4 +799,5 @@ def oracle_sql() -> dict[str, str]:
     common = CTES.strip()
     sql = {name: f"WITH {common}\n{select.strip()}" for name, select in SELECTS.items()}
     sql["gate_counts"] = f"WITH {common},\n{GATE_TABLES.strip()}\n{_gate()}"
+    sql["gate_counts_of_faults"] = f"WITH {common},\n{_faulty_tables()}\n{_gate()}"
     return sql

@@ -32,7 +32,7 @@ from tidelog.operators.ordered import ROWS_PER_CHUNK
 from tidelog.plans import marts as m
 from tidelog.plans import replay, retail
 from tidelog.plans.kept import KEPT
-from tidelog.plans.marts import ADDRESS, Marts
+from tidelog.plans.marts import ADDRESS, MODELS, Marts
 from tidelog.quality import contracts
 from tidelog.quality.logs import union_all
 from tidelog.quality.totals import RANK_ERROR, total_drift
@@ -823,6 +823,52 @@ def gate_counts(spark, sf_dir):
     return contracts.all_checks(_marts(spark, sf_dir, path=path, store_views=True)).counts()
 
 
+def _faulty(sound: Marts) -> Marts:
+    """The same models with faults planted in the log, both histories, products, orders and items."""
+    log = contracts.whole_log(sound)
+    seller, offset = F.col("source_table") == "seller", F.col("kafka_offset")
+    again = log.filter("source_table = 'product'").filter(offset % 101 == 7)
+    log = log.unionByName(again).withColumns(
+        {
+            "op": F.when(seller & (offset % 3 == 1), "merge").otherwise(F.col("op")),
+            "pk": F.when(~seller | (offset % 5 != 2), F.col("pk")),
+        }
+    )
+    broken = Marts(log)
+    for name in MODELS:
+        broken.use(name, sound.ref(name))
+    person, version = _k("customer_unique_id"), F.col("version")
+    customers = sound.ref("dim_customer").filter(~((version == 2) & (person % 3 == 0)))
+    customers = customers.unionByName(customers.filter((version == 1) & (person % 41 == 5)))
+    broken.use("dim_customer", customers.withColumn("is_current", F.col("is_current") | (person % 29 == 4)))
+    backwards = ~F.col("is_current") & (_k() % 50 == 11)
+    status = F.when((version == 1) & (_k() % 70 == 9), F.lit("lost")).when(
+        (version != 1) | (_k() % 90 != 1), F.col("order_status")
+    )
+    history = sound.ref("dim_order_status_history").withColumns(
+        {
+            "valid_to": F.when(backwards, F.expr("valid_from - INTERVAL 1 SECOND")).otherwise(F.col("valid_to")),
+            "order_status": status,
+        }
+    )
+    broken.use("dim_order_status_history", history)
+    product = _k("product_id")
+    products = sound.ref("dim_product").filter(product % 53 != 0)
+    broken.use("dim_product", products.withColumn("category_name", F.when(product % 37 != 3, F.col("category_name"))))
+    broken.use("fct_orders", sound.ref("fct_orders").filter(_k() % 45 != 0))
+    items = sound.ref("fct_order_items").filter((_k() % 20 != 0) | (F.col("order_item_id") != 1))
+    price = F.when(_k() % 33 == 2, -F.col("price")).otherwise(F.col("price"))
+    broken.use("fct_order_items", items.withColumn("price", price))
+    return broken
+
+
+@query
+def gate_counts_of_faults(spark, sf_dir):
+    """Offences per declared check on models with planted faults."""
+    sound = _marts(spark, sf_dir, path=scratch_dir(spark, "marts"), store_views=True)
+    return contracts.all_checks(_faulty(sound)).counts()
+
+
 # --- profile and latency -----------------------------------------------------------------
 
 
