@@ -258,6 +258,15 @@ def test_alignment_in_small_chunks(spark, documents, tokenizers, monkeypatch):
     assert sorted(zip(*(c.to_pylist() for c in got.columns)), key=repr) == want
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.one_of(st.text(st.characters(max_codepoint=0x24F), max_size=60), st.text("aé ' \n\t\u0085\u00a0s12!", max_size=60), st.text(max_size=30)))
+def test_ranks_give_the_ids_of_the_vocabulary(tokenizers, text):
+    assert tokenizers.ranked is not None
+    text = " " + text.encode("utf-8", "ignore").decode()
+    want = tokenizers.a.encode(text, add_special_tokens=False).ids
+    assert tokenizers._of_a([text])[0].tolist() == want
+
+
 def test_alignment_of_nothing(spark, documents):
     rows, pairs = alignment.align_documents(spark, documents.limit(0))
     assert rows.collect() == [] and pairs.collect() == []

@@ -14,15 +14,16 @@ documents of each chunk.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,16 +33,13 @@ from tidelog.llm.components import written
 
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK_ROWS = 1 << 12
-CHUNK_LINKS = 1 << 21
+CHUNK_LINKS = 1 << 20
 STEP_BYTES = 1 << 20
 # groups with more links are counted by distinct ids
 LARGE = 1 << 12
 BITMAP_BYTES = CHUNK_ROWS // 8
-# distinct parts of texts whose ids a task remembers, and the longest of them
-CACHED, CACHED_CHARS = 300_000, 64
-# between a Latin letter and a space with another after it, a byte-level vocabulary's pattern
-# always splits: a space belongs to the word that it precedes
-_BORDER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?= [A-Za-zÀ-ÖØ-öø-ÿ])")
+# Latin letters, signs and controls up to U+024F and the common dashes and quotes
+_SETTLED = re.compile("[\x00-\u024F\u2010-\u2027]*")
 CHUNKS = (
     "chunk long, a int, b int, planes array<binary>, docs long, links long, "
     "nth int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -77,28 +75,38 @@ class Pair:
             pieces.append(bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.bytes_a, self.bytes_b = tokens, pieces
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (tokens, pieces))
-        self.known: dict[str, tuple[int, ...] | None] = {}
+        self.ranked = self._ranked(byte_bpe)
+
+    def _ranked(self, byte_bpe: str) -> tiktoken.Encoding | None:
+        """The byte-level vocabulary as ranks, if its merges come in the order of their ids and nothing else is done."""
+        with open(byte_bpe, encoding="utf-8") as lines:
+            form = json.load(lines)
+        vocabulary, special = form["model"]["vocab"], {t["content"] for t in form["added_tokens"]}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in form["model"]["merges"]]
+        ids = [vocabulary[a + b] for a, b in pairs]
+        split = form["pre_tokenizer"] or {}
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+        if form["normalizer"] or not plain or ids != sorted(ids) or form["model"].get("ignore_merges"):
+            return None
+        ranks = {self.bytes_a[i]: i for t, i in vocabulary.items() if t not in special}
+        return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def _of_a(self, texts: list[str]) -> list[np.ndarray | None]:
         """Ids by the byte-level vocabulary; None where their bytes are not the text's.
 
-        The parts of a text between safe borders are encoded apart, and each once.
+        Texts of characters whose kinds all editions of Unicode agree on take the ranks, which
+        give the same ids at a quarter of the time.
         """
-        parts = [_BORDER.split(t) for t in texts]
-        known = self.known
-        if len(known) > CACHED:
-            known.clear()
-        new = list(set().union(*parts) - known.keys())
-        for part, found in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
-            ids = tuple(found.ids)
-            known[part] = ids if b"".join([self.bytes_a[i] for i in ids]) == part.encode() else None
-        out = []
-        for own in parts:
-            ids = [*map(known.get, own)]
-            out.append(None if None in ids else np.fromiter(chain.from_iterable(ids), np.int64))
-        for part in new:
-            if len(part) > CACHED_CHARS:
-                del known[part]
+        out: list[np.ndarray | None] = [None] * len(texts)
+        others = []
+        for i, text in enumerate(texts):
+            if self.ranked and _SETTLED.fullmatch(text):
+                out[i] = np.array(self.ranked.encode_ordinary(text), np.int64)
+            else:
+                others.append(i)
+        for i, found in zip(others, self.a.encode_batch_fast([texts[i] for i in others], add_special_tokens=False)):
+            if b"".join([self.bytes_a[t] for t in found.ids]) == texts[i].encode():
+                out[i] = np.array(found.ids, np.int64)
         return out
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
