@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 import zlib
 from urllib.request import url2pathname
 
@@ -142,6 +143,77 @@ def test_deep_paths_with_labels_of_both_kinds(spark):
             assert f"/{r.path.split('/')[8]}/" in r.template
 
 
+def test_branches_merge_by_a_test_of_their_counts(spark):
+    rules = [("h.example", "/", "block"), ("h.example", "/m/large/ok", "allow"), ("h.example", "/m/small/ok", "allow")]
+    rules += [("h.example", "/m/other/ok", "allow"), ("h.example", "/n/", "allow"), ("h.example", "/p/", "allow")]
+    ways = {"/m/large/ok": 1100, "/m/large/no": 900, "/m/small/ok": 1, "/m/small/no": 1}
+    ways |= {"/m/other/ok": 300, "/m/other/no": 1700, "/n/x": 40, "/p/y": 2, "/q/z": 0}
+    counts = [(f"x://h.example{way}", n) for way, n in ways.items() if n] + [("x://free.example/q", 3)]
+    df = spark.createDataFrame(counts, "url string, n int").selectExpr("explode(sequence(1, n)) page_id", "url")
+    got = url_filter.judge_urls(spark, df, rules)
+    branch = {r.template: r.branch for r in got.select("template", "branch").distinct().collect()}
+    # ok and no differ under large and other; two labels under small do not
+    assert branch["/m/large/ok"] != branch["/m/large/no"] and branch["/m/other/ok"] != branch["/m/other/no"]
+    assert branch["/m/small/ok"] == branch["/m/small/no"]
+    # mixed nodes stay apart, whole ones merge at the root
+    assert branch["/n/x"] == branch["/p/y"] and len({branch["/m/large/ok"], branch["/m/other/ok"], branch["/n/x"]}) == 3
+
+
+def _merged_by_hand(leaves):
+    """{template: branch}, node by node."""
+    branch = {t: t for t, _, _ in leaves}
+    steps = {t: (t + "/").split("/") for t in branch}
+    for depth in range(max(map(len, steps.values())), 1, -1):
+        nodes = {}
+        for t, n, b in leaves:
+            if len(steps[t]) >= depth:
+                nodes.setdefault(tuple(steps[t][: depth - 1]), {}).setdefault(steps[t][depth - 1], []).append((t, n, b))
+        for kids in nodes.values():
+            todo = [[k for k in kids.values() if len({branch[t] for t, _, _ in k}) == 1]]
+            while todo:
+                group, parts = todo.pop(), {}
+                total, bad = (sum(x[i] for k in group for x in k) for i in (1, 2))
+                for k in group:
+                    n, b = (sum(x[i] for x in k) for i in (1, 2))
+                    lean = b * (total - n) - (bad - b) * n
+                    far = lean * lean * total > 3.84 * n * (total - n) * bad * (total - bad)
+                    parts.setdefault((lean > 0) - (lean < 0) if far else 0, []).append(k)
+                if len(parts) > 1:
+                    todo += parts.values()
+                else:
+                    members = [t for k in group for t, _, _ in k]
+                    branch |= dict.fromkeys(members, min((branch[t] for t in members), default=None))
+    return branch
+
+
+def test_near_shares_merge_and_far_ones_do_not(spark):
+    rng = random.Random(5)
+    walked = {}
+    for _ in range(150):
+        template = "".join(f"/{rng.choice('abcd')}" for _ in range(rng.randint(0, 4)))
+        labels = rng.choice([0, 1, 3, 20, 400])
+        walked[template] = (labels, sum(rng.random() < rng.choice([0.1, 0.5, 0.9]) for _ in range(labels)))
+    hosts = {
+        "near": [("/a", 2, 1), ("/b", 2000, 900), ("/b/x", 2000, 910)],
+        "far": [("/a", 2, 1), ("/b", 2000, 900), ("/c", 2000, 1800), ("/d", 0, 0)],
+        "three": [("/a", 1000, 900), ("/b", 1000, 600), ("/c", 1000, 100), ("/d", 1000, 100)],
+        "walked": [(t, *counts) for t, counts in walked.items()],
+        "": [("", 0, 0)],
+    }
+    given = [(host, *leaf) for host, leaves in hosts.items() for leaf in leaves]
+    given = spark.createDataFrame(given, "host string, template string, labels long, blocked long")
+    got = {host: {} for host in hosts}
+    for r in url_filter._merge(spark, given).collect():
+        got[r.host][r.template] = r.branch
+    assert got == {host: _merged_by_hand(leaves) for host, leaves in hosts.items()}
+    assert got["near"] == {"/a": "/a", "/b": "/a", "/b/x": "/a"}
+    # between two that differ, what differs from neither stays with others like it
+    assert got["far"] == {"/a": "/a", "/d": "/a", "/b": "/b", "/c": "/c"}
+    # all of three large ones come apart though two lie above the rest
+    assert got["three"] == {"/a": "/a", "/b": "/b", "/c": "/c", "/d": "/c"}
+    assert 1 < len(set(got["walked"].values())) < len(walked)
+
+
 def test_templates_without_labels(spark):
     df = spark.createDataFrame([(1, "http://a.example.com/x"), (None, "http://a.example.com/x")], "page_id long, url string")
     got = url_filter.judge_urls(spark, df, URL_RULES).collect()

@@ -185,6 +185,34 @@ FROM d LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)
 
 
 
+def _merge_sql() -> str:
+    """Siblings from the leaves up, five segments deep; groups settle in fewer than eight rounds on the given tables."""
+    out = """merged7 AS MATERIALIZED (
+        SELECT host, template, string_split(template || '/', '/') AS steps, template AS branch,
+            sum(labels)::DOUBLE AS labels, sum(blocked)::DOUBLE AS blocked FROM grown5 GROUP BY host, template
+    )"""
+    for depth in range(7, 1, -1):
+        out += f""", kids{depth} AS (
+            SELECT host, steps[1:{depth - 1}] AS node, steps[1:{depth}] AS kid, min(branch) AS branch,
+                sum(labels) AS labels, sum(blocked) AS blocked, '' AS mark
+            FROM merged{depth} WHERE len(steps) >= {depth} GROUP BY ALL HAVING min(branch) = max(branch)
+        )"""
+        groups = f"SELECT * FROM kids{depth}"
+        for _ in range(8):
+            groups = f"""SELECT host, node, kid, branch, labels, blocked, mark || CASE
+                WHEN (blocked * (n - labels) - (b - blocked) * labels) ** 2 * n <= 3.84::DOUBLE * labels * (n - labels) * b * (n - b)
+                THEN '0' WHEN blocked * n > b * labels THEN '+' ELSE '-' END AS mark
+                FROM (SELECT *, sum(labels) OVER g AS n, sum(blocked) OVER g AS b FROM ({groups})
+                    WINDOW g AS (PARTITION BY host, node, mark))"""
+        out += f""", groups{depth} AS (
+            SELECT host, kid, min(branch) OVER (PARTITION BY host, node, mark) AS least FROM ({groups})
+        ), merged{depth - 1} AS MATERIALIZED (
+            SELECT m.host, template, steps, coalesce(least, branch) AS branch, labels, blocked
+            FROM merged{depth} m LEFT JOIN groups{depth} g ON m.host = g.host AND m.steps[1:{depth}] = g.kid
+        )"""
+    return out
+
+
 def _url_sql() -> str:
     """The tree level by level; constants as in the operator."""
     u = "coalesce(url, '')"
@@ -227,18 +255,13 @@ def _url_sql() -> str:
     ), hosts AS (
         SELECT host, (sum(blocked)::DOUBLE + any_value(share) * 4.0::DOUBLE) / (sum(labels)::DOUBLE + 4.0::DOUBLE) AS of_host
         FROM grown5, overall GROUP BY host
-    ), templates AS (
-        SELECT host, template, max(len(segments)) AS depth, sum(labels)::DOUBLE AS labels, sum(blocked)::DOUBLE AS blocked,
-            any_value(of_host) AS of_host,
-            floor((sum(blocked)::DOUBLE + any_value(of_host) * 4.0::DOUBLE) / (sum(labels)::DOUBLE + 4.0::DOUBLE) * 10.0::DOUBLE) AS alike
-        FROM grown5 JOIN hosts USING (host) GROUP BY host, template
-    ), branches AS (
-        SELECT host, depth, alike, 1 - (sum(blocked) + max(of_host) * 4.0::DOUBLE) / (sum(labels) + 4.0::DOUBLE) AS purity
-        FROM templates GROUP BY host, depth, alike
+    ), {_merge_sql()}, branches AS (
+        SELECT host, branch, 1 - (sum(blocked)::DOUBLE + any_value(of_host) * 4.0::DOUBLE) / (sum(labels)::DOUBLE + 4.0::DOUBLE) AS purity
+        FROM merged1 JOIN hosts USING (host) GROUP BY host, branch
     )
     SELECT page_id, host, path, rule,
         coalesce(u.verdict, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-    FROM u JOIN grown5 g USING (host, path) JOIN templates USING (host, template) JOIN branches USING (host, depth, alike)
+    FROM u JOIN grown5 g USING (host, path) JOIN merged1 USING (host, template) JOIN branches USING (host, branch)
     """
 
 

@@ -6,11 +6,14 @@ urls each). From DEPTH segments on, or as many as the longest rule has, a node i
 further only while labels of both kinds lie below it; what lies below any other is one
 wildcard. A url's template is its way through the tree of its host.
 
-Labels are the verdicts of the rules. A template's share of blocked labels is smoothed
-towards its host's, a host's towards that of all urls, with the weight of WEIGHT urls.
-Templates of a host with the same number of segments and smoothed shares in the same tenth
-are statistically alike and merge; the merged branch is smoothed anew. Its purity is the
-share of allowed labels; below MIN_PURITY the branch is rejected (block), else allowed.
+Labels are the verdicts of the rules. Branches of one node merge from the leaves up: a
+branch leaves its group where its share of blocked labels differs from that of the rest of
+the group by a two-proportion test (CHI_SQUARE), below and above apart, until no group has
+one that differs. A branch that is one group as a whole may merge with its siblings one
+level further up, a mixed one stays as it is; branches without labels differ from none.
+A merged branch's share is smoothed towards its host's, a host's towards that of all urls,
+with the weight of WEIGHT urls. Its purity is the share of allowed labels; below MIN_PURITY
+the branch is rejected (block), else allowed.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ DEPTH = 4
 KIDS = 8
 WEIGHT = 4.0
 MIN_PURITY = 0.5
+# 95 % of one degree of freedom
+CHI_SQUARE = 3.84
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Rule = tuple[str, str, str]
 
@@ -97,12 +102,65 @@ def _tree(spark: SparkSession, paths: DataFrame, depth: int) -> DataFrame:
             return done
 
 
+def _side(labels: Column, blocked: Column, all_labels: Column, all_blocked: Column) -> Column:
+    """-1, 0 or 1: a share is below, like or above that of the rest of all, by the chi-square of their counts."""
+    rest, rest_blocked = all_labels - labels, all_blocked - blocked
+    lean = blocked * rest - rest_blocked * labels
+    far = lean * lean * all_labels > F.lit(CHI_SQUARE) * labels * rest * all_blocked * (all_labels - all_blocked)
+    return F.when(far & (lean < 0), -1).when(far, 1).otherwise(0)
+
+
+def _alike(spark: SparkSession, kids: DataFrame) -> DataFrame:
+    """(host, kid, merged): for each of `kids` (host, node, kid, branch, labels, blocked) the least branch it merges with.
+
+    Every round parts a group that has kids unlike their rest; one that lies below the
+    group's share has another that does not, so the groups get smaller.
+    """
+    group = ["host", "node", "mark"]
+    marked = kids.withColumn("mark", F.lit(""))
+    while True:
+        pools = marked.groupBy(*group).agg(
+            F.sum("labels").alias("all_labels"), F.sum("blocked").alias("all_blocked"), F.min("branch").alias("merged")
+        )
+        counts = [F.col(c).cast("double") for c in ("labels", "blocked", "all_labels", "all_blocked")]
+        sided = written(spark, marked.join(pools, group).withColumn("side", _side(*counts)), "alike")
+        if sided.where("side <> 0").isEmpty():
+            return sided.select("host", "kid", "merged")
+        part = F.when(F.col("side") < 0, "-").when(F.col("side") > 0, "+").otherwise("0")
+        marked = sided.withColumn("mark", F.concat("mark", part)).drop("all_labels", "all_blocked", "merged", "side")
+
+
+def _merge(spark: SparkSession, leaves: DataFrame) -> DataFrame:
+    """`leaves` (host, template, labels, blocked) with the `branch` each has merged into, named by its least template."""
+    # an empty last step, so that a path's end is a branch of its node beside longer ones
+    steps = F.split(F.concat("template", F.lit("/")), "/")
+    leaves = written(spark, leaves.withColumn("branch", F.col("template")), "leaves")
+    deepest = leaves.agg(F.max(F.size(steps)).alias("steps")).first().steps or 0
+    for depth in range(deepest, 1, -1):
+        at = leaves.withColumn("node", F.array_join(F.slice(steps, 1, depth - 1), "/"))
+        at = at.withColumn("kid", F.when(F.size(steps) >= depth, F.array_join(F.slice(steps, 1, depth), "/")))
+        kids = (
+            at.where("kid IS NOT NULL")
+            .groupBy("host", "node", "kid")
+            .agg(
+                F.min("branch").alias("branch"),
+                F.max("branch").alias("last"),
+                F.sum("labels").alias("labels"),
+                F.sum("blocked").alias("blocked"),
+            )
+        )
+        merged = _alike(spark, kids.where("branch = last").drop("last"))
+        at = at.join(merged, ["host", "kid"], "left").withColumn("branch", F.coalesce("merged", "branch"))
+        leaves = written(spark, at.drop("node", "kid", "merged"), "leaves")
+    return leaves
+
+
 def _smoothed(blocked: Column, labels: Column, towards: Column) -> Column:
     return (blocked + towards * WEIGHT) / (labels + WEIGHT)
 
 
 def judge_urls(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """page_id, host, path, rule, template and verdict of each row of pages (page_id, url).
+    """page_id, host, path, rule, template, branch and verdict of each row of pages (page_id, url).
 
     `rules` are (host, path, block or allow): a rule fits its host and all subdomains when
     the path starts with the rule's; the longest wins. Null urls and urls without `://`
@@ -119,18 +177,12 @@ def judge_urls(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule]) ->
     sums = [F.sum("labels").alias("labels"), F.sum("blocked").alias("blocked")]
     hosts = paths.groupBy("host").agg(*sums)
     hosts = hosts.select("host", _smoothed(F.col("blocked"), F.col("labels"), F.lit(overall)).alias("of_host"))
-    templates = (
-        paths.groupBy("host", "template")
-        .agg(F.max(F.size(F.split("template", "/"))).alias("depth"), *sums)
-        .join(hosts, "host")
-        .withColumn("alike", F.floor(_smoothed(F.col("blocked"), F.col("labels"), F.col("of_host")) * 10))
-    )
-    branches = templates.groupBy("host", "depth", "alike").agg(F.max("of_host").alias("towards"), *sums)
-    branches = branches.withColumn("purity", 1 - _smoothed(F.col("blocked"), F.col("labels"), F.col("towards")))
-    judged = templates.select("host", "template", "depth", "alike").join(
-        branches.select("host", "depth", "alike", "purity"), ["host", "depth", "alike"]
-    )
-    ways = paths.select("host", "path", "template").join(judged.select("host", "template", "purity"), ["host", "template"])
+    merged = _merge(spark, paths.groupBy("host", "template").agg(*sums))
+    branches = merged.groupBy("host", "branch").agg(*sums).join(hosts, "host")
+    purity = 1 - _smoothed(F.col("blocked"), F.col("labels"), F.col("of_host"))
+    branches = branches.select("host", "branch", purity.alias("purity"))
+    judged = merged.select("host", "template", "branch").join(branches, ["host", "branch"])
+    ways = paths.select("host", "path", "template").join(judged, ["host", "template"])
     ruled = _rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("purity") < MIN_PURITY, "block").otherwise("allow")
     return urls.join(ways, ["host", "path"]).select(
@@ -139,5 +191,6 @@ def judge_urls(spark: SparkSession, pages: DataFrame, rules: Sequence[Rule]) ->
         "path",
         ruled["rule"].alias("rule"),
         "template",
+        "branch",
         F.coalesce(ruled["verdict"], own).alias("verdict"),
     )
