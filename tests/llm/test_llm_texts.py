@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import time
 import tracemalloc
 
 import numpy as np
@@ -65,6 +66,28 @@ def test_bpe_long_words(codec, encoding):
     assert codec.encode(texts) == [packed(encoding, t) for t in texts]
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.text(st.sampled_from("abAe=あ"), max_size=40), st.integers(1, 60), st.text("the -é", max_size=200))
+def test_bpe_joins_pieces_of_long_words(codec, encoding, unit, times, rest):
+    texts = [unit * times + rest, rest.replace(" ", "") * 3 + unit * times]
+    assert codec.encode(texts) == [packed(encoding, t) for t in texts]
+
+
+def test_bpe_of_very_long_words(codec, encoding):
+    rng = random.Random(3)
+    parts = ["the", "over", "stand", "ing", "tion", "er", "school"]
+    texts = [
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000)),
+        "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(20_000)),
+        "".join(rng.choice(parts) for _ in range(10_000)),
+        "=" * 50_001,
+    ]
+    began = time.monotonic()
+    got = codec.encode(texts)
+    assert time.monotonic() - began < 60
+    assert got == [packed(encoding, t) for t in texts]
+
+
 def as_contamination(df):
     return sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids, r.contaminated) for r in df.collect()), key=repr)
 

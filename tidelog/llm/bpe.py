@@ -6,9 +6,15 @@ query joins neighbouring tokens with the merge table, finds each word's pair of
 rank, leftmost first, and contracts it, until no pair is left. Decoding joins ids with the
 vocabulary and aggregates their bytes in order.
 
-In words of more than LONG bytes all occurrences of the least pair contract in one round
-where that equals doing them one by one (no token that holds the new one has a smaller
-rank), so that a very long word needs few rounds. Both forms give the same ids.
+A word of more than PIECE bytes is cut into pieces, which contract as words of their own,
+and neighbours are then joined, pair by pair: the last tokens of one and the first of the
+other contract once more as one word. If the outermost two tokens come out as they went
+in, the join is done, else the window widens, at most to both parts as a whole. That is
+exact: tokens are what a word contracts to just when each two neighbours are what those
+two contract to, for the first contraction across a border would happen in the two alone
+as well. In a window that had to widen (repetitive text) all occurrences of the least pair
+contract in one round where that equals doing them one by one (no token that holds the new
+one has a smaller rank). Queries hold at most BLOCK bytes of words, or one such window.
 """
 
 from __future__ import annotations
@@ -30,7 +36,9 @@ RANKS = "byte_bpe_50k.tiktoken"
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CACHED_WORDS = 300_000
 ROUNDS = 64
-LONG = 32
+PIECE = 64
+SEAM = 4
+BLOCK = 1 << 19
 TEXT_STEP = 4 << 20
 IDS_STEP = 1 << 19
 
@@ -99,6 +107,7 @@ class Codec:
         with open(ranks_path, "rb") as lines:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.token = {rank: token for token, rank in self.ranks.items()}
         self.first_id = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.db.execute("CREATE TABLE vocab(id INTEGER, hex VARCHAR)")
         self._load("vocab", {"id": list(self.ranks.values()), "hex": [k.hex() for k in self.ranks]})
@@ -132,12 +141,46 @@ class Codec:
 
     def contract(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, packed as little-endian unsigned 32-bit numbers."""
-        out = [b""] * len(words)
-        for query, long in ((LEFTMOST, False), (EVERYWHERE, True)):
-            at = [i for i, word in enumerate(words) if (len(word) > LONG) == long]
-            for i, ids in zip(at, self._fixpoint([words[i] for i in at], query)):
-                out[i] = ids
-        return out
+        cut = {word: [word[at : at + PIECE] for at in range(0, len(word), PIECE)] for word in words if len(word) > PIECE}
+        pieces = dict.fromkeys(word for word in words if word not in cut)
+        pieces.update(dict.fromkeys(piece for parts in cut.values() for piece in parts))
+        coded = self._contracted(list(pieces))
+        joined = self._joined([[np.frombuffer(coded[piece], "<u4") for piece in parts] for parts in cut.values()])
+        coded.update(zip(cut, joined))
+        return [coded[word] for word in words]
+
+    def _contracted(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Packed ids by word, for different words."""
+        coded = {}
+        for query, wide in ((LEFTMOST, False), (EVERYWHERE, True)):
+            for block in _word_blocks([word for word in words if (len(word) > PIECE) == wide]):
+                coded.update(zip(block, self._fixpoint(block, query)))
+        return coded
+
+    def _joined(self, rows: list[list[np.ndarray]]) -> list[bytes]:
+        """Packed ids of words whose pieces are contracted; each level joins neighbours."""
+        while any(len(parts) > 1 for parts in rows):
+            # (word, place, tokens of the left part, of the right part in the window)
+            open_ = [(row, at, SEAM, SEAM) for row, parts in enumerate(rows) for at in range(0, len(parts) - 1, 2)]
+            level = [parts[::2] for parts in rows]
+            while open_:
+                windows = []
+                for row, at, left, right in open_:
+                    ids = np.concatenate([rows[row][at][-left:], rows[row][at + 1][:right]])
+                    windows.append(b"".join(map(self.token.__getitem__, ids.tolist())))
+                coded = self._contracted(list(dict.fromkeys(windows)))
+                again = []
+                for (row, at, left, right), window in zip(open_, windows):
+                    a, b, ids = rows[row][at], rows[row][at + 1], np.frombuffer(coded[window], "<u4")
+                    begins = left >= len(a) or ids[0] == a[-left]
+                    ends = right >= len(b) or ids[-1] == b[right - 1]
+                    if begins and ends:
+                        level[row][at // 2] = np.concatenate([a[: max(len(a) - left, 0)], ids, b[right:]])
+                    else:
+                        again.append((row, at, left if begins else 2 * left, right if ends else 2 * right))
+                open_ = again
+            rows = level
+        return [parts[0].tobytes() for parts in rows]
 
     def _fixpoint(self, words: list[bytes], query: str) -> list[bytes]:
         flat = np.frombuffer(b"".join(words), np.uint8)
@@ -197,6 +240,19 @@ class Codec:
         return [b"".join(parts) for parts in out]
 
 
+def _word_blocks(words: list[bytes]) -> Iterator[list[bytes]]:
+    """Words in runs of at most BLOCK bytes; a longer word is a run of its own."""
+    run, size = [], 0
+    for word in words:
+        if run and size + len(word) > BLOCK:
+            yield run
+            run, size = [], 0
+        run.append(word)
+        size += len(word)
+    if run:
+        yield run
+
+
 def _blocks(packed: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(row of each id, ids) of at most IDS_STEP ids."""
     flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
