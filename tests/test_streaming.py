@@ -1,3 +1,4 @@
+import glob
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
@@ -425,3 +426,32 @@ def test_latency_summaries_merge_to_exact_totals_and_close_quantiles(spark, stag
         for got, rank in ((r.p50_ms, 0.5), (r.p95_ms, 0.95), (r.p99_ms, 0.99)):
             assert sum(x < got for x in ms) / len(ms) <= rank + RANK_ERROR
             assert sum(x <= got for x in ms) / len(ms) >= rank - RANK_ERROR
+
+
+def some_orders(spark, path, files):
+    """An orders table of a few rows in as many files."""
+    orders = spark.range(1, 201).selectExpr(
+        "id AS o_orderkey",
+        "id % 7 AS o_custkey",
+        "substring('FOP', cast(id % 3 + 1 AS int), 1) AS o_orderstatus",
+        "timestamp_seconds(800000000 + id * 86400) AS o_orderdate",
+    )
+    orders.repartition(files).write.parquet(f"{path}/orders.parquet")
+    return str(path)
+
+
+def test_rows_are_not_sorted_by_the_folders_they_are_written_to(spark, tmp_path):
+    """Such a sort holds, or spills, all rows of a task with their images."""
+    spark.sql(f"CREATE TABLE by_kind (v bigint, kind string) USING parquet PARTITIONED BY (kind) LOCATION '{tmp_path}/t'")
+    try:
+        plan = spark.sql("EXPLAIN INSERT INTO by_kind SELECT id, concat('k', id % 2) FROM range(10)").first()[0]
+    finally:
+        spark.sql("DROP TABLE by_kind")
+    assert "Sort" not in plan
+
+
+def test_folders_of_the_log_are_packed_tightly(spark, tmp_path):
+    messages = retail.messages(spark, some_orders(spark, tmp_path, files=1), ["order"])
+    append_log(valid_events(decode_envelope(messages)), f"{tmp_path}/log")
+    files = glob.glob(f"{tmp_path}/log/data/**/*.parquet", recursive=True)
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
