@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidelog.operators import ORDER, latest_state
+from tidelog.plans import catalog, retail
 from tidelog.plans import marts as m
-from tidelog.plans import retail
 from tidelog.sources import (
     append_log,
     compact_log,
@@ -440,6 +440,21 @@ def some_orders(spark, path, files):
     return str(path)
 
 
+def test_message_files_grow_with_the_messages_and_batches_do_not(spark, tmp_path):
+    """A fixed number of files would put a fixed share of all messages into one task."""
+    given = some_orders(spark, tmp_path, files=5)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        root = catalog._streamed(spark, given, ["order"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(glob.glob(f"{root}/topics/*.parquet")) >= 15
+    assert len(glob.glob(f"{root}/checkpoint/commits/[0-9]*")) == 3
+    wanted = retail.table_messages(spark, given, "order", deletes=True).count()
+    assert read_log(spark, f"{root}/log").count() == wanted
+
+
 def test_rows_are_not_sorted_by_the_folders_they_are_written_to(spark, tmp_path):
     """Such a sort holds, or spills, all rows of a task with their images."""
     spark.sql(f"CREATE TABLE by_kind (v bigint, kind string) USING parquet PARTITIONED BY (kind) LOCATION '{tmp_path}/t'")
