@@ -3,7 +3,7 @@
 from conftest import rows
 from tidelog.operators import number_messages
 from tidelog.operators.ordered import number_rows
-from tidelog.plans import retail
+from tidelog.plans import marts, retail
 from tidelog.schemas import EVENT_LOG
 from tidelog.sources import append_log, read_log
 from tidelog.sources.commits import Committed
@@ -69,3 +69,34 @@ def test_items_meet_their_orders_where_they_were_numbered(spark, tmp_path):
         assert items.count() == sum(i % 41 < 40 for i in range(200))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_items_meet_products_and_sellers_before_the_wide_orders(spark):
+    items = spark.sql(
+        "SELECT * FROM VALUES ('1', 1, 'p', 's', 2.0, 1.0), ('1', 2, 'q', NULL, 3.0, 1.0), ('9', 1, 'p', 's', 4.0, 1.0) "
+        "AS t(order_id, order_item_id, product_id, seller_id, price, freight_value)"
+    )
+    at = "TIMESTAMP'2020-01-01'"
+    orders = spark.sql(
+        f"SELECT '1' AS order_id, 'c' AS customer_unique_id, 'created' AS order_status, {at} AS purchased_at, {at} AS "
+        f"approved_at, {at} AS shipped_at, {at} AS delivered_at, DATE'2020-01-02' AS estimated_delivery_date"
+    )
+    people = spark.sql(
+        f"SELECT 'c' AS customer_unique_id, 'c1' AS customer_key, 1L AS version, {at} AS valid_from, "
+        "TIMESTAMP'2021-01-01' AS valid_to, true AS is_current"
+    )
+    goods = spark.sql("SELECT 'p' AS product_id, 'P' AS product_key")
+    shops = spark.sql("SELECT 's' AS seller_id, 'S' AS seller_key")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # rows, which the optimizer cannot fold into the plan
+        inputs = [spark.createDataFrame(df.collect(), df.schema) for df in (items, orders, people, goods, shops)]
+        fact = marts.fct_order_items(*inputs)
+        found = rows(fact.select("order_id", "order_item_id", "customer_key", "product_key", "seller_key"))
+        assert found == [("1", 1, "c1", "P", "S"), ("1", 2, "c1", None, None)]
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        last = next(line for line in plan.splitlines() if "Join " in line)
+        assert "order_id" in last and "seller_id" not in last
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
