@@ -1,5 +1,7 @@
 """What is moved and kept where logs and messages are made, on rows with nulls, ties and copies."""
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from tidelog.operators import number_messages
 from tidelog.operators.ordered import number_rows
@@ -100,3 +102,16 @@ def test_items_meet_products_and_sellers_before_the_wide_orders(spark):
         assert "order_id" in last and "seller_id" not in last
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_messages_of_orders_are_made_by_as_many_tasks_as_there_are_orders_for(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(retail, "ORDERS_PER_TASK", 50, raising=False)
+    spark.sql(
+        "SELECT nullif(id % 190, 3) AS o_orderkey, nullif(id % 7, 2) AS o_custkey, nullif(substr('FOP', 1 + id % 3, 1), 'P') "
+        "AS o_orderstatus, date_add(DATE'2020-01-01', cast(id % 30 AS int)) AS o_orderdate FROM range(400)"
+    ).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    made = retail.table_messages(spark, str(tmp_path), "order", deletes=True)
+    by_task = made.groupBy(F.spark_partition_id()).count().collect()
+    assert len(by_task) > 4 and max(r["count"] for r in by_task) < made.count() / 3
+    monkeypatch.setattr(retail, "ORDERS_PER_TASK", 10**6, raising=False)
+    assert rows(made) == rows(retail.table_messages(spark, str(tmp_path), "order", deletes=True))
