@@ -115,3 +115,15 @@ def test_messages_of_orders_are_made_by_as_many_tasks_as_there_are_orders_for(sp
     assert len(by_task) > 4 and max(r["count"] for r in by_task) < made.count() / 3
     monkeypatch.setattr(retail, "ORDERS_PER_TASK", 10**6, raising=False)
     assert rows(made) == rows(retail.table_messages(spark, str(tmp_path), "order", deletes=True))
+
+
+def test_written_models_are_packed_with_their_hex_keys(spark, tmp_path):
+    log = spark.sql(
+        "SELECT 'product' AS source_table, 'read' AS op, cast(NULL AS bigint) AS lsn, id AS tx_id, id AS event_ts_ms, true AS "
+        "is_snapshot, 't' AS topic, 0 AS partition, id AS kafka_offset, cast(id AS string) AS pk, cast(NULL AS string) AS before, "
+        "'{\"product_id\":\"x\"}' AS after FROM range(4000)"
+    )
+    built = marts.Marts(log, path=str(tmp_path)).ref("dim_product")
+    assert built.count() == 4000
+    size = sum(f.stat().st_size for f in (tmp_path / "dim_product").glob("*.parquet"))
+    assert size < 4000 * 32
