@@ -231,6 +231,20 @@ def test_gradients():
         assert abs((up - down) / 2e-4 - grads[name][at]) < 1e-2 * max(1, abs(grads[name][at])), name
 
 
+def test_outputs_work_in_place():
+    """Class probabilities overwrite their logits: of two such arrays a token (132 bytes each) one is left."""
+    vocab = language_model.Vocabulary(np.arange(1, 2201, dtype=np.uint64), np.full(2200, 5.0), np.arange(2200), 11000, 2200)
+    model, rng = language_model.Model(vocab), np.random.default_rng(1)
+    h = rng.standard_normal((20_000, language_model.HIDDEN)).astype(np.float32)
+    token = rng.integers(0, language_model.WORDS + 9, len(h)).astype(np.int32)
+    tracemalloc.start()
+    try:
+        model.outputs(h, token)
+        assert tracemalloc.get_traced_memory()[1] < 265 * len(h)
+    finally:
+        tracemalloc.stop()
+
+
 def test_toxicity_learns(spark, sf_dir):
     docs = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet")
     labels = spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/labels.parquet")

@@ -44,7 +44,12 @@ FLAT = "n_tokens long, known long, rare long, log_model double, log_counts doubl
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+    """Of an array that may be overwritten."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
 @dataclass
@@ -106,6 +111,18 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(token[order], n[order], ranks[order], total or 0, distinct)
 
 
+def _log_softmax(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, picked: np.ndarray):
+    """(log probability of the picked column of each row, exponentials of all, their sums)."""
+    e = h @ weights
+    e += bias
+    e -= e.max(1, keepdims=True)
+    out = e[np.arange(len(e)), picked]
+    np.exp(e, out=e)
+    s = e.sum(1, keepdims=True)
+    out -= np.log(s[:, 0])
+    return out, e, s
+
+
 class Model:
     """Parameters, one state step, the outputs of a window and their gradients."""
 
@@ -130,23 +147,29 @@ class Model:
         self.steps = 0
 
     def step(self, h: np.ndarray, token: np.ndarray):
-        a, b = self.p["x"][token], h @ self.p["u"]
-        zr = _sigmoid(a[:, : 2 * HIDDEN] + b[:, : 2 * HIDDEN])
-        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-        n = np.tanh(a[:, 2 * HIDDEN :] + r * b[:, 2 * HIDDEN :])
-        return n + z * (h - n), (z, r, n, b[:, 2 * HIDDEN :])
+        a, b = self.p["x"].take(token, 0), h @ self.p["u"]
+        # gate by gate, so that each lies in one piece
+        zr = np.empty((2, *h.shape), a.dtype)
+        for i in range(2):
+            np.add(a[:, i * HIDDEN : (i + 1) * HIDDEN], b[:, i * HIDDEN : (i + 1) * HIDDEN], out=zr[i])
+        z, r = _sigmoid(zr)
+        hn = b[:, 2 * HIDDEN :]
+        n = r * hn
+        n += a[:, 2 * HIDDEN :]
+        np.tanh(n, out=n)
+        h = h - n
+        h *= z
+        h += n
+        return h, (z, r, n, hn)
 
     def outputs(self, h: np.ndarray, token: np.ndarray, grads: dict | None = None) -> np.ndarray:
         """Natural log probability of each token (of its class alone if rare) given the states.
 
         With `grads` the gradients of the outputs are added to it, those of h as "h".
         """
-        kind = np.minimum(token // CLASS_SIZE, WORDS // CLASS_SIZE)
-        logits = h @ self.p["c"] + self.p["cb"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        s = e.sum(1, keepdims=True)
-        out = logits[np.arange(len(token)), kind] - np.log(s[:, 0])
+        # 16 bits: numpy sorts such numbers by counting
+        kind = np.minimum(token // CLASS_SIZE, WORDS // CLASS_SIZE).astype(np.uint16)
+        out, e, s = _log_softmax(h, self.p["c"], self.p["cb"], kind)
         if grads is not None:
             e /= -s
             e[np.arange(len(token)), kind] += 1
@@ -154,24 +177,27 @@ class Model:
             grads["cb"] += e.sum(0)
             grads["h"] = e @ self.p["c"].T
         order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(WORDS // CLASS_SIZE + 1))
+        cuts = np.searchsorted(kind.take(order), np.arange(WORDS // CLASS_SIZE + 1))
+        order = order[: cuts[-1]]
+        # the tokens of a class lie side by side
+        states, insides, inner = h.take(order, 0), token.take(order) % CLASS_SIZE, np.empty(len(order), out.dtype)
+        back = None if grads is None else np.empty_like(states)
         for k in range(WORDS // CLASS_SIZE):
-            at = order[cuts[k] : cuts[k + 1]]
-            if not len(at):
+            at = slice(cuts[k], cuts[k + 1])
+            if cuts[k] == cuts[k + 1]:
                 continue
             own = slice(k * CLASS_SIZE, (k + 1) * CLASS_SIZE)
-            hk, inside = h[at], token[at] - k * CLASS_SIZE
-            logits = hk @ self.p["w"][own].T + self.p["wb"][own]
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
-            s = e.sum(1, keepdims=True)
-            out[at] += logits[np.arange(len(at)), inside] - np.log(s[:, 0])
+            hk, inside = states[at], insides[at]
+            inner[at], e, s = _log_softmax(hk, self.p["w"][own].T, self.p["wb"][own], inside)
             if grads is not None:
                 e /= -s
-                e[np.arange(len(at)), inside] += 1
+                e[np.arange(len(hk)), inside] += 1
                 grads["w"][own] += e.T @ hk
                 grads["wb"][own] += e.sum(0)
-                grads["h"][at] += e @ self.p["w"][own]
+                np.matmul(e, self.p["w"][own], out=back[at])
+        out[order] += inner
+        if grads is not None:
+            grads["h"][order] += back
         return out
 
     def learn(
@@ -185,31 +211,46 @@ class Model:
             active = np.full(len(tokens), tokens.shape[1])
         h, states, kept = h0, [], []
         for t, n in enumerate(active):
-            h = np.where(fresh[t, :n, None], np.float32(0), h[:n])
+            h = h[:n]
+            if fresh[t, :n].any():
+                h = np.where(fresh[t, :n, None], np.float32(0), h)
             states.append(h)
             h, saved = self.step(h, tokens[t, :n])
             kept.append(saved)
         grads = {k: np.zeros_like(v) for k, v in self.p.items()}
         flat = np.concatenate([tokens[t, :n] for t, n in enumerate(active)])
         self.outputs(np.concatenate(states), flat, grads)
-        from_out = np.split(grads.pop("h"), np.cumsum(active)[:-1])
+        from_out = grads.pop("h")
         back = np.zeros_like(h)
-        inputs = [None] * len(tokens)
+        ends = np.cumsum(active)
+        inputs = np.empty((len(flat), 3 * HIDDEN), h.dtype)
         for t in range(len(tokens) - 1, -1, -1):
             if len(back) < active[t]:
                 back = np.concatenate([back, np.zeros((active[t] - len(back), HIDDEN), back.dtype)])
             z, r, n, hn = kept[t]
-            dn = back * (1 - z) * (1 - n * n)
-            dr = dn * hn * r * (1 - r)
-            dz = back * (states[t] - n) * z * (1 - z)
-            inputs[t] = np.concatenate([dz, dr, dn], 1)
-            inner = np.concatenate([dz, dr, dn * r], 1)
+            here = slice(ends[t] - active[t], ends[t])
+            stay = 1 - z
+            dn = back * stay
+            dn *= 1 - n * n
+            dr = dn * hn
+            dr *= r
+            dr *= 1 - r
+            dz = states[t] - n
+            dz *= back
+            dz *= z
+            dz *= stay
+            np.concatenate([dz, dr, dn], 1, out=inputs[here])
+            dn *= r
+            inner = np.concatenate([dz, dr, dn], 1)
             grads["u"] += states[t].T @ inner
-            back = back * z + inner @ self.p["u"].T + from_out[t]
-            back[fresh[t, : active[t]]] = 0
-        order = np.argsort(flat, kind="stable")
-        token, first = np.unique(flat[order], return_index=True)
-        grads["x"][token] = np.add.reduceat(np.concatenate(inputs)[order], first)
+            back = back * z
+            back += inner @ self.p["u"].T
+            back += from_out[here]
+            if fresh[t, : active[t]].any():
+                back[fresh[t, : active[t]]] = 0
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        token, first = np.unique(flat.take(order), return_index=True)
+        grads["x"][token] = np.add.reduceat(inputs.take(order, 0), first)
         self._climb(grads, 1 / len(flat), rate)
         return h
 
