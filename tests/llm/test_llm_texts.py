@@ -1,4 +1,5 @@
 import base64
+import gc
 import hashlib
 import random
 import time
@@ -47,6 +48,25 @@ def test_bpe_round_trip(spark, awkward, documents, encoding):
     assert sorted((r.doc_id, bytes(r.decoded)) for r in again if r.doc_id) == sorted((w[0], w[3]) for w in want if w[0])
 
 
+def test_bpe_gives_its_memory_back(spark, documents):
+    """With `spare` no Python worker keeps the codec after its task; ids are the same."""
+    never = public_tokenizers.PATTERN + "|(?!)"
+
+    def left(batches):
+        for _ in batches:
+            held = sum(isinstance(x, bpe.Codec) and x.pattern.pattern.endswith("|(?!)") for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([held])], ["n"])
+
+    docs = documents.select("doc_id", "text").repartition(8)
+    workers = spark.range(0, 32, 1, 16).mapInArrow(left, "n long")
+    found = {}
+    for spare in (True, False):
+        coded = bpe.encode(docs, ["doc_id"], pattern=never, decode_too=True, spare=spare)
+        found[spare] = sorted(coded.collect()), workers.agg({"n": "max"}).first()[0]
+    assert found[True][0] == found[False][0]
+    assert (found[True][1], found[False][1]) == (0, 1)
+
+
 def test_bpe_of_nothing(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(none, ["doc_id"], decode_too=True).collect() == []

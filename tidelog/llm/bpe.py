@@ -40,6 +40,7 @@ PIECE = 64
 SEAM = 4
 BLOCK = 1 << 19
 TEXT_STEP = 4 << 20
+SPARE_STEP = 2 << 20
 IDS_STEP = 1 << 19
 
 LEFTMOST = """
@@ -266,13 +267,13 @@ def _codec(ranks_path: str, pattern: str) -> Codec:
     return Codec(ranks_path, pattern)
 
 
-def _steps(texts: pa.Array) -> Iterator[list[str]]:
-    """Texts in runs of about TEXT_STEP characters."""
+def _steps(texts: pa.Array, step: int = TEXT_STEP) -> Iterator[list[str]]:
+    """Texts in runs of about `step` characters."""
     run, size = [], 0
     for text in texts:
         run.append(text.as_py() or "")
         size += len(run[-1])
-        if size >= TEXT_STEP:
+        if size >= step:
             yield run
             run, size = [], 0
     if run:
@@ -286,20 +287,24 @@ def encode(
     ranks: str | None = None,
     pattern: str = public_tokenizers.PATTERN,
     decode_too: bool = False,
+    spare: bool = False,
 ) -> DataFrame:
     """`keys` of each row with n_tokens (long) and ids (binary, unsigned 32-bit little-endian).
 
     With decode_too the ids are decoded in the same pass, into `decoded` (binary). A null
     text is empty: no tokens. Rows come back as often as they went in, columns that are
     not named in `keys` are left out. `ranks` is the path of a rank file on every machine.
+    Python workers outlive their tasks and keep the codec with its words for the next one;
+    with `spare` they take smaller steps and give it back, for the stages that they run after.
     """
     path = ranks or public_tokenizers.path(RANKS)
+    step = SPARE_STEP if spare else TEXT_STEP
 
     def run(batches):
         codec = _codec(path, pattern)
         for batch in batches:
             at = 0
-            for texts in _steps(batch.column(len(keys))):
+            for texts in _steps(batch.column(len(keys)), step):
                 ids = codec.encode(texts)
                 columns = [batch.column(i).slice(at, len(texts)) for i in range(len(keys))]
                 columns += [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
@@ -307,6 +312,10 @@ def encode(
                     columns.append(pa.array(codec.decode(ids), pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
                 at += len(texts)
+        if spare:
+            _codec.cache_clear()
+            del codec
+            pa.default_memory_pool().release_unused()
 
     given = df.select(*keys, F.col(text).cast("string").alias("__text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1]]

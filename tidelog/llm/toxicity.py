@@ -86,7 +86,8 @@ def _counts(spark: SparkSession, rows: DataFrame) -> tuple[np.ndarray, np.ndarra
     """Texts per slot, toxic and clean, and how many texts there are of either kind."""
 
     def count(batches):
-        total = np.zeros((2, 1 << SLOT_BITS), np.int64)
+        # a task has fewer texts than 2^31
+        total = np.zeros((2, 1 << SLOT_BITS), np.int32)
         texts = np.zeros(2, np.int64)
         for batch in batches:
             data, at = text_bytes(batch.column(0))
