@@ -11,6 +11,7 @@ from conftest import rows
 from tidelog.operators import ORDER, latest_state
 from tidelog.plans import catalog, retail
 from tidelog.plans import marts as m
+from tidelog.plans.catalog import _narrowed, portable
 from tidelog.sources import (
     append_log,
     compact_log,
@@ -21,7 +22,7 @@ from tidelog.sources import (
     valid_events,
     write_messages,
 )
-from tidelog.quality import latency_quantiles, latency_summary, log_gaps, merge_latency, offset_gaps
+from tidelog.quality import cdc_latency, latency_quantiles, latency_summary, log_gaps, merge_latency, offset_gaps
 from tidelog.quality.totals import RANK_ERROR
 from tidelog.sources.commits import TIER, Committed, Folder, merge_candidates, merged_ranges
 from tidelog.sources.log import commit_events, rebuild, write_events
@@ -428,6 +429,29 @@ def test_latency_summaries_merge_to_exact_totals_and_close_quantiles(spark, stag
             assert sum(x <= got for x in ms) / len(ms) >= rank - RANK_ERROR
 
 
+def test_delays_that_add_up_to_more_than_64_bits(spark, tmp_path):
+    # each delay is 9.2e15 ms, the widest a timestamp can say; a read is as short as delays are
+    events = spark.range(2001).selectExpr(
+        "if(id < 2000, 'update', 'read') AS op",
+        "timestamp_micros(if(id < 2000, 9200000000000000000, 5000)) AS event_at",
+        "timestamp_micros(0L) AS changed_at",
+    )
+    total = {"update": 2000 * 92 * 10**14, "read": 5}
+    halves = [latency_summary(events.where(f"hash(event_at, op) % 2 {sign} 0")) for sign in ("=", "<>")]
+    merged = merge_latency(halves[0].unionByName(halves[1]))
+    for found in (cdc_latency(events), latency_summary(events), merged):
+        assert {r.op: int(r.sum_ms) for r in found.collect()} == total
+    wide = portable(_narrowed(cdc_latency(events), "sum_ms"))
+    assert {r.op: int(r.sum_ms) for r in wide.collect()} == total
+    small = _narrowed(cdc_latency(events.where("op = 'read'")), "sum_ms")
+    assert dict(small.dtypes)["sum_ms"] == "bigint" and small.first().sum_ms == 5
+    # a summary that was kept with sums of 64 bits is read like others
+    kept = latency_summary(events.where("op = 'read'"))
+    kept.withColumn("sum_ms", F.col("sum_ms").cast("bigint")).write.parquet(f"{tmp_path}/old")
+    again = merge_latency(spark.read.schema(kept.schema).parquet(f"{tmp_path}/old"))
+    assert [int(r.sum_ms) for r in again.collect()] == [5]
+
+
 def some_orders(spark, path, files):
     """An orders table of a few rows, one with a negative key and one without, in as many files."""
     keys = spark.range(-1, 201).select(F.nullif("id", F.lit(0)).alias("id"))
