@@ -4,12 +4,15 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidelog.operators import number_messages
-from tidelog.operators.ordered import number_rows
+from tidelog.operators.ordered import number_rows, over_history
 from tidelog.plans import marts, retail
+from tidelog.plans.kept import KEPT
 from tidelog.schemas import EVENT_LOG
-from tidelog.sources import append_log, read_log
+from tidelog.sources import append_log, read_log, write_messages
 from tidelog.sources.commits import Committed
 from tidelog.sources.log import _blocks, _positions
+from tidelog.streaming import keep_history, read_history
+from tidelog.streaming.upkeep import _of_keys, ddl
 
 
 def events(spark, offsets):
@@ -127,3 +130,56 @@ def test_written_models_are_packed_with_their_hex_keys(spark, tmp_path):
     assert built.count() == 4000
     size = sum(f.stat().st_size for f in (tmp_path / "dim_product").glob("*.parquet"))
     assert size < 4000 * 32
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_history_batch_of_many_keys_is_shuffled_once(spark, tmp_path):
+    values = [(None if i % 11 == 0 else f"k{i % 7}", i, i % 3, 0) for i in range(60)]
+    values += [(f"old{i}", i, 0, 0) for i in range(5)]
+    known = spark.createDataFrame(values, "k string, at long, batch long, bucket int").repartition(3)
+    own = known.where("batch = 2")
+    kept = [_of_keys(known, own, 2, ["k"], many) for many in (True, False)]
+    assert rows(kept[0]) == rows(kept[1]) and rows(kept[0]) == sorted((v for v in values if not str(v[0]).startswith("old")), key=repr)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        path = f"{tmp_path}/known"
+        known.write.parquet(path)
+        known = spark.read.parquet(path)
+        numbered = over_history(_of_keys(known, known.where("batch = 2"), 2, ["k"], True), ["k"], ["at"], number="n")
+        assert plan_of(numbered).count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_versions_of_the_newest_batch_stand_for_their_keys(spark, tmp_path):
+    def batch(i, *found):
+        keep_history(spark.createDataFrame(found, "k string, at long"), i, str(tmp_path), ["k"], lambda e: e)
+
+    given = [[("a", 1), ("b", 1), (None, 1)], [("b", 2), ("c", 2)], [("a", 3), (None, 3), ("d", 3)]]
+    for i, found in enumerate(given):
+        batch(i, *found)
+    schema = "`k` string, `at` bigint"
+    kept = read_history(spark, str(tmp_path), schema, ["k"])
+    assert rows(kept) == sorted((r for found in given for r in found), key=repr)
+
+
+def test_digests_of_a_kept_history_are_made_as_it_is_read(spark, sf_dir, tmp_path):
+    log = retail.event_log(spark, sf_dir, ["customer"])["customer"]
+    state = KEPT["dim_customer"]
+    events = state.stage(log)
+    state.take(events, 0, str(tmp_path), False)
+    (folder,) = Committed(spark, f"{tmp_path}/versions").newest().folders
+    assert "customer_key" not in spark.read.parquet(Committed(spark, f"{tmp_path}/versions").place(folder.name)).columns
+    found, made = state.read(spark, str(tmp_path), log), state.build(events)
+    assert found.columns == made.columns and ddl(found) == ddl(made)
+    assert rows(found) == rows(made)
+
+
+def test_messages_and_times_are_packed(spark, tmp_path):
+    write_messages(spark.sql("SELECT 't' AS topic, 0 AS partition, 1L AS kafka_offset, '{}' AS value"), f"{tmp_path}/m")
+    assert [f for f in spark.read.parquet(f"{tmp_path}/m").inputFiles() if ".zstd." in f]
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "TIMESTAMP_MICROS"
