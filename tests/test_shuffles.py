@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tidelog.functions import surrogate_key
 from tidelog.operators import number_messages
 from tidelog.operators.ordered import number_rows, over_history
 from tidelog.plans import marts, retail
@@ -136,6 +137,47 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_keys_that_follow_from_other_columns_are_not_shuffled(spark):
+    at, end = "TIMESTAMP'2020-01-01'", "TIMESTAMP'2021-01-01'"
+    items = spark.sql(
+        "SELECT cast(id % 3 AS string) AS order_id, id AS order_item_id, substr('pqrs', cast(id % 5 + 1 AS int), 1) AS product_id, "
+        "nullif(substr('tuv', cast(id % 4 + 1 AS int), 1), '') AS seller_id, 2.0 AS price, 1.0 AS freight_value FROM range(40)"
+    )
+    orders = spark.sql(
+        f"SELECT cast(id AS string) AS order_id, concat('c', nullif(id, 2)) AS customer_unique_id, 'created' AS order_status, {at} AS "
+        f"purchased_at, {at} AS approved_at, {at} AS shipped_at, {at} AS delivered_at, DATE'2020-01-02' AS estimated_delivery_date FROM range(3)"
+    )
+    people = spark.createDataFrame([("c0", 1), ("c1", 2)], "customer_unique_id string, version long").selectExpr(
+        "*", f"{at} AS valid_from", f"{end} AS valid_to"
+    )
+    people = people.withColumn("customer_key", F.when(F.col("version") == 1, surrogate_key("customer_unique_id", "version")).otherwise("own"))
+    # usual keys, one of its own, an empty one, and none
+    goods = spark.createDataFrame([(k,) for k in "pqrs"], "product_id string")
+    product_key = F.when(F.col("product_id") == "p", surrogate_key("product_id")).when(F.col("product_id") == "q", "")
+    goods = goods.withColumn("product_key", product_key.when(F.col("product_id") == "r", "="))
+    shops = spark.createDataFrame([("t",), ("u",)], "seller_id string").withColumn("seller_key", surrogate_key("seller_id"))
+    inputs = [spark.createDataFrame(df.collect(), df.schema) for df in (items, orders, people, goods, shops)]
+    fact = marts.fct_order_items(*inputs)
+    joined = inputs[0].join(inputs[3], "product_id", "left").join(inputs[4], "seller_id", "left").join(inputs[1], "order_id")
+    joined = joined.join(inputs[2].select("customer_unique_id", "customer_key"), "customer_unique_id", "left")
+    keys = ["order_id", "order_item_id", "customer_key", "product_key", "seller_key"]
+    assert rows(fact.select(*keys)) == rows(joined.withColumn("customer_key", F.coalesce("customer_key", F.lit("_unmatched"))).select(*keys))
+    after_the_last_join = plan_of(fact).split("Join ")[0]
+    assert after_the_last_join.count("md5") >= 4
+    light = marts._light(inputs[4], "seller_key", "seller_id")
+    assert {r._seller_key for r in light.collect()} == {""}
+
+
+def test_lines_are_numbered_by_what_items_say_of_them(spark, tmp_path):
+    line = "1L AS l_orderkey, {p}L AS l_partkey, 2L AS l_suppkey, {n} AS l_linenumber, {q}D AS l_quantity, 5D AS l_extendedprice, " \
+        "0D AS l_discount, {q}D AS l_tax, 'R' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP'1995-01-01' AS l_shipdate"
+    given = [(1, 7, 3), (1, 7, 1), (1, 6, 9), (2, 1, 0)]
+    spark.sql(" UNION ALL ".join("SELECT " + line.format(n=n, p=p, q=q) for n, p, q in given)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    items = retail.raw_items(spark, str(tmp_path))
+    assert rows(items.select("order_item_id", "product_id")) == [(1, "6"), (2, "7"), (3, "7"), (4, "1")]
+    assert "l_tax" not in plan_of(items) and "l_extendedprice" in plan_of(items)
+
+
 def test_a_history_batch_of_many_keys_is_shuffled_once(spark, tmp_path):
     values = [(None if i % 11 == 0 else f"k{i % 7}", i, i % 3, 0) for i in range(60)]
     values += [(f"old{i}", i, 0, 0) for i in range(5)]
