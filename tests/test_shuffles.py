@@ -6,7 +6,7 @@ from conftest import rows
 from tidelog.functions import surrogate_key
 from tidelog.operators import number_messages
 from tidelog.operators.ordered import number_rows, over_history
-from tidelog.plans import marts, retail
+from tidelog.plans import catalog, marts, retail
 from tidelog.plans.kept import KEPT
 from tidelog.schemas import EVENT_LOG
 from tidelog.sources import append_log, read_log, write_messages
@@ -221,6 +221,15 @@ def test_digests_of_a_kept_history_are_made_as_it_is_read(spark, sf_dir, tmp_pat
     assert rows(found) == rows(made)
 
 
+def test_shared_models_are_written_once_and_summaries_save_counting_keys(spark, sf_dir):
+    shared = catalog._shared(spark, sf_dir, "int_orders_current")
+    stored, composed = shared.ref("int_orders_current"), shared.ref("stg_sellers")
+    assert "int_orders_current" in stored.inputFiles()[0] and not [f for f in composed.inputFiles() if "marts-" in f]
+    assert rows(stored) == rows(catalog._marts(spark, sf_dir).ref("int_orders_current"))
+    assert set(shared.heavy) == {"customer", "order"} and all(h.sure for h in shared.heavy.values())
+    assert shared.hot_keys("order") is None
+
+
 def test_messages_and_times_are_packed(spark, tmp_path):
     write_messages(spark.sql("SELECT 't' AS topic, 0 AS partition, 1L AS kafka_offset, '{}' AS value"), f"{tmp_path}/m")
     assert [f for f in spark.read.parquet(f"{tmp_path}/m").inputFiles() if ".zstd." in f]
